@@ -37,8 +37,15 @@ def finite(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+# Digits with an optional exponent. The cast alone would also take "10d", "NaN" and "Infinity".
+_NUMBER = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
+
+
 def number(df: DataFrame, name: str, topcode: dict[str, str] | None = None) -> Column:
-    """A double, with NULL where the cell holds no number."""
+    """A double, with NULL where the cell holds no number.
+
+    The cell occurs once in the expression, so a derived cell is not computed again for each test.
+    """
     kind = df.schema[name].dataType
     c = F.col(name)
     if isinstance(kind, (T.FloatType, T.DoubleType)):
@@ -47,9 +54,7 @@ def number(df: DataFrame, name: str, topcode: dict[str, str] | None = None) -> C
         return c.cast("double")
     for text, value in (topcode or {}).items():
         c = F.when(c == text, value).otherwise(c)
-    # The cast would take Java's type suffixes ("10d") for numbers.
-    suffixed = F.right(F.trim(c), F.lit(1)).isin("d", "D", "f", "F")
-    return finite(F.when(~suffixed, c.try_cast("double")))
+    return F.regexp_extract(c, _NUMBER, 1).try_cast("double")
 
 
 def flag(condition: Column) -> Column:

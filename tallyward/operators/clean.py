@@ -19,37 +19,29 @@ from tallyward.functions.expr import (
 from tallyward.operators.order_stats import column_quantiles
 
 
-def null_shares(df: DataFrame) -> dict[str, float | None]:
-    row = df.agg(*[F.avg(flag(F.col(c).isNull())).alias(c) for c in df.columns]).first()
-    return row.asDict()
+def null_counts(df: DataFrame, columns: Iterable[str], means: Iterable[str] = ()) -> dict:
+    """Rows, NULLs per column and means of some columns, in one aggregation."""
+    return df.agg(F.count(F.lit(1)).alias("rows"),
+                  *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
+                  *[F.avg(c).alias(f"mean_{c}") for c in means]).first().asDict()
+
+
+def _sparse(counts: dict, columns: Iterable[str], threshold: float) -> list[str]:
+    return [c for c in columns if counts["rows"] and counts[f"null_{c}"] / counts["rows"] > threshold]
 
 
 def drop_sparse_columns(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Drop columns whose share of NULL is above the threshold."""
-    shares = null_shares(df)
-    return df.drop(*[c for c, s in shares.items() if s is not None and s > threshold])
-
+    return df.drop(*_sparse(null_counts(df, df.columns), df.columns, threshold))
 
-def fit_imputation(df: DataFrame, strategy: str = "mean", numerical: Iterable[str] | None = None,
-                   categorical: Iterable[str] | None = None, exact: bool = True) -> dict:
-    """Fill values: mean or median for numbers, mode or 'Unknown' for text.
 
-    Columns without NULL need no fitted value and are left out. ``mode`` and ``drop`` leave numbers
-    alone; ``drop`` fills text with 'Unknown' and removes no rows.
-    """
-    num = present(df, numerical) if numerical is not None else numeric_columns(df)
-    cat = present(df, categorical) if categorical is not None else string_columns(df)
-    num = num if strategy in ("mean", "median") else []
-    if not num + cat:
-        return {}
-    aggs = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in num + cat]
-    if strategy == "mean":
-        aggs += [F.avg(c).alias(f"fill_{c}") for c in num]
-    row = df.agg(*aggs).first().asDict()
-    gaps = {c for c in num + cat if row[f"null_{c}"]}
+def _fill_values(df: DataFrame, strategy: str, num: list[str], cat: list[str], counts: dict,
+                 exact: bool) -> dict:
+    """Mean or median for numbers, mode or 'Unknown' for text; only for columns with gaps."""
+    gaps = {c for c in num + cat if counts[f"null_{c}"]}
     fill: dict = {}
     if strategy == "mean":
-        fill = {c: row[f"fill_{c}"] for c in num if c in gaps}
+        fill = {c: counts[f"mean_{c}"] for c in num if c in gaps}
     elif strategy == "median":
         fitted = column_quantiles(df, [c for c in num if c in gaps], [0.5], exact)
         fill = {c: q[0] for c, q in fitted.items()}
@@ -86,13 +78,21 @@ def apply_imputation(df: DataFrame, fill: dict, as_double: Iterable[str] = ()) -
 def impute(df: DataFrame, strategy: str = "mean", numerical: Iterable[str] | None = None,
            categorical: Iterable[str] | None = None, drop_threshold: float = 0.5,
            fit_on: DataFrame | None = None, exact: bool = True) -> DataFrame:
-    """Drop sparse columns, then fill what is missing."""
+    """Drop sparse columns, then fill what is missing.
+
+    ``mode`` and ``drop`` leave numbers alone; ``drop`` fills text with 'Unknown' and removes no rows.
+    Numeric columns that are filled become doubles. One aggregation finds the gaps of all columns; the
+    median and the mode take one more job, and only for columns that have gaps.
+    """
     base = df if fit_on is None else fit_on
-    base = drop_sparse_columns(base, drop_threshold)
-    kept = df.select(*present(df, base.columns))
-    fill = fit_imputation(base, strategy, numerical, categorical, exact)
-    num = present(kept, numerical) if numerical is not None else numeric_columns(kept)
-    return apply_imputation(kept, fill, num if strategy in ("mean", "median") else ())
+    num = present(base, numerical) if numerical is not None else numeric_columns(base)
+    cat = present(base, categorical) if categorical is not None else string_columns(base)
+    num = num if strategy in ("mean", "median") else []
+    counts = null_counts(base, base.columns, num if strategy == "mean" else ())
+    sparse = set(_sparse(counts, base.columns, drop_threshold))
+    num, cat = [c for c in num if c not in sparse], [c for c in cat if c not in sparse]
+    fill = _fill_values(base, strategy, num, cat, counts, exact)
+    return apply_imputation(df.drop(*sparse), fill, num)
 
 
 def convert_types(df: DataFrame, kinds: dict[str, str], topcode: dict[str, str] | None = None) -> DataFrame:

@@ -82,7 +82,8 @@ def _offsets(counts: DataFrame, keys: list[str], weights) -> DataFrame:
 
 
 def _clean(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
-    ok = F.col(value).isNotNull() & ~F.isnan(value)
+    # NaN sorts above infinity, so this one test drops both NaN and NULL.
+    ok = F.col(value) <= F.lit(float("inf"))
     for k in keys:
         ok = ok & F.col(k).isNotNull()
     return df.where(ok)

@@ -41,13 +41,17 @@ def drift_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return df.where(early).drop("discharge_ts"), later.drop("discharge_ts")
 
 
-def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
-    """Round the doubles, so that the order of summation does not show."""
+def rounded(df: DataFrame, digits: int | None = 6, **special: int) -> DataFrame:
+    """Round the doubles, so that the order of summation does not show.
+
+    With no ``digits`` only the named columns are rounded.
+    """
     out: list[Column] = []
     for f in df.schema.fields:
         c = F.col(f.name)
-        if f.dataType.typeName() in ("double", "float"):
+        places = special.get(f.name, digits)
+        if places is not None and f.dataType.typeName() in ("double", "float"):
             # Adding zero turns -0.0 into 0.0.
-            c = (F.round(c, special.get(f.name, digits)) + F.lit(0.0)).alias(f.name)
+            c = (F.round(c, places) + F.lit(0.0)).alias(f.name)
         out.append(c)
     return df.select(*out)

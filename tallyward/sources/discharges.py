@@ -96,6 +96,16 @@ _JOINS = {
 }
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows out evenly when the scan has fewer tasks than the session has cores.
+
+    One small file with one row group is read by one task, which would then do all the work of the
+    stage. Scans of large tables have enough tasks and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -109,7 +119,7 @@ def discharges(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
             while t is not None:
                 needed.add(t)
                 t = _JOINS[t][2]
-    df = table(spark, sf_dir, "lineitem")
+    df = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
     for name, (left, right, _) in _JOINS.items():
         if name in needed:
             other = table(spark, sf_dir, name)
