@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyward.functions import values as V
 from tallyward.functions.bins import closed_left_bin
 from tallyward.functions.expr import ratio
-from tallyward.operators.order_stats import SMALL_DISTINCT, average_ranks, quantiles
+from tallyward.operators.order_stats import SMALL_DISTINCT, average_ranks, quantile_rows, quantiles
 from tallyward.operators.profile import _range, histogram
 
 
@@ -149,13 +149,12 @@ def residual_histogram(df: DataFrame, actual: str, prediction: str, bins: int =
 def qq_points(df: DataFrame, actual: str, prediction: str, points: int = 99, exact: bool = True) -> DataFrame:
     """Residual quantiles beside those of the standard normal distribution."""
     shares = [(i + 1) / (points + 1) for i in range(points)]
-    names = [f"q{i}" for i in range(points)]
     rows = residuals(df, actual, prediction).select(F.col("residual").cast("double").alias("residual"))
-    row = quantiles(rows, "residual", shares, names, exact=exact)
+    found = quantile_rows(rows, "residual", shares, exact=exact)
     normal = NormalDist()
-    structs = [F.struct(F.lit(s).alias("share"), F.lit(normal.inv_cdf(s)).alias("normal"), F.col(n).alias("residual"))
-               for s, n in zip(shares, names)]
-    return row.select(F.inline(F.array(*structs)))
+    grid = df.sparkSession.createDataFrame(
+        [(i, s, normal.inv_cdf(s)) for i, s in enumerate(shares)], "place int, share double, normal double")
+    return found.join(F.broadcast(grid), "place").select("share", "normal", F.col("quantile").alias("residual"))
 
 
 def predicted_true(df: DataFrame, actual: str, prediction: str, bins: int = 20) -> DataFrame:

@@ -8,8 +8,6 @@ ordered together. Quantiles, ranks and distribution functions all come from thes
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,34 +31,27 @@ def _sketch(df: DataFrame, value: str, by: str | None, n: int) -> list:
     return grouped.collect()  # one row per column of the source table, n numbers each
 
 
-def _blocks(splits) -> tuple[list[float], list[list[float]]]:
-    """Split points in blocks of about the square root of their number, and the first of each."""
-    splits = sorted(set(splits or []))
-    size = max(1, math.isqrt(len(splits)))
-    blocks = [splits[i:i + size] for i in range(0, len(splits), size)]
-    return [b[0] for b in blocks], [[], *blocks]
-
-
 def _with_bucket(df: DataFrame, value: str, by: str | None, sketch: list) -> DataFrame:
-    """Add the bucket number, found by a search over blocks of split points."""
-    x = F.col(value)
-
-    def place(heads: Column, blocks: Column) -> Column:
-        head = F.size(F.filter(heads, lambda s: s <= x))
-        return head * 2048 + F.size(F.filter(F.element_at(blocks, head + 1), lambda s: s <= x))
+    """Add the bucket number: how many split points are at or below the value, by binary search.
 
+    Each step is a projection of its own, so that the running number is not computed again and again
+    inside the next step; it is never NULL, so no filter on it is pushed below.
+    """
+    splits = {row[by] if by else "": sorted(set(row["splits"] or [])) for row in sketch}
     if by is None:
-        heads, blocks = _blocks(sketch[0]["splits"] if sketch else None)
-        typed = "array<double>"
-        return df.withColumn("_bucket", place(
-            F.array(*map(F.lit, heads)).cast(typed),
-            F.array(*[F.array(*map(F.lit, b)).cast(typed) for b in blocks])))
-    rows = [(row[by], *_blocks(row["splits"])) for row in sketch]
-    points = df.sparkSession.createDataFrame(
-        rows, f"{by} string, _heads array<double>, _blocks array<array<double>>")
-    # As many rows as the source table has columns.
-    joined = df.join(F.broadcast(points), by)
-    return joined.withColumn("_bucket", place(F.col("_heads"), F.col("_blocks"))).drop("_heads", "_blocks")
+        points = F.array(*map(F.lit, splits.get("", []))).cast("array<double>")
+    else:
+        table = df.sparkSession.createDataFrame(list(splits.items()), f"{by} string, _splits array<double>")
+        # As many rows as the source table has columns.
+        df = df.join(F.broadcast(table), by)
+        points = F.col("_splits")
+    df = df.withColumn("_bucket", F.lit(0))
+    longest = max((len(v) for v in splits.values()), default=0)
+    for level in reversed(range(longest.bit_length())):
+        step = 1 << level
+        above = F.col(value) >= F.get(points, F.col("_bucket") + (step - 1))
+        df = df.withColumn("_bucket", F.col("_bucket") + F.when(above, step).otherwise(0))
+    return df.drop("_splits")
 
 
 def _counts(df: DataFrame, value: str, keys: list[str], weights: dict[str, Column]) -> DataFrame:
@@ -114,58 +105,67 @@ def cumulative_counts(df: DataFrame, value: str, keys: list[str] | None = None,
     return joined.select(*keys, value, *out)
 
 
-def _positions(total: Column, p: float) -> tuple[Column, Column, Column]:
-    place = (total - 1) * F.lit(float(p))
-    return F.floor(place), F.ceil(place), place - F.floor(place)
-
-
-def quantiles(df: DataFrame, value: str, shares: list[float], names: list[str],
-              keys: list[str] | None = None, split_by: str | None = None,
-              exact: bool = True) -> DataFrame:
-    """Linear-interpolation quantiles per group, one column per share.
+def quantile_rows(df: DataFrame, value: str, shares: list[float], keys: list[str] | None = None,
+                  split_by: str | None = None, exact: bool = True) -> DataFrame:
+    """Linear-interpolation quantiles as rows (keys, place, quantile), place counting the shares.
 
     ``exact=False`` settles for a sketch. Otherwise groups whose distinct values surely fit in one
     task use ``percentile``, and all others are found from cumulative counts.
     """
     keys = keys or []
     df = _clean(df, value, keys)
+    points = [float(p) for p in shares]
 
     def plain(fn):
-        aggs = [fn(F.col(value), float(p)).alias(n) for p, n in zip(shares, names)]
-        return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+        values = fn(F.col(value), points).alias("_q")
+        grouped = df.groupBy(*keys).agg(values) if keys else df.agg(values)
+        return grouped.select(*keys, F.posexplode("_q").alias("place", "quantile"))
 
     if not exact:
         return plain(lambda c, p: F.percentile_approx(c, p, 10_000))
-    n = _bucket_count(df.sparkSession)
-    sketch = _sketch(df, value, split_by, n)
+    sketch = _sketch(df, value, split_by, _bucket_count(df.sparkSession))
     if sum(row["distinct"] for row in sketch) <= SMALL_DISTINCT:
         return plain(F.percentile)
     w = "_n"
     counts = _with_bucket(_counts(df, value, keys, {w: F.lit(1).cast("long")}), value, split_by, sketch)
     offsets = _offsets(counts, keys, [w])
-    first, last = F.col(f"_{w}_off"), F.col(f"_{w}_off") + F.col(f"_{w}_bucket")
-    total = F.col(f"{w}_total")
-    wanted = F.lit(False)
-    for p in shares:
-        lo, hi, _ = _positions(total, p)
-        wanted = wanted | ((first <= lo) & (lo < last)) | ((first <= hi) & (hi < last))
+    first, size, total = F.col(f"_{w}_off"), F.col(f"_{w}_bucket"), F.col(f"{w}_total")
+
+    def target(p: Column, i: Column) -> Column:
+        at = (total - 1) * p
+        return F.struct(i.alias("place"), F.floor(at).alias("lo"), F.ceil(at).alias("hi"),
+                        (at - F.floor(at)).alias("part"))
+
+    def inside_bucket(t: Column) -> Column:
+        return ((first <= t["lo"]) & (t["lo"] < first + size)) | ((first <= t["hi"]) & (t["hi"] < first + size))
+
+    targets = F.filter(F.transform(F.array(*map(F.lit, points)), target), inside_bucket)
+    wanted = offsets.withColumn("_targets", targets).where(F.size("_targets") > 0)
     # Only buckets that hold a wanted position are ordered value by value.
-    near = counts.join(offsets.where(wanted), [*keys, "_bucket"])
-    inside = (Window.partitionBy(*keys, "_bucket").orderBy(value)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    near = near.withColumn("_from", first + F.coalesce(F.sum(w).over(inside), F.lit(0)))
+    near = counts.join(wanted.select(*keys, "_bucket", first, "_targets"), [*keys, "_bucket"])
+    smaller = (Window.partitionBy(*keys, "_bucket").orderBy(value)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    near = near.withColumn("_from", first + F.coalesce(F.sum(w).over(smaller), F.lit(0)))
+    # Only now, as the rows of a bucket must be counted once.
+    near = near.select(*keys, value, w, "_from", F.explode("_targets").alias("_t"))
     start, end = F.col("_from"), F.col("_from") + F.col(w)
-    aggs, finals = [], []
-    for i, (p, name) in enumerate(zip(shares, names)):
-        lo, hi, part = _positions(total, p)
-        aggs += [
-            F.max(F.when((start <= lo) & (lo < end), F.col(value))).alias(f"_lo{i}"),
-            F.max(F.when((start <= hi) & (hi < end), F.col(value))).alias(f"_hi{i}"),
-            F.max(part).alias(f"_part{i}"),
-        ]
-        finals.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_part{i}")).alias(name))
-    grouped = near.groupBy(*keys).agg(*aggs) if keys else near.agg(*aggs)
-    return grouped.select(*keys, *finals)
+
+    def at(name: str) -> Column:
+        return F.max(F.when((start <= F.col(f"_t.{name}")) & (F.col(f"_t.{name}") < end), F.col(value)))
+
+    found = near.groupBy(*keys, F.col("_t.place").alias("place")).agg(
+        at("lo").alias("_lo"), at("hi").alias("_hi"), F.max("_t.part").alias("_part"))
+    between = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")
+    return found.select(*keys, "place", between.alias("quantile"))
+
+
+def quantiles(df: DataFrame, value: str, shares: list[float], names: list[str],
+              keys: list[str] | None = None, split_by: str | None = None,
+              exact: bool = True) -> DataFrame:
+    """``quantile_rows`` with one column per share."""
+    rows = quantile_rows(df, value, shares, keys, split_by, exact)
+    aggs = [F.max(F.when(F.col("place") == i, F.col("quantile"))).alias(n) for i, n in enumerate(names)]
+    return rows.groupBy(*keys).agg(*aggs) if keys else rows.agg(*aggs)
 
 
 def melt(df: DataFrame, columns: list[str], ids: list[str] | None = None,

@@ -57,6 +57,9 @@ _TYPED_COLUMNS = """* REPLACE (
   TRY_CAST(total_charges AS DOUBLE) AS total_charges,
   TRY_CAST(total_costs AS DOUBLE) AS total_costs)"""
 
+# Bin of a value: how many of the nine inner edges of [lo, hi] are at or below it.
+EDGE_BIN = " + ".join(f"CAST(lo + {i} * ((hi - lo) / 10) <= value AS INT)" for i in range(1, 10))
+
 _TABLES = {
     "discharges": _DISCHARGES,
     "typed": f"SELECT {_TYPED_COLUMNS} FROM discharges",
@@ -77,7 +80,7 @@ _TABLES = {
   UNION ALL SELECT side, 'total_charges', total_charges FROM sides WHERE total_charges IS NOT NULL
   UNION ALL SELECT side, 'total_costs', total_costs FROM sides WHERE total_costs IS NOT NULL
   UNION ALL SELECT side, 'apr_drg_code', apr_drg_code FROM sides WHERE apr_drg_code IS NOT NULL""",
-    "psi": """SELECT feature, sum((a - e) * ln(a / e)) AS psi FROM (
+    "psi": f"""SELECT feature, sum((a - e) * ln(a / e)) AS psi FROM (
     SELECT b.feature, b.bin,
       CASE WHEN coalesce(ne, 0) = 0 THEN 0.0001 ELSE CAST(ne AS DOUBLE) / total_e END AS e,
       CASE WHEN coalesce(na, 0) = 0 THEN 0.0001 ELSE CAST(na AS DOUBLE) / total_a END AS a
@@ -86,16 +89,16 @@ _TABLES = {
                    count(*) FILTER (side = 'current') AS total_a FROM drift_long GROUP BY feature) AS t) AS b
     LEFT JOIN (
       SELECT feature, bin, count(*) FILTER (side = 'baseline') AS ne, count(*) FILTER (side = 'current') AS na
-      FROM (SELECT d.feature, side, len(list_filter(range(1, 10), i -> lo + i * ((hi - lo) / 10) <= value)) AS bin
+      FROM (SELECT d.feature, side, {EDGE_BIN} AS bin
             FROM drift_long AS d JOIN (SELECT feature, min(value) AS lo, max(value) AS hi FROM drift_long
                                        WHERE side = 'baseline' GROUP BY feature) AS r ON r.feature = d.feature) AS p
       GROUP BY feature, bin) AS c ON c.feature = b.feature AND c.bin = b.bin) AS s GROUP BY feature""",
     "ks": """SELECT feature, d AS ks_statistic,
-    CASE WHEN lambda < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * list_sum(list_transform(range(1, 101),
-      k -> (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * k * k * lambda * lambda))))) END AS ks_pvalue
+    CASE WHEN lam < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * (SELECT
+      sum((CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * k * k * lam * lam)) FROM range(1, 101) AS g (k)))) END AS ks_pvalue
   FROM (
     SELECT feature, max(abs(CAST(ce AS DOUBLE) / te - CAST(ca AS DOUBLE) / ta)) AS d,
-      max(abs(CAST(ce AS DOUBLE) / te - CAST(ca AS DOUBLE) / ta)) * sqrt(CAST(max(te) AS DOUBLE) * max(ta) / (max(te) + max(ta))) AS lambda
+      max(abs(CAST(ce AS DOUBLE) / te - CAST(ca AS DOUBLE) / ta)) * sqrt(CAST(max(te) AS DOUBLE) * max(ta) / (max(te) + max(ta))) AS lam
     FROM (
       SELECT feature, value, sum(ne) OVER w AS ce, sum(na) OVER w AS ca,
         sum(ne) OVER (PARTITION BY feature) AS te, sum(na) OVER (PARTITION BY feature) AS ta
