@@ -1,22 +1,29 @@
-"""Append-only table of scored rows, by day."""
+"""Append-only table of scored rows, in folders by day or another period."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+DAY = "yyyy-MM-dd"
+_FILES_PER_PERIOD = 8
 
-def with_day(df: DataFrame, ts: str) -> DataFrame:
-    return df.withColumn("day", F.date_format(ts, "yyyy-MM-dd"))
 
+def _write(df: DataFrame, ts: str, out: str, mode: str, period: str) -> None:
+    """Rows of one period go to a few tasks, so that a busy period is no single file and a quiet one few."""
+    rows = df.withColumn("period", F.date_format(ts, period))
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(_FILES_PER_PERIOD))
+    rows.repartition("period", spread).write.mode(mode).partitionBy("period").parquet(out)
 
-def append(df: DataFrame, ts: str, out: str) -> None:
+
+def append(df: DataFrame, ts: str, out: str, period: str = DAY) -> None:
     """Add a batch of scored rows."""
-    with_day(df, ts).repartition("day", F.pmod(F.xxhash64(ts), F.lit(8))).write.mode("append") \
-        .partitionBy("day").parquet(out)
+    _write(df, ts, out, "append", period)
 
 
-def start_log(scored: DataFrame, ts: str, out: str, checkpoint: str, trigger: dict | None = None):
+def start_log(scored: DataFrame, ts: str, out: str, checkpoint: str, period: str = DAY,
+              trigger: dict | None = None) -> StreamingQuery:
     """Log a stream of scored rows.
 
     Each micro-batch overwrites only its own ``batch`` folder, so a batch that runs again after a
@@ -24,11 +31,12 @@ def start_log(scored: DataFrame, ts: str, out: str, checkpoint: str, trigger: di
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        with_day(batch, ts).write.mode("overwrite").partitionBy("day").parquet(f"{out}/batch={number}")
+        _write(batch, ts, f"{out}/batch={number}", "overwrite", period)
 
     return (scored.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def read_log(spark, out: str) -> DataFrame:
-    return spark.read.parquet(out)
+    # A period is text, also where its folder name looks like a date or a number.
+    return spark.read.option("inferSchema", "false").parquet(out)
