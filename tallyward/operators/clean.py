@@ -17,6 +17,7 @@ from tallyward.functions.expr import (
     all_of, flag, number, numeric_columns, present, ratio, string_columns, strip,
 )
 from tallyward.operators.order_stats import column_quantiles
+from tallyward.operators.staging import stage
 
 
 def null_counts(df: DataFrame, columns: Iterable[str], means: Iterable[str] = ()) -> dict:
@@ -235,11 +236,14 @@ def clean_discharges(df: DataFrame, topcode: dict[str, str] | None = V.STAY_TOPC
                      drop_threshold: float = V.COLUMN_NULL_LIMIT, exact: bool = True) -> DataFrame:
     """Distinct rows with typed amounts in their valid range and no gaps.
 
-    ``topcode=None`` treats the open-ended stay as no number, so those rows are dropped.
+    ``topcode=None`` treats the open-ended stay as no number, so those rows are dropped. The valid rows
+    are staged: they are read both for their gaps and for the result, and finding repeats is the
+    costliest step, so it runs once.
     """
     valid = (df.transform(drop_duplicates)
              .transform(convert_types, COST_TYPES, topcode)
-             .transform(filter_rows, VALID_ROWS))
+             .transform(filter_rows, VALID_ROWS)
+             .transform(stage, "valid"))
     return impute(valid, "median", drop_threshold=drop_threshold, exact=exact)
 
 

@@ -13,11 +13,13 @@ def lookup_join(df: DataFrame, values: DataFrame, on: list[str], how: str = "lef
                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join on unique keys of ``values`` without sending one hot key to one task.
 
-    The values are counted first. Up to ``max_rows`` they are broadcast. Beyond that the large side
-    is salted, and each value row is repeated once per salt, so a hot key spreads over many tasks.
+    Up to ``max_rows`` values are fetched once and broadcast. If there are more, the large side is
+    salted, and each value row is repeated once per salt, so a hot key spreads over many tasks.
     """
-    if values.limit(max_rows + 1).count() <= max_rows:
-        return df.join(F.broadcast(values), on, how)
+    fetched = values.limit(max_rows + 1).toArrow()
+    if fetched.num_rows <= max_rows:
+        small = df.sparkSession.createDataFrame(fetched, values.schema)
+        return df.join(F.broadcast(small), on, how)
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
     repeated = values.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return df.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -1,7 +1,7 @@
 """Tree ensembles for regression: training, tuning, importance and scoring.
 
 Training reads its rows many times, so callers pass rows that are cheap to read again, such as a
-table written by ``sources.writers.stage``.
+table written by ``operators.staging.stage``.
 """
 
 from __future__ import annotations
@@ -50,8 +50,9 @@ RANGES = {
 # Setting -> parameter of the boosted model and of the forest.
 _GBT = {"n_estimators": "maxIter", "learning_rate": "stepSize", "max_depth": "maxDepth",
         "min_samples_leaf": "minInstancesPerNode", "subsample": "subsamplingRate", "random_state": "seed",
-        "max_features": "featureSubsetStrategy", "max_bins": "maxBins"}
-_FOREST = {**_GBT, "n_estimators": "numTrees"}
+        "max_features": "featureSubsetStrategy", "max_bins": "maxBins", "loss": "lossType", "tol": "validationTol"}
+_FOREST = {k: v for k, v in _GBT.items() if k not in ("learning_rate", "loss", "tol")} | {"n_estimators": "numTrees"}
+_LOSSES = {"squared_error": "squared", "absolute_error": "absolute"}
 _DEEPEST = 30
 
 
@@ -62,6 +63,8 @@ def _settings(names: dict[str, str], given: dict) -> dict:
             continue
         if key == "max_features":
             value = value or "all"
+        if key == "loss":
+            value = _LOSSES[value]
         if key == "max_depth":
             value = _DEEPEST if value is None else min(value, _DEEPEST)
         out[names[key]] = value

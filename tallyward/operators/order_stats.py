@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Up to this many distinct values, one task may hold them all and ``percentile`` is used as it is.
+# ``percentile`` keeps one map entry per distinct value of its group. So many entries surely fit in one
+# task, even if all rows belong to one group; beyond them quantiles come from cumulative counts.
+SMALL_ROWS = 8_000_000
 SMALL_DISTINCT = 10_000
 
 
@@ -20,14 +22,17 @@ def _bucket_count(spark: SparkSession) -> int:
     return max(16, min(1024, 2 * partitions))
 
 
+def _is_small(df: DataFrame, value: str) -> bool:
+    """Whether one task could hold a counter for every distinct value of every group."""
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(value).alias("distinct")).first()
+    return row["rows"] <= SMALL_ROWS or row["distinct"] <= SMALL_DISTINCT
+
+
 def _sketch(df: DataFrame, value: str, by: str | None, n: int) -> list:
-    """Split points and an estimate of the distinct values, per value of ``by``."""
+    """Split points, per value of ``by``."""
     shares = [i / n for i in range(1, n)]
-    aggs = [
-        F.percentile_approx(value, shares, max(1000, 10 * n)).alias("splits"),
-        F.approx_count_distinct(value).alias("distinct"),
-    ]
-    grouped = df.groupBy(by).agg(*aggs) if by else df.agg(*aggs)
+    splits = F.percentile_approx(value, shares, max(1000, 10 * n)).alias("splits")
+    grouped = df.groupBy(by).agg(splits) if by else df.agg(splits)
     return grouped.collect()  # one row per column of the source table, n numbers each
 
 
@@ -109,8 +114,8 @@ def quantile_rows(df: DataFrame, value: str, shares: list[float], keys: list[str
                   split_by: str | None = None, exact: bool = True) -> DataFrame:
     """Linear-interpolation quantiles as rows (keys, place, quantile), place counting the shares.
 
-    ``exact=False`` settles for a sketch. Otherwise groups whose distinct values surely fit in one
-    task use ``percentile``, and all others are found from cumulative counts.
+    ``exact=False`` settles for a sketch. Otherwise the rows are counted first: few enough go through
+    ``percentile``, and all others are found from cumulative counts.
     """
     keys = keys or []
     df = _clean(df, value, keys)
@@ -123,9 +128,9 @@ def quantile_rows(df: DataFrame, value: str, shares: list[float], keys: list[str
 
     if not exact:
         return plain(lambda c, p: F.percentile_approx(c, p, 10_000))
-    sketch = _sketch(df, value, split_by, _bucket_count(df.sparkSession))
-    if sum(row["distinct"] for row in sketch) <= SMALL_DISTINCT:
+    if _is_small(df, value):
         return plain(F.percentile)
+    sketch = _sketch(df, value, split_by, _bucket_count(df.sparkSession))
     w = "_n"
     counts = _with_bucket(_counts(df, value, keys, {w: F.lit(1).cast("long")}), value, split_by, sketch)
     offsets = _offsets(counts, keys, [w])

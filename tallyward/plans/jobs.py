@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from tallyward.functions import values as V
 from tallyward.operators import clean, drift, evaluate, features, models
 from tallyward.operators.split import hash_split
+from tallyward.operators.staging import stage
 from tallyward.sources import readers, writers
 
 TARGET = "log_total_costs"
 
 
 def prepare(rows: DataFrame, key: str, out: str, test_size: float = 0.2, seed: int = 42) -> None:
-    """Clean, derive features, split and write. The cleaned rows are staged, as fitting and writing both read them."""
-    cleaned = writers.stage(clean.clean_discharges(rows), "cleaned")
+    """Clean, derive features, split and write."""
+    cleaned = clean.clean_discharges(rows)
     writers.write_split(features.engineer_features(cleaned), out, TARGET, key, test_size, seed)
 
 
@@ -56,4 +57,4 @@ def model_table(rows: DataFrame, key: str, test_size: float = 0.2, seed: int = 4
     engineered = features.engineer_features(clean.clean_discharges(rows))
     names = models.feature_names(engineered, TARGET, drop=["order_no", "permanent_facility_id"])
     table = models.model_rows(hash_split(engineered, key, test_size, seed), TARGET, names, key, "split")
-    return writers.stage(table.withColumn("held_out", F.col("split") == "test"), "model-rows"), names
+    return stage(table.withColumn("held_out", F.col("split") == "test"), "model-rows"), names

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyward.operators import evaluate, models
 from tallyward.operators.models import PREDICTION
+from tallyward.operators.staging import stage
 from tallyward.plans import jobs
 from tallyward.plans.catalog import query
 from tallyward.plans.inputs import AMOUNTS, rounded, typed
@@ -131,7 +132,7 @@ def _request_model(spark, sf_dir):
     """A model of the two columns that requests carry."""
     rows = typed(spark, sf_dir, *_INPUTS, "total_costs").where("total_costs > 0")
     rows = models.model_rows(rows.withColumn("log_costs", F.log1p("total_costs")), "log_costs", _INPUTS)
-    return models.fit(models.boosted(_INPUTS, **_SMALL), writers.stage(rows, "request-rows"))
+    return models.fit(models.boosted(_INPUTS, **_SMALL), stage(rows, "request-rows"))
 
 
 @query(None)
@@ -156,6 +157,6 @@ def prediction_log(spark, sf_dir):
     out = scratch_path(spark, "log")
     log.start_log(models.score(model, stream), "discharge_ts", f"{out}/rows", f"{out}/progress",
                   period="yyyy-MM").awaitTermination()
-    back = log.read_log(spark, f"{out}/rows").groupBy(F.col("period").cast("string").alias("period"))
+    back = log.read_log(spark, f"{out}/rows").groupBy("period")
     return rounded(back.agg(F.count(F.lit(1)).alias("rows"), F.sum("total_charges").alias("charges"),
                             F.count_if(F.col("predicted_cost").isNull()).alias("unscored")), 2)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,6 +37,7 @@ def start_log(scored: DataFrame, ts: str, out: str, checkpoint: str, period: str
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def read_log(spark, out: str) -> DataFrame:
-    # A period is text, also where its folder name looks like a date or a number.
-    return spark.read.option("inferSchema", "false").parquet(out)
+def read_log(spark: SparkSession, out: str) -> DataFrame:
+    """All logged rows; folder names may read as dates, so the period is turned back into text."""
+    rows = spark.read.parquet(out)
+    return rows.withColumn("period", F.col("period").cast("string"))
