@@ -37,8 +37,8 @@ def finite(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-# Digits with an optional exponent. The cast alone would also take "10d", "NaN" and "Infinity".
-_NUMBER = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
+# The cast alone would also take "10d", "NaN" and "Infinity" for numbers; without these letters it does not.
+_NO_NUMBER = "dDfFnN"
 
 
 def number(df: DataFrame, name: str, topcode: dict[str, str] | None = None) -> Column:
@@ -54,7 +54,7 @@ def number(df: DataFrame, name: str, topcode: dict[str, str] | None = None) -> C
         return c.cast("double")
     for text, value in (topcode or {}).items():
         c = F.when(c == text, value).otherwise(c)
-    return F.regexp_extract(c, _NUMBER, 1).try_cast("double")
+    return F.translate(c, _NO_NUMBER, "?" * len(_NO_NUMBER)).try_cast("double")
 
 
 def flag(condition: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyward.functions import values as V
 from tallyward.functions.bins import closed_left_bin
 from tallyward.functions.expr import ratio
-from tallyward.operators.order_stats import SMALL_DISTINCT, average_ranks, quantile_rows, quantiles
+from tallyward.operators.order_stats import HOT_PART, average_ranks, quantile_rows, quantiles
 from tallyward.operators.profile import _range, histogram
 
 
@@ -103,7 +103,7 @@ def spearman(df: DataFrame, actual: str, prediction: str) -> DataFrame:
     """Correlation of ranks, ties sharing their mean rank.
 
     Rows are first counted per pair of values. The rank of a value that many rows share is broadcast:
-    at most ``SMALL_DISTINCT`` values can each hold that share of the rows. All other ranks are joined
+    at most ``HOT_PART`` values can each hold more than one row in ``HOT_PART``. All other ranks are joined
     by key, where no key holds many rows.
     """
     rows = _prepare(df, actual, prediction, False, [])
@@ -125,7 +125,7 @@ def spearman(df: DataFrame, actual: str, prediction: str) -> DataFrame:
 def _attach_rank(pairs: DataFrame, ranks: DataFrame, value: str, rank: str) -> DataFrame:
     """Join the rank of each value, hot values by broadcast and the rest by key."""
     total = ranks.agg(F.sum(f"{rank}_rows")).first()[0] or 0
-    limit = max(1, total // SMALL_DISTINCT)
+    limit = max(1, total // HOT_PART)
     hot = ranks.where(F.col(f"{rank}_rows") > limit).select(value, rank)
     cold = ranks.where(F.col(f"{rank}_rows") <= limit).select(value, F.col(rank).alias("_cold"))
     marked = pairs.join(F.broadcast(hot), value, "left")

@@ -9,6 +9,14 @@ BROADCAST_ROWS = 200_000
 SALTS = 32
 
 
+def fetched(values: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """The rows as a local table, or nothing if there are more than ``max_rows``."""
+    rows = values.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return None
+    return values.sparkSession.createDataFrame(rows, values.schema)
+
+
 def lookup_join(df: DataFrame, values: DataFrame, on: list[str], how: str = "left",
                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join on unique keys of ``values`` without sending one hot key to one task.
@@ -16,9 +24,8 @@ def lookup_join(df: DataFrame, values: DataFrame, on: list[str], how: str = "lef
     Up to ``max_rows`` values are fetched once and broadcast. If there are more, the large side is
     salted, and each value row is repeated once per salt, so a hot key spreads over many tasks.
     """
-    fetched = values.limit(max_rows + 1).toArrow()
-    if fetched.num_rows <= max_rows:
-        small = df.sparkSession.createDataFrame(fetched, values.schema)
+    small = fetched(values, max_rows)
+    if small is not None:
         return df.join(F.broadcast(small), on, how)
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
     repeated = values.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

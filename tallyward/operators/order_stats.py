@@ -1,9 +1,12 @@
 """Exact order statistics without a global sort in one task.
 
-Rows are first reduced to counts per distinct value, which combines on the map side, so a hot value
-costs nothing extra. The values are cut into buckets by split points taken from a sketch. Bucket
-totals (a few numbers per group) give each bucket its offset, and only values inside one bucket are
-ordered together. Quantiles, ranks and distribution functions all come from these cumulative counts.
+Quantiles: a sketch brackets each wanted place; one more pass counts what lies below the bracket and
+keeps the values inside it, which are few.
+
+Ranks and distribution functions: rows are reduced to counts per distinct value, which combines on
+the map side, so a hot value costs nothing extra. The values are cut into buckets by split points
+taken from a sketch. Bucket totals (a few numbers per group) give each bucket its offset, and only
+values inside one bucket are ordered together.
 """
 
 from __future__ import annotations
@@ -11,10 +14,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# ``percentile`` keeps one map entry per distinct value of its group. So many entries surely fit in one
-# task, even if all rows belong to one group; beyond them quantiles come from cumulative counts.
-SMALL_ROWS = 8_000_000
-SMALL_DISTINCT = 10_000
+from tallyward.operators.lookup import fetched, lookup_join
+
+# ``percentile`` keeps a counter per distinct value; up to so many, one task surely can.
+SMALL_GROUP = 20_000
+# Accuracy of the sketch that brackets a quantile: the wanted place is at most rows / ACCURACY away.
+ACCURACY = 2_000
+# Half-width of a bracket, as a share of the rows, and the rows up to which the bracket is the whole group.
+_SLACK = 3 / ACCURACY
+_WHOLE = 20 * ACCURACY
+# Beyond these, values between the brackets would be too many for one sort, or the brackets too many.
+BRACKET_ROWS = 8_000_000_000
+BRACKET_SHARES = 12
+# Values with more than one row in so many are few enough to be broadcast.
+HOT_PART = 10_000
 
 
 def _bucket_count(spark: SparkSession) -> int:
@@ -22,12 +35,6 @@ def _bucket_count(spark: SparkSession) -> int:
     return max(16, min(1024, 2 * partitions))
 
 
-def _is_small(df: DataFrame, value: str) -> bool:
-    """Whether one task could hold a counter for every distinct value of every group."""
-    row = df.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(value).alias("distinct")).first()
-    return row["rows"] <= SMALL_ROWS or row["distinct"] <= SMALL_DISTINCT
-
-
 def _sketch(df: DataFrame, value: str, by: str | None, n: int) -> list:
     """Split points, per value of ``by``."""
     shares = [i / n for i in range(1, n)]
@@ -110,26 +117,104 @@ def cumulative_counts(df: DataFrame, value: str, keys: list[str] | None = None,
     return joined.select(*keys, value, *out)
 
 
+def _brackets(df: DataFrame, value: str, shares: list[float], keys: list[str]) -> DataFrame:
+    """Rows of each group and, per share, two values that surely have the quantile between them."""
+    around = [x for p in shares for x in (max(0.0, p - _SLACK), min(1.0, p + _SLACK))]
+    aggs = [F.count(F.lit(1)).alias("_n"), F.approx_count_distinct(value).alias("_distinct"), F.min(value).alias("_min"), F.max(value).alias("_max"),
+            F.percentile_approx(value, around, ACCURACY).alias("_near")]
+    grouped = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs).where(F.col("_n") > 0)
+    whole = F.col("_n") <= _WHOLE
+    ends = []
+    for i, p in enumerate(shares):
+        ends.append(F.when(whole | F.lit(p - _SLACK <= 0), F.col("_min"))
+                    .otherwise(F.col("_near")[2 * i]).alias(f"_lo{i}"))
+        ends.append(F.when(whole | F.lit(p + _SLACK >= 1), F.col("_max"))
+                    .otherwise(F.col("_near")[2 * i + 1]).alias(f"_hi{i}"))
+    return grouped.select(*keys, "_n", "_distinct", *ends)
+
+
+def _quantiles_in_brackets(df: DataFrame, value: str, shares: list[float], keys: list[str],
+                           brackets: DataFrame) -> DataFrame:
+    """One pass counts what lies below each bracket and keeps only the values inside; those are ordered."""
+    rows = df.select(*keys, value)
+    ends = [c for i in range(len(shares)) for c in (f"_lo{i}", f"_hi{i}")]
+    if keys:
+        rows = lookup_join(rows, brackets.drop("_distinct"), keys, "inner")
+    else:
+        one = brackets.first()
+        rows = rows.withColumns({c: F.lit(one[c] if one else None).cast("double") for c in ends})
+        rows = rows.withColumn("_n", F.lit(one["_n"] if one else None).cast("long"))
+    x = F.col(value)
+    inside = F.lit(False)
+    for i in range(len(shares)):
+        inside = inside | x.between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
+    kept = rows.groupBy(*keys, F.when(inside, x).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"), *[F.max(c).alias(c) for c in ends],
+        *[F.count_if(x < F.col(f"_lo{i}")).alias(f"_b{i}") for i in range(len(shares))])
+    below = [F.sum(f"_b{i}").alias(f"_below{i}") for i in range(len(shares))]
+    names = [f"_below{i}" for i in range(len(shares))]
+    if keys:
+        kept = kept.join(kept.groupBy(*keys).agg(*below), keys)
+    else:
+        one = kept.agg(*below).first()
+        kept = kept.withColumns({c: F.lit(one[c]).cast("long") for c in names})
+    places = []
+    for i, p in enumerate(shares):
+        at = (F.col("_n") - 1) * F.lit(p)
+        places.append(F.struct(
+            F.lit(i).alias("place"), F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi"),
+            F.floor(at).alias("first"), F.ceil(at).alias("second"), (at - F.floor(at)).alias("part"),
+            F.col(f"_below{i}").alias("below")))
+    spread = kept.where(F.col("_v").isNotNull()).select(*keys, "_v", "_c", F.inline(F.array(*places)))
+    spread = spread.where(F.col("_v").between(F.col("lo"), F.col("hi")))
+    smaller = Window.partitionBy(*keys, "place").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = spread.withColumn("_from", F.col("below") + F.coalesce(F.sum("_c").over(smaller), F.lit(0)))
+
+    def at_place(name: str) -> Column:
+        hit = (F.col("_from") <= F.col(name)) & (F.col(name) < F.col("_from") + F.col("_c"))
+        return F.max(F.when(hit, F.col("_v")))
+
+    found = placed.groupBy(*keys, "place").agg(at_place("first").alias("_a"), at_place("second").alias("_z"),
+                                               F.max("part").alias("_part"))
+    between = F.col("_a") + (F.col("_z") - F.col("_a")) * F.col("_part")
+    lost = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    return found.select(*keys, "place", F.when(between.isNull(), lost).otherwise(between).alias("quantile"))
+
+
 def quantile_rows(df: DataFrame, value: str, shares: list[float], keys: list[str] | None = None,
                   split_by: str | None = None, exact: bool = True) -> DataFrame:
     """Linear-interpolation quantiles as rows (keys, place, quantile), place counting the shares.
 
-    ``exact=False`` settles for a sketch. Otherwise the rows are counted first: few enough go through
-    ``percentile``, and all others are found from cumulative counts.
+    ``exact=False`` settles for a sketch. Otherwise a sketch gives two bounds for each quantile, and
+    only values between them are shuffled and ordered. Small groups go through ``percentile``, and very
+    many rows or shares through cumulative counts of all distinct values.
     """
     keys = keys or []
     df = _clean(df, value, keys)
     points = [float(p) for p in shares]
 
-    def plain(fn):
-        values = fn(F.col(value), points).alias("_q")
-        grouped = df.groupBy(*keys).agg(values) if keys else df.agg(values)
+    def plain(values: Column) -> DataFrame:
+        grouped = df.groupBy(*keys).agg(values.alias("_q")) if keys else df.agg(values.alias("_q"))
         return grouped.select(*keys, F.posexplode("_q").alias("place", "quantile"))
 
     if not exact:
-        return plain(lambda c, p: F.percentile_approx(c, p, 10_000))
-    if _is_small(df, value):
-        return plain(F.percentile)
+        return plain(F.percentile_approx(F.col(value), points, 10_000))
+    if len(points) > BRACKET_SHARES:
+        return _quantiles_by_counts(df, value, points, keys, split_by)
+    brackets = _brackets(df, value, points, keys)
+    small = fetched(brackets)
+    sizes = F.max("_n").alias("rows"), F.max(F.least("_n", "_distinct")).alias("counters")
+    largest = (small if small is not None else brackets).agg(*sizes).first()
+    if small is not None and (largest["counters"] or 0) <= SMALL_GROUP:
+        return plain(F.percentile(F.col(value), points))
+    if largest["rows"] > BRACKET_ROWS:
+        return _quantiles_by_counts(df, value, points, keys, split_by)
+    return _quantiles_in_brackets(df, value, points, keys, small if small is not None else brackets)
+
+
+def _quantiles_by_counts(df: DataFrame, value: str, points: list[float], keys: list[str],
+                         split_by: str | None) -> DataFrame:
+    """Quantiles from cumulative counts of all distinct values."""
     sketch = _sketch(df, value, split_by, _bucket_count(df.sparkSession))
     w = "_n"
     counts = _with_bucket(_counts(df, value, keys, {w: F.lit(1).cast("long")}), value, split_by, sketch)
