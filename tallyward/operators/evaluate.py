@@ -107,31 +107,26 @@ def spearman(df: DataFrame, actual: str, prediction: str) -> DataFrame:
     by key, where no key holds many rows.
     """
     rows = _prepare(df, actual, prediction, False, [])
+    total = rows.count()
     pairs = rows.groupBy("_y", "_p").agg(F.count(F.lit(1)).alias("_n"))
-    pairs = _attach_rank(pairs, average_ranks(rows, "_y", "_ry"), "_y", "_ry")
-    pairs = _attach_rank(pairs, average_ranks(rows, "_p", "_rp"), "_p", "_rp")
-    x, y, n = F.col("_ry"), F.col("_rp"), F.col("_n")
-    total = F.sum(n)
-    sums = pairs.agg(total.alias("n"), F.sum(n * x).alias("x"), F.sum(n * y).alias("y"))
-    row = sums.first()
-    if not row["n"]:
-        return sums.select(F.lit(None).cast("double").alias("spearman"))
-    # Centred before squaring, so that large ranks do not swamp the result.
-    dx, dy = x - row["x"] / row["n"], y - row["y"] / row["n"]
+    pairs = _attach_rank(pairs, average_ranks(rows, "_y", "_ry"), "_y", "_ry", total)
+    pairs = _attach_rank(pairs, average_ranks(rows, "_p", "_rp"), "_p", "_rp", total)
+    # The mean of all ranks, ties or not. Centred before squaring, so that large ranks do not swamp the result.
+    middle = (total + 1) / 2
+    n, dx, dy = F.col("_n"), F.col("_ry") - middle, F.col("_rp") - middle
     top, left, right = F.sum(n * dx * dy), F.sum(n * dx * dx), F.sum(n * dy * dy)
     return pairs.agg(ratio(top, F.sqrt(left) * F.sqrt(right)).alias("spearman"))
 
 
-def _attach_rank(pairs: DataFrame, ranks: DataFrame, value: str, rank: str) -> DataFrame:
+def _attach_rank(pairs: DataFrame, ranks: DataFrame, value: str, rank: str, total: int) -> DataFrame:
     """Join the rank of each value, hot values by broadcast and the rest by key."""
-    total = ranks.agg(F.sum(f"{rank}_rows")).first()[0] or 0
     limit = max(1, total // HOT_PART)
     hot = ranks.where(F.col(f"{rank}_rows") > limit).select(value, rank)
-    cold = ranks.where(F.col(f"{rank}_rows") <= limit).select(value, F.col(rank).alias("_cold"))
+    cold = ranks.where(F.col(f"{rank}_rows") <= limit).select(value, rank)
     marked = pairs.join(F.broadcast(hot), value, "left")
     # Rows that have their rank take no part in the shuffled join.
     done = marked.where(F.col(rank).isNotNull())
-    rest = marked.where(F.col(rank).isNull()).drop(rank).join(cold.withColumnRenamed("_cold", rank), value)
+    rest = marked.where(F.col(rank).isNull()).drop(rank).join(cold, value)
     return done.unionByName(rest)
 
 

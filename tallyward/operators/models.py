@@ -210,10 +210,11 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, features: Iter
                  .withColumn("_group", F.pmod(F.xxhash64(F.lit(-1 - seed - k), F.col(key)), F.lit(groups)))
                  .withColumn("_other", F.coalesce(F.lead(values).over(window), F.first(values).over(whole)))
                  .select(*names, "label", "_other"))
-        for c in names:
-            changed = dealt.withColumn(c, F.col(f"_other.{c}")).drop("_other")
-            scored.append(model.transform(changed).select(
-                F.lit(c).alias("feature"), F.lit(k).alias("repeat"), "label", PREDICTION))
+        # One copy of the row per column, with that column changed.
+        copies = [F.struct(F.lit(c).alias("feature"), F.lit(k).alias("repeat"), F.col("label"),
+                           *[(F.col(f"_other.{n}") if n == c else F.col(n)).alias(n) for n in names]) for c in names]
+        changed = dealt.select(F.inline(F.array(*copies)))
+        scored.append(model.transform(changed).select("feature", "repeat", "label", PREDICTION))
     base = r2(model.transform(rows))
     together = scored[0]
     for part in scored[1:]:

@@ -24,36 +24,37 @@ ACCURACY = 2_000
 _SLACK = 3 / ACCURACY
 _WHOLE = 20 * ACCURACY
 # Beyond these, values between the brackets would be too many for one sort, or the brackets too many.
-BRACKET_ROWS = 8_000_000_000
+BRACKET_ROWS = 1_000_000_000
 BRACKET_SHARES = 12
 # Values with more than one row in so many are few enough to be broadcast.
 HOT_PART = 10_000
 
 
-def _bucket_count(spark: SparkSession) -> int:
+def bucket_count(spark: SparkSession) -> int:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(16, min(1024, 2 * partitions))
 
 
-def _sketch(df: DataFrame, value: str, by: str | None, n: int) -> list:
+def _sketch(df: DataFrame, value: str, by: str | None, n: int) -> dict[str, list]:
     """Split points, per value of ``by``."""
     shares = [i / n for i in range(1, n)]
     splits = F.percentile_approx(value, shares, max(1000, 10 * n)).alias("splits")
     grouped = df.groupBy(by).agg(splits) if by else df.agg(splits)
-    return grouped.collect()  # one row per column of the source table, n numbers each
+    # One row per column of the source table, n numbers each.
+    return {row[by] if by else "": row["splits"] for row in grouped.collect()}
 
 
-def _with_bucket(df: DataFrame, value: str, by: str | None, sketch: list) -> DataFrame:
+def with_bucket(df: DataFrame, value: str, by: str | None, splits: dict[str, list], kind: str = "double") -> DataFrame:
     """Add the bucket number: how many split points are at or below the value, by binary search.
 
     Each step is a projection of its own, so that the running number is not computed again and again
     inside the next step; it is never NULL, so no filter on it is pushed below.
     """
-    splits = {row[by] if by else "": sorted(set(row["splits"] or [])) for row in sketch}
+    splits = {k: sorted(set(v or [])) for k, v in splits.items()}
     if by is None:
-        points = F.array(*map(F.lit, splits.get("", []))).cast("array<double>")
+        points = F.array(*map(F.lit, splits.get("", []))).cast(f"array<{kind}>")
     else:
-        table = df.sparkSession.createDataFrame(list(splits.items()), f"{by} string, _splits array<double>")
+        table = df.sparkSession.createDataFrame(list(splits.items()), f"{by} string, _splits array<{kind}>")
         # As many rows as the source table has columns.
         df = df.join(F.broadcast(table), by)
         points = F.col("_splits")
@@ -102,8 +103,8 @@ def cumulative_counts(df: DataFrame, value: str, keys: list[str] | None = None,
     keys = keys or []
     weights = weights or {"n": F.lit(1).cast("long")}
     df = _clean(df, value, keys)
-    n = _bucket_count(df.sparkSession)
-    counts = _with_bucket(_counts(df, value, keys, weights), value, split_by,
+    n = bucket_count(df.sparkSession)
+    counts = with_bucket(_counts(df, value, keys, weights), value, split_by,
                           _sketch(df, value, split_by, n))
     offsets = _offsets(counts, keys, weights)
     inside = (Window.partitionBy(*keys, "_bucket").orderBy(value)
@@ -151,13 +152,9 @@ def _quantiles_in_brackets(df: DataFrame, value: str, shares: list[float], keys:
     kept = rows.groupBy(*keys, F.when(inside, x).alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"), *[F.max(c).alias(c) for c in ends],
         *[F.count_if(x < F.col(f"_lo{i}")).alias(f"_b{i}") for i in range(len(shares))])
-    below = [F.sum(f"_b{i}").alias(f"_below{i}") for i in range(len(shares))]
-    names = [f"_below{i}" for i in range(len(shares))]
-    if keys:
-        kept = kept.join(kept.groupBy(*keys).agg(*below), keys)
-    else:
-        one = kept.agg(*below).first()
-        kept = kept.withColumns({c: F.lit(one[c]).cast("long") for c in names})
+    # What lies below a bracket is spread over the rows of the group; all later steps need one shuffle by group.
+    group = Window.partitionBy(*keys)
+    kept = kept.withColumns({f"_below{i}": F.sum(f"_b{i}").over(group) for i in range(len(shares))})
     places = []
     for i, p in enumerate(shares):
         at = (F.col("_n") - 1) * F.lit(p)
@@ -215,9 +212,9 @@ def quantile_rows(df: DataFrame, value: str, shares: list[float], keys: list[str
 def _quantiles_by_counts(df: DataFrame, value: str, points: list[float], keys: list[str],
                          split_by: str | None) -> DataFrame:
     """Quantiles from cumulative counts of all distinct values."""
-    sketch = _sketch(df, value, split_by, _bucket_count(df.sparkSession))
+    sketch = _sketch(df, value, split_by, bucket_count(df.sparkSession))
     w = "_n"
-    counts = _with_bucket(_counts(df, value, keys, {w: F.lit(1).cast("long")}), value, split_by, sketch)
+    counts = with_bucket(_counts(df, value, keys, {w: F.lit(1).cast("long")}), value, split_by, sketch)
     offsets = _offsets(counts, keys, [w])
     first, size, total = F.col(f"_{w}_off"), F.col(f"_{w}_bucket"), F.col(f"{w}_total")
 
