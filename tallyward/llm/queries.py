@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, curriculum, probminhash, quality, spans
+from tallyward.llm import bpe, chat, curriculum, probminhash, quality, spans, urls, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,12 @@ def op1_quality_rules(spark, sf_dir):
     return found.drop("text")
 
 
+@query
+def op2_url_filter(spark, sf_dir):
+    """Rule and verdict of every page's URL."""
+    return urls.url_filter(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 @query
 def op3_bpe(spark, sf_dir):
     """Digests of the token ids and of the decoded text of every document."""
@@ -57,6 +63,22 @@ def op5_probminhash(spark, sf_dir):
     return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_chat_template(spark, sf_dir):
+    """What the formatted conversations hold, read back from them; one more conversation is full of control strings."""
+    rows = table(spark, sf_dir, "conversations")
+    said = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    both = rows.select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.read_back(chat.format_conversations(both))
+
+
+@query
+def op7_html_wrapper(spark, sf_dir):
+    """The main text of every page."""
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_curriculum(spark, sf_dir):
     """Target and words taken of every document."""
