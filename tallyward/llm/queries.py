@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chat, curriculum, probminhash, quality, spans, urls, wrappers
+from tallyward.llm import bpe, chat, curriculum, edit_embedding, probminhash, quality, spans, urls, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +79,12 @@ def op7_html_wrapper(spark, sf_dir):
     return wrappers.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op8_edit_fingerprint(spark, sf_dir):
+    """Fingerprints of every document and of its edited text, and what they have in common."""
+    return edit_embedding.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_curriculum(spark, sf_dir):
     """Target and words taken of every document."""
