@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chat, curriculum, edit_embedding, probminhash, quality, spans, urls, wrappers
+from tallyward.llm import bpe, chat, curriculum, edit_embedding, probminhash, quality, spans, suffixes, urls, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +85,13 @@ def op8_edit_fingerprint(spark, sf_dir):
     return edit_embedding.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_suffix_buckets(spark, sf_dir):
+    """What is left of every document without long repeated strings."""
+    left = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_curriculum(spark, sf_dir):
     """Target and words taken of every document."""
