@@ -97,13 +97,14 @@ def runs(block: Block) -> tuple[Spans, np.ndarray, dict[str, np.ndarray]]:
     fits[fits] &= last[from_end[fits]] != closing[fits]
     first, last = np.concatenate([first[kept], from_end[fits]]), np.concatenate([last[kept], closing[fits]])
     row = row[first]
+    closes = np.arange(len(first)) >= kept.sum()
     begin, end = begins[first], ends[last]
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_BASE, len(words)), dtype=np.uint64)])
     value = (sums[end] - sums[begin]) * _powers(_INVERSE, len(words) + 1)[begin]
     size = (end - begin).astype(np.uint64)
     sums2 = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes + _U(7)) * _powers(_BASE, len(words)), dtype=np.uint64)])
     value2 = (sums2[end] - sums2[begin]) * _powers(_INVERSE, len(words) + 1)[begin]
-    return words, begins, {"first": first, "last": last, "row": row, "run": mix(value + size).view(np.int64),
+    return words, begins, {"first": first, "last": last, "closes": closes, "row": row, "run": mix(value + size).view(np.int64),
                            "check": (mix(value2 + size) >> _U(32)).astype(np.uint32).view(np.int32)}
 
 
@@ -112,6 +113,11 @@ def _first_sentence(begins: np.ndarray, words: Spans) -> np.ndarray:
     return np.searchsorted(begins, words.first[:-1])
 
 
+def _place(found: dict[str, np.ndarray], base: np.ndarray) -> np.ndarray:
+    """Number of each run in its text: a sentence may begin two, of which the odd one ends with the text."""
+    return 2 * (found["first"] - base[found["row"]]) + found["closes"]
+
+
 def _find_runs(batches):
     for part, block in blocks(batches):
         words, begins, found = runs(block)
@@ -120,7 +126,7 @@ def _find_runs(batches):
         # Of equal runs in one text the earliest speaks for all.
         own = of_row(found["run"].view(np.uint64) ^ found["check"].view(np.uint32).astype(np.uint64), row)
         _, keep = np.unique(own, return_index=True)
-        place = found["first"] - _first_sentence(begins, words)[row]
+        place = _place(found, _first_sentence(begins, words))
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys[row[keep]]), pa.array(found["run"][keep]), pa.array(found["check"][keep]),
              pa.array(place[keep].astype(np.int32))], ["__key", "run", "check", "place"])
@@ -140,9 +146,9 @@ def _remove(names: list[str], text: str):
             listed = places.flatten().to_numpy(zero_copy_only=False)
             sizes = np.array([len(v) if v is not None else 0 for v in places.to_pylist()], np.int64)
             of = np.repeat(np.arange(block.rows), sizes)
-            marked = np.zeros(len(begins) + 1, bool)
-            marked[base[of] + listed] = True
-            starts_listed = marked[found["first"]] if len(own) else np.zeros(0, bool)
+            marked = np.zeros(2 * len(begins) + 1, bool)
+            marked[2 * base[of] + listed] = True
+            starts_listed = marked[_place(found, base) + 2 * base[row]]
             known = np.zeros(len(index), bool)
             np.logical_or.at(known, which, starts_listed)
             gone = spare | known[which]
