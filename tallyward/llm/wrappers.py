@@ -8,7 +8,8 @@ wrapper for each host and task is shuffled.
 
 The wrapper says which parts of the host's pages are read: the articles, without menus, headers, footers, sidebars, notices, adverts,
 forms and reader comments, known by their elements and by the words in their classes and ids. On pages without an article, the
-parts outside those are read whose text is a slot, as a text that is the same on every page of a host belongs to its template.
+parts outside those are read whose text is a slot, as a text that is the same on every page of a host belongs to its template (all
+parts if the host has no slot, as with a single page).
 
 Character references are decoded, white space inside a block becomes one space, and blocks are joined by a line break. NULL
 and empty pages have an empty text. URLs without a host share one wrapper. Markup that is cut off or not closed
@@ -81,26 +82,27 @@ def tokens(html: str):
 
 
 def walk(html: str):
-    """(path, block, text) for every text: the elements that hold it, and the number of its block."""
+    """(path, marks, block, text) for every text: the elements that hold it, their numbers, and the number of its block."""
     path: list[str] = []
+    marks: list[int] = []
     block = 0
     for kind, value, words in tokens(html):
         if kind == "text":
-            yield path, block, value
+            yield path, marks, block, value
             continue
         if value == "br":
-            yield path, block, " "
+            yield path, marks, block, " "
         if value in INLINE:
             continue
         block += 1
         if value not in HOLDERS:
             continue
         if kind == "open":
-            path = [*path, ".".join([value, *sorted({*words})])]
+            path, marks = [*path, ".".join([value, *sorted({*words})])], [*marks, block]
         else:
             at = next((i for i in range(len(path) - 1, -1, -1) if path[i].split(".")[0] == value), None)
             if at is not None:
-                path = path[:at]
+                path, marks = path[:at], marks[:at]
 
 
 # A node of a wrapper: [label, optional, repeated, digest of its text or None for a slot, children].
@@ -110,36 +112,32 @@ def page_wrapper(html: str) -> list:
     """The wrapper of one page."""
     root = ["", False, False, None, []]
     open_nodes: list[list] = [root]
-    last: list[str] | None = []
+    last: list[int] = []
     texts: list[str] = []
 
     def flush():
         text = " ".join("".join(texts).split())
         texts.clear()
         if text:
-            _append(open_nodes[-1], [SLOT, False, False, xxhash.xxh64_hexdigest(text), []])
+            open_nodes[-1][4].append([SLOT, False, False, xxhash.xxh64_hexdigest(text), []])
 
-    for path, _, text in walk(html):
-        if path != last:
+    for path, marks, _, text in walk(html):
+        if marks != last:
             flush()
             same = 0
-            while same < min(len(path), len(last)) and path[same] == last[same]:
+            while same < min(len(marks), len(last)) and marks[same] == last[same]:
                 same += 1
             del open_nodes[same + 1 :]
             for label in path[same:]:
                 node = [label, False, False, None, []]
                 open_nodes[-1][4].append(node)
                 open_nodes.append(node)
-            last = path
+            last = marks
         texts.append(text)
     flush()
     return _folded(root)
 
 
-def _append(node: list, child: list) -> None:
-    node[4].append(child)
-
-
 def _folded(node: list) -> list:
     """Neighbours of one kind become one repeated part."""
     children: list[list] = []
@@ -207,7 +205,7 @@ def is_apart(path: list[str]) -> bool:
 
 def read_parts(wrapper: list) -> tuple[list[str], list[str]]:
     """Paths of parts of articles to read, and of parts to read where there is no article."""
-    main, other = [], []
+    main, slots, fixed = [], [], []
 
     def visit(node, path):
         for child in node[4]:
@@ -216,11 +214,11 @@ def read_parts(wrapper: list) -> tuple[list[str], list[str]]:
             elif not is_apart(path):
                 if any(p.split(".")[0] in MAIN for p in path):
                     main.append("/".join(path))
-                elif child[3] is None:
-                    other.append("/".join(path))
+                else:
+                    (slots if child[3] is None else fixed).append("/".join(path))
 
     visit(wrapper, [])
-    return sorted({*main}), sorted({*other})
+    return sorted({*main}), sorted({*(slots or fixed)})
 
 
 def main_text(html: str, main: set[str], other: set[str]) -> str:
@@ -228,7 +226,7 @@ def main_text(html: str, main: set[str], other: set[str]) -> str:
     found: dict[int, list[str]] = {}
     rest: dict[int, list[str]] = {}
     place, known = None, ""
-    for path, block, text in walk(html):
+    for path, _, block, text in walk(html):
         if path is not place:
             place, known = path, "/".join(path)
         if known in main:
