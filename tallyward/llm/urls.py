@@ -78,7 +78,7 @@ def _slots(block: Block) -> tuple[np.ndarray, np.ndarray]:
 
 def _count(batches):
     counts = np.zeros((2, _TABLES, SLOTS), np.int64)
-    for part, block in blocks(batches, "address"):
+    for part, block in blocks(batches, "__address"):
         row, slots = _slots(block)
         allowed = part.column("allowed").to_numpy(zero_copy_only=False)[row]
         for table in range(_TABLES):
@@ -99,7 +99,7 @@ def _log_likelihood(counts: np.ndarray, slots: np.ndarray) -> np.ndarray:
 
 def _score(counts: np.ndarray | None, names: list[str]):
     def score(batches):
-        for part, block in blocks(batches, "address"):
+        for part, block in blocks(batches, "__address"):
             if counts is None:
                 found = np.zeros(block.rows)
             else:
@@ -112,14 +112,14 @@ def _score(counts: np.ndarray | None, names: list[str]):
 
 
 def scored(df: DataFrame, counts: np.ndarray | None) -> DataFrame:
-    """``df`` with the score of its column ``address``."""
+    """``df`` with the score of its column ``__address``."""
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in df.columns)
     return df.mapInArrow(_score(counts, df.columns), f"{kinds}, score double")
 
 
 def fit(judged: DataFrame) -> tuple[np.ndarray | None, float]:
-    """Counts by class, table and slot, and the threshold, from rows of (``address``, ``allowed``)."""
-    held = F.pmod(F.xxhash64(F.lit("held"), "address"), F.lit(HELD_OUT)) == 0
+    """Counts by class, table and slot, and the threshold, from rows of (``__address``, ``allowed``)."""
+    held = F.pmod(F.xxhash64(F.lit("held"), "__address"), F.lit(HELD_OUT)) == 0
     found = judged.where(~held).mapInArrow(_count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
     table = found.toArrow()  # at most one row a slot
     counts = np.zeros(2 * _TABLES * SLOTS)
@@ -145,9 +145,9 @@ def fit(judged: DataFrame) -> tuple[np.ndarray | None, float]:
 def url_filter(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
     """``pages`` with host, path, rule, verdict and score."""
     rows = pages.drop(*[c for c in RESULTS if c != url]).withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    rows = rows.withColumn("__rule", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn("address", F.concat("host", "path"))
-    judged = rows.where("__rule is not null").select("address", (F.col("__rule.verdict") == "allow").alias("allowed"))
+    rows = rows.withColumn("__rule", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn("__address", F.concat("host", "path"))
+    judged = rows.where("__rule is not null").select("__address", (F.col("__rule.verdict") == "allow").alias("allowed"))
     counts, threshold = fit(judged)
     verdict = F.when(F.col("score") >= F.lit(threshold), "allow").otherwise("block")
     return (scored(rows, counts).withColumn("rule", F.col("__rule.rule"))
-            .withColumn("verdict", F.coalesce(F.col("__rule.verdict"), verdict)).drop("__rule", "address"))
+            .withColumn("verdict", F.coalesce(F.col("__rule.verdict"), verdict)).drop("__rule", "__address"))
