@@ -38,9 +38,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and digests of them and of the decoded text."""
-    path = queries.vocabulary()
-    coded = bpe.encode(docs.select("doc_id", "source", "text"), path).select("doc_id", "source", "ids")
-    return bpe.with_digests(bpe.decode(coded, path), "doc_id", "source", "ids")
+    coded = bpe.encode(docs.select("doc_id", "source", "text"), queries.vocabulary(), decoded="decoded")
+    return bpe.with_digests(coded, "doc_id", "source", "ids")
 
 
 STAGES = [("quality rules", quality_rules), ("near dedup", near_dedup), ("substring dedup", substring_dedup),

@@ -17,20 +17,23 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import sys
 import unicodedata
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.llm.textblocks import blocks
+
 #: Words remembered by a task; beyond that it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 #: Words of so many characters of text are looked up together.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 1_000_000
 #: Fragments of more symbols are merged with a heap.
 LONG = 48
 NO_RANK = (1 << 30) - 1
@@ -42,6 +45,20 @@ _SAME = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 _UNUSUAL = re.compile("[\x1c-\x1f\u00b2\u00b3\u00b9\u00bc-\u00be\u0250-\U0010ffff]")
 
 
+def members(major: str) -> str:
+    """All characters of a major Unicode category, as ranges for a character class."""
+    inside = [unicodedata.category(chr(c))[0] == major for c in range(sys.maxunicode + 1)]
+    edges = [c for c in range(len(inside)) if inside[c] != (c > 0 and inside[c - 1])] + [len(inside)] * inside[-1]
+    return "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in zip(edges[::2], edges[1::2]))
+
+
+def word_pattern(pattern: str) -> re.Pattern:
+    """The file's word pattern for the standard library, with its classes of letters, numbers and white space spelled out."""
+    for name, inside in ((r"\p{L}", members("L")), (r"\p{N}", members("N")), (r"\s", "\t-\r\x85" + members("Z"))):
+        pattern = pattern.replace(f"[{name}]", f"[{inside}]").replace(name, inside)
+    return re.compile(pattern)
+
+
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte: itself, or for the others the next one from U+0100 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -95,9 +112,9 @@ class Tokenizer:
         self.tokens = {i: t for t, i in ids.items()}
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens.update({i: t for t, i in self.specials.items()})
-        self.special = regex.compile("(" + "|".join(regex.escape(t) for t in self.specials) + ")") if self.specials else None
+        self.special = re.compile("(" + "|".join(re.escape(t) for t in self.specials) + ")") if self.specials else None
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(split["pattern"]["Regex"])
+        self.words = word_pattern(split["pattern"]["Regex"])
         self.usual = split["pattern"]["Regex"] == _PATTERN
         merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
@@ -266,7 +283,7 @@ def normalised(text: str) -> str:
     return text.lower()
 
 
-_LOADED: dict[int, Tokenizer] = {}
+_LOADED: dict[str, Tokenizer] = {}
 
 
 def _tokenizer(sent) -> Tokenizer:
@@ -282,47 +299,59 @@ class _Sent:
 
     def __init__(self, spark, path: str):
         with open(path, "rb") as file:
-            self.content = spark.sparkContext.broadcast(file.read())
-        self.id = self.content.id if hasattr(self.content, "id") else hash(path)
+            content = file.read()
+        self.content, self.id = spark.sparkContext.broadcast(content), xxhash.xxh64_hexdigest(content)
 
     @property
     def value(self) -> bytes:
         return self.content.value
 
 
-def _mapped(df: DataFrame, fn, result: str, kind: str) -> DataFrame:
-    names = [c for c in df.columns if c != result]
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in names] + [f"`{result}` {kind}"])
+def _mapped(df: DataFrame, names: list[str], fn, results: dict[str, str]) -> DataFrame:
+    """``df``'s columns ``names`` with those that ``fn`` gives for each batch."""
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in names] + [f"`{c}` {k}" for c, k in results.items()])
 
     def run(batches):
         for batch in batches:
-            kept = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*kept, fn(batch)], [*names, result])
+            for part, made in fn(batch):
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], *made], [*names, *results])
 
     return df.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", result: str = "ids") -> DataFrame:
-    """``df`` with the token ids of ``text``."""
+def _ids_array(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(flat, pa.int32()))
+
+
+def _decoded(tokenizer: Tokenizer, flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    ends = np.cumsum(counts)
+    return pa.array([tokenizer.decode(flat[e - n : e].tolist()) for e, n in zip(ends.tolist(), counts.tolist())], pa.string())
+
+
+def encode(df: DataFrame, path: str, text: str = "text", result: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``df`` with the token ids of ``text``, and with the text they decode to if its column is named."""
     sent = _Sent(df.sparkSession, path)
 
-    def ids(batch):
-        flat, counts = _tokenizer(sent).encode_all(pc.fill_null(batch.column(text), "").to_pylist())
-        ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+    def parts(batch):
+        tokenizer = _tokenizer(sent)
+        for part, _ in blocks(iter([batch]), text, GROUP_CHARS):
+            flat, counts = tokenizer.encode_all(pc.fill_null(part.column(text), "").to_pylist())
+            yield part, [_ids_array(flat, counts), *([_decoded(tokenizer, flat, counts)] if decoded else [])]
 
-    return _mapped(df, ids, result, "array<int>")
+    names = [c for c in df.columns if c not in (result, decoded)]
+    return _mapped(df, names, parts, {result: "array<int>", **({decoded: "string"} if decoded else {})})
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", result: str = "decoded") -> DataFrame:
     """``df`` with the text of the token ids: the tokens joined by a space, special ones included."""
     sent = _Sent(df.sparkSession, path)
 
-    def texts(batch):
-        tokenizer = _tokenizer(sent)
-        return pa.array([tokenizer.decode(v or ()) for v in batch.column(ids).to_pylist()], pa.string())
+    def parts(batch):
+        column = batch.column(ids)
+        counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        yield batch, [_decoded(_tokenizer(sent), column.flatten().to_numpy(zero_copy_only=False), counts)]
 
-    return _mapped(df, texts, result, "string")
+    return _mapped(df, [c for c in df.columns if c != result], parts, {result: "string"})
 
 
 def with_digests(coded: DataFrame, *kept: str) -> DataFrame:
@@ -335,4 +364,4 @@ def with_digests(coded: DataFrame, *kept: str) -> DataFrame:
 
 def digests(df: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """Number of tokens and digests of the ids and of the decoded text, for each row."""
-    return with_digests(decode(encode(df.select(key, "text"), path).select(key, "ids"), path), key)
+    return with_digests(encode(df.select(key, "text"), path, decoded="decoded"), key)
