@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,17 +30,19 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", f"local[{cpus}]", **{
-        "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8", "spark.driver.memory": "16g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"), "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8", "spark.driver.memory": "16g",
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     for name in WARM_UP:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in sys.argv[1:] or HEADLINE:
+        spark.sparkContext.setJobGroup(name, name)
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
-        print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+        print(f"{name} {seconds[name]} s, {jobs} jobs", file=sys.stderr, flush=True)
     print(json.dumps({"metric": "total_warm_query_time", "value": round(sum(seconds.values()), 3), "unit": "sec",
                       "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/"))}))
     spark.stop()

@@ -1,7 +1,7 @@
 """Drift between a baseline and current rows: population stability, Kolmogorov-Smirnov, summaries.
 
-All numeric columns are handled in one job over a melted table. What is shuffled are counts: per bin
-for the stability index, per distinct value for the distribution distance.
+All numeric columns are melted and both sides read once: what is kept are counts per column and distinct value, from which the stability
+index, the distribution distance and the moments follow.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyward.functions import values as V
 from tallyward.functions.bins import edge_bin
 from tallyward.functions.expr import numeric_columns, ratio
-from tallyward.operators.order_stats import cumulative_counts, melt
+from tallyward.operators.order_stats import cumulated, melt, ranged_counts
 
 
 def common_features(baseline: DataFrame, current: DataFrame, features: Iterable[str] | None = None) -> list[str]:
@@ -41,21 +41,30 @@ def psi_of_counts(expected: list[Column], actual: list[Column]) -> Column:
     return reduce(Column.__add__, [_term(ratio(e, te), ratio(a, ta)) for e, a in zip(expected, actual)])
 
 
-def baseline_ranges(long: DataFrame) -> DataFrame:
+#: Weight of the rows of each side.
+_SIDES = {"b": 0, "c": 1}
+
+
+def value_counts(long: DataFrame) -> DataFrame:
+    """Rows of each side per feature and distinct value, in staged ranges. All figures follow from this one table."""
+    weights = {w: F.when(F.col("side") == i, 1).otherwise(0).cast("long") for w, i in _SIDES.items()}
+    return ranged_counts(long, "value", ["feature"], weights)
+
+
+def baseline_ranges(counts: DataFrame) -> DataFrame:
     """Smallest and largest baseline value: one row per column of the table."""
-    base = F.when(F.col("side") == 0, F.col("value"))
-    return long.groupBy("feature").agg(F.min(base).alias("lo"), F.max(base).alias("hi"))
+    base = F.when(F.col("b") > 0, F.col("value"))
+    return counts.groupBy("feature").agg(F.min(base).alias("lo"), F.max(base).alias("hi"))
 
 
-def psi(long: DataFrame, bins: int = V.PSI_BINS) -> DataFrame:
+def psi(counts: DataFrame, bins: int = V.PSI_BINS) -> DataFrame:
     """Index per feature over equal-width bins of the baseline range; the outer bins are open."""
-    placed = long.join(F.broadcast(baseline_ranges(long)), "feature").withColumn(
+    placed = counts.join(F.broadcast(baseline_ranges(counts)), "feature").withColumn(
         "bin", edge_bin(F.col("value"), F.col("lo"), F.col("hi"), bins))
-    counts = placed.groupBy("feature").agg(
-        *[F.count_if((F.col("side") == s) & (F.col("bin") == i)).alias(f"{n}{i}")
-          for s, n in ((0, "e"), (1, "a")) for i in range(bins)])
-    index = psi_of_counts([F.col(f"e{i}") for i in range(bins)], [F.col(f"a{i}") for i in range(bins)])
-    return counts.select("feature", index.alias("psi"))
+    sums = placed.groupBy("feature").agg(
+        *[F.coalesce(F.sum(F.when(F.col("bin") == i, F.col(w))), F.lit(0)).alias(f"{w}{i}") for w in _SIDES for i in range(bins)])
+    index = psi_of_counts([F.col(f"b{i}") for i in range(bins)], [F.col(f"c{i}") for i in range(bins)])
+    return sums.select("feature", index.alias("psi"))
 
 
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
@@ -69,11 +78,9 @@ def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     return F.when(lam < 0.2, 1.0).otherwise(p)
 
 
-def ks(long: DataFrame) -> DataFrame:
+def ks(counts: DataFrame) -> DataFrame:
     """Largest distance between the two distribution functions of each feature, with its p-value."""
-    weights = {"b": F.when(F.col("side") == 0, 1).otherwise(0).cast("long"),
-               "c": F.when(F.col("side") == 1, 1).otherwise(0).cast("long")}
-    counts = cumulative_counts(long, "value", ["feature"], weights, "feature")
+    counts = cumulated(counts, "value", ["feature"], _SIDES)
 
     def share(w: str) -> Column:
         return ratio(F.col(f"{w}_before") + F.col(w), F.col(f"{w}_total"))
@@ -85,19 +92,24 @@ def ks(long: DataFrame) -> DataFrame:
                         ks_pvalue(F.col("ks_statistic"), F.col("_n"), F.col("_m")).alias("ks_pvalue"))
 
 
-def side_stats(long: DataFrame) -> DataFrame:
-    aggs = []
-    for i, name in enumerate(("baseline", "current")):
-        x = F.when(F.col("side") == i, F.col("value"))
-        aggs += [F.avg(x).alias(f"{name}_mean"), F.stddev_samp(x).alias(f"{name}_std")]
-    return long.groupBy("feature").agg(*aggs)
+def side_stats(counts: DataFrame) -> DataFrame:
+    """Mean and deviation of both sides, the deviation from the distances to the mean."""
+    x = F.col("value")
+    names = {"b": "baseline", "c": "current"}
+    means = counts.groupBy("feature").agg(
+        *[F.sum(w).alias(f"n_{w}") for w in names], *[ratio(F.sum(x * F.col(w)), F.sum(w)).alias(f"{n}_mean") for w, n in names.items()])
+    far = counts.join(F.broadcast(means), "feature")  # one row per column of the table
+    square = {w: F.col(w) * (x - F.col(f"{n}_mean")) * (x - F.col(f"{n}_mean")) for w, n in names.items()}
+    return far.groupBy("feature").agg(
+        *[F.first(f"{n}_mean").alias(f"{n}_mean") for n in names.values()],
+        *[F.sqrt(ratio(F.sum(square[w]), F.first(f"n_{w}") - 1)).alias(f"{n}_std") for w, n in names.items()])
 
 
 def detect(baseline: DataFrame, current: DataFrame, threshold: float = V.PSI_DRIFT,
            features: Iterable[str] | None = None, alpha: float = V.KS_ALPHA) -> DataFrame:
     """Verdict per common numeric column, highest index first."""
-    long = both_sides(baseline, current, common_features(baseline, current, features))
-    joined = side_stats(long).join(psi(long), "feature", "left").join(ks(long), "feature", "left")
+    counts = value_counts(both_sides(baseline, current, common_features(baseline, current, features)))
+    joined = side_stats(counts).join(psi(counts), "feature", "left").join(ks(counts), "feature", "left")
     drifted = F.coalesce(F.col("psi") > threshold, F.lit(False)) | F.coalesce(F.col("ks_pvalue") < alpha, F.lit(False))
     return joined.select(
         "feature", drifted.alias("drift_detected"), "psi", "ks_statistic", "ks_pvalue",
@@ -110,21 +122,22 @@ def band(index: Column) -> Column:
             .when(index > V.PSI_SIGNIFICANT, "significant"))
 
 
-def summary(results: DataFrame, threshold: float = V.PSI_DRIFT, top: int = 10) -> DataFrame:
-    """One row: how many columns were checked and drifted, and the most drifted of them."""
+def summary(results: DataFrame, threshold: float = V.PSI_DRIFT, top: int | None = None) -> DataFrame:
+    """One row: how many columns were checked and drifted, and the drifted ones, or the ``top`` most drifted of them."""
     change = ratio((F.col("current_mean") - F.col("baseline_mean")) * 100, F.col("baseline_mean"))
     item = F.struct((-F.col("psi")).alias("order"), F.col("feature"), F.col("psi"), band(F.col("psi")).alias("band"),
                     F.col("ks_statistic"), F.col("ks_pvalue"), change.alias("mean_change"))
     listed = F.array_sort(F.collect_list(F.when(F.col("drift_detected"), item)))
     return results.agg(
         F.count(F.lit(1)).alias("total_features"), F.count_if("drift_detected").alias("drifted_features"),
-        F.lit(threshold).alias("drift_threshold"), F.slice(listed, 1, top).alias("top_drifted"))
+        F.lit(threshold).alias("drift_threshold"), (listed if top is None else F.slice(listed, 1, top)).alias("top_drifted"))
 
 
 def baseline_profile(baseline: DataFrame, features: list[str], bins: int = V.PSI_BINS) -> DataFrame:
     """Range and histogram of the baseline: one row per column, small enough to keep."""
-    long = melt(baseline, features).where(F.col("value") <= float("inf")).withColumn("side", F.lit(0))
-    placed = long.join(F.broadcast(baseline_ranges(long)), "feature").withColumn(
+    long = melt(baseline, features).where(F.col("value") <= float("inf"))
+    ranges = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))  # one row per column of the table
+    placed = long.join(F.broadcast(ranges), "feature").withColumn(
         "bin", edge_bin(F.col("value"), F.col("lo"), F.col("hi"), bins))
     return placed.groupBy("feature").agg(
         F.max("lo").alias("lo"), F.max("hi").alias("hi"),
@@ -135,7 +148,7 @@ def drift_by_window(df: DataFrame, profile: DataFrame, features: list[str], ts:
                     watermark: str | None = None, bins: int = V.PSI_BINS) -> DataFrame:
     """Stability index per time window and feature against a fixed baseline profile.
 
-    Works on batch and streaming frames. A stream keeps one row of ``bins`` counts per open window
+    ``width`` is a duration such as '1 day', or 'month' for calendar months, which only a batch can have. Works on batch and streaming frames. A stream keeps one row of ``bins`` counts per open window
     and feature, and gives the index when the watermark closes the window.
     """
     if watermark is not None:
@@ -143,7 +156,13 @@ def drift_by_window(df: DataFrame, profile: DataFrame, features: list[str], ts:
     long = melt(df, features, [ts]).where(F.col("value") <= float("inf"))
     placed = long.join(F.broadcast(profile.select("feature", "lo", "hi")), "feature").withColumn(
         "bin", edge_bin(F.col("value"), F.col("lo"), F.col("hi"), bins))
-    counts = placed.groupBy(F.window(ts, width).alias("window"), "feature").agg(
+    window = F.window(ts, width).alias("window")
+    if width == "month":
+        if df.isStreaming:
+            raise ValueError("a stream has no windows of calendar months")
+        first = F.date_trunc("month", ts)
+        window = F.struct(first.alias("start"), F.add_months(first, 1).cast("timestamp").alias("end")).alias("window")
+    counts = placed.groupBy(window, "feature").agg(
         F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col("bin") == i).alias(f"a{i}") for i in range(bins)])
     joined = counts.join(F.broadcast(profile.select("feature", "expected")), "feature")
     index = psi_of_counts([F.col("expected")[i] for i in range(bins)], [F.col(f"a{i}") for i in range(bins)])

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tallyward.functions import values as V
 from tallyward.functions.bins import closed_left_bin
 from tallyward.functions.expr import ratio
-from tallyward.operators.order_stats import HOT_PART, average_ranks, quantile_rows, quantiles
+from tallyward.operators.order_stats import average_ranks, quantile_rows, quantiles
 from tallyward.operators.profile import _range, histogram
+from tallyward.operators.staging import stage
 
 
 def _sums(y: Column, p: Column) -> dict[str, Column]:
@@ -23,20 +24,26 @@ def _sums(y: Column, p: Column) -> dict[str, Column]:
         "var_actual": F.var_pop(y), "var_prediction": F.var_pop(p), "var_error": F.var_pop(e),
         "mae": F.avg(F.abs(e)), "mse": F.avg(e * e),
         "mape_share": F.avg(F.abs(e) / F.greatest(F.abs(y), F.lit(V.MAPE_FLOOR))),
-        "low": F.min(y), "high": F.max(y),
+        "low": F.min(y), "high": F.max(y), "error_low": F.min(e), "error_high": F.max(e),
         "msle": F.avg(F.pow(F.log1p(F.when(y > -1, y)) - F.log1p(F.when(p > -1, p)), F.lit(2.0))),
     }
 
 
+def _explained(share: Column, perfect: Column) -> Column:
+    """A share of the variance of the actual values: of a constant 1 if the prediction is perfect and 0 else, of one row none."""
+    constant = F.when(perfect, 1.0).otherwise(0.0)
+    return F.when(F.col("n") < 2, None).when(F.col("low") == F.col("high"), constant).otherwise(share)
+
+
 def _metric_columns() -> dict[str, Column]:
     c = F.col
     positive = c("mean_actual") > 0
     return {
-        "r2_score": 1 - ratio(c("mse"), c("var_actual")),
+        "r2_score": _explained(1 - ratio(c("mse"), c("var_actual")), c("mse") == 0),
         "mae": c("mae"),
         "rmse": F.sqrt("mse"),
         "mape": c("mape_share") * 100,
-        "explained_variance": 1 - ratio(c("var_error"), c("var_actual")),
+        "explained_variance": _explained(1 - ratio(c("var_error"), c("var_actual")), c("error_low") == c("error_high")),
         "mean_prediction": c("mean_prediction"),
         "mean_actual": c("mean_actual"),
         "std_prediction": F.sqrt("var_prediction"),
@@ -102,32 +109,18 @@ def metrics(df: DataFrame, actual: str, prediction: str, keys: list[str] | None
 def spearman(df: DataFrame, actual: str, prediction: str) -> DataFrame:
     """Correlation of ranks, ties sharing their mean rank.
 
-    Rows are first counted per pair of values. The rank of a value that many rows share is broadcast:
-    at most ``HOT_PART`` values can each hold more than one row in ``HOT_PART``. All other ranks are joined
-    by key, where no key holds many rows.
+    Rows are counted per pair of values once; both rankings and the sums come from that table.
     """
     rows = _prepare(df, actual, prediction, False, [])
-    total = rows.count()
-    pairs = rows.groupBy("_y", "_p").agg(F.count(F.lit(1)).alias("_n"))
-    pairs = _attach_rank(pairs, average_ranks(rows, "_y", "_ry"), "_y", "_ry", total)
-    pairs = _attach_rank(pairs, average_ranks(rows, "_p", "_rp"), "_p", "_rp", total)
+    pairs = stage(rows.groupBy("_y", "_p").agg(F.count(F.lit(1)).alias("_n")), "pairs")
+    ranked = (pairs.join(average_ranks(pairs, "_y", "_ry", F.col("_n")), "_y")
+              .join(average_ranks(pairs, "_p", "_rp", F.col("_n")), "_p"))
     # The mean of all ranks, ties or not. Centred before squaring, so that large ranks do not swamp the result.
+    total = pairs.agg(F.sum("_n")).first()[0] or 0
     middle = (total + 1) / 2
     n, dx, dy = F.col("_n"), F.col("_ry") - middle, F.col("_rp") - middle
     top, left, right = F.sum(n * dx * dy), F.sum(n * dx * dx), F.sum(n * dy * dy)
-    return pairs.agg(ratio(top, F.sqrt(left) * F.sqrt(right)).alias("spearman"))
-
-
-def _attach_rank(pairs: DataFrame, ranks: DataFrame, value: str, rank: str, total: int) -> DataFrame:
-    """Join the rank of each value, hot values by broadcast and the rest by key."""
-    limit = max(1, total // HOT_PART)
-    hot = ranks.where(F.col(f"{rank}_rows") > limit).select(value, rank)
-    cold = ranks.where(F.col(f"{rank}_rows") <= limit).select(value, rank)
-    marked = pairs.join(F.broadcast(hot), value, "left")
-    # Rows that have their rank take no part in the shuffled join.
-    done = marked.where(F.col(rank).isNotNull())
-    rest = marked.where(F.col(rank).isNull()).drop(rank).join(cold, value)
-    return done.unionByName(rest)
+    return ranked.agg(ratio(top, F.sqrt(left) * F.sqrt(right)).alias("spearman"))
 
 
 def residuals(df: DataFrame, actual: str, prediction: str, inverse: bool = False) -> DataFrame:

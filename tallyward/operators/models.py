@@ -26,27 +26,6 @@ from tallyward.session import ensure_checkpoint_dir
 
 PREDICTION = "prediction"
 
-# Defaults of the boosted model.
-DEFAULTS = {"n_estimators": 200, "learning_rate": 0.1, "max_depth": 7, "min_samples_leaf": 1, "subsample": 0.8,
-            "random_state": 42}
-# Default grid and ranges of the search.
-GRID = {
-    "n_estimators": [100, 200, 300],
-    "learning_rate": [0.01, 0.05, 0.1, 0.2],
-    "max_depth": [3, 5, 7, 10],
-    "min_samples_leaf": [1, 2, 4],
-    "subsample": [0.8, 0.9, 1.0],
-    "max_features": ["sqrt", "log2", None],
-}
-RANGES = {
-    "n_estimators": (100, 499),
-    "learning_rate": (0.01, 0.31),
-    "max_depth": (3, 14),
-    "min_samples_leaf": (1, 9),
-    "subsample": (0.6, 1.0),
-    "max_features": ["sqrt", "log2", None],
-}
-
 # Setting -> parameter of the boosted model and of the forest.
 _GBT = {"n_estimators": "maxIter", "learning_rate": "stepSize", "max_depth": "maxDepth",
         "min_samples_leaf": "minInstancesPerNode", "subsample": "subsamplingRate", "random_state": "seed",
@@ -58,15 +37,18 @@ _DEEPEST = 30
 
 def _settings(names: dict[str, str], given: dict) -> dict:
     out = {}
+    unknown = set(given) - set(names)
+    if unknown:
+        raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
     for key, value in given.items():
-        if key not in names:
-            continue
         if key == "max_features":
             value = value or "all"
         if key == "loss":
             value = _LOSSES[value]
         if key == "max_depth":
-            value = _DEEPEST if value is None else min(value, _DEEPEST)
+            value = _DEEPEST if value is None else value
+            if value > _DEEPEST:
+                raise ValueError(f"trees are at most {_DEEPEST} deep")
         out[names[key]] = value
     return out
 
@@ -75,7 +57,7 @@ def boosted(features: Iterable[str], label: str = "label", prediction: str = PRE
             stop_column: str | None = None, **settings) -> Pipeline:
     """Boosted trees; with ``stop_column`` rows marked true decide when to stop early."""
     tree = GBTRegressor(featuresCol="features", labelCol=label, predictionCol=prediction,
-                        **_settings(_GBT, {**DEFAULTS, **settings}))
+                        **_settings(_GBT, {**V.MODEL, **settings}))
     if stop_column:
         tree = tree.setValidationIndicatorCol(stop_column)
     return _with_features(tree, features)
@@ -135,11 +117,11 @@ def fold_scores(pipeline: Pipeline, rows: DataFrame, key: str, folds: int = 5, s
                         F.stddev_pop("r2_score").over(whole).alias("std"))
 
 
-def grid(tree, options: dict[str, list]) -> list[dict]:
-    """Every combination of the settings, as parameter maps of the tree stage."""
+def grid(tree, options: dict[str, list] | None = None) -> list[dict]:
+    """Every combination of the settings (by default ``values.GRID``), as parameter maps of the tree stage."""
     names = _FOREST if isinstance(tree, RandomForestRegressor) else _GBT
     builder = ParamGridBuilder()
-    for key, choices in options.items():
+    for key, choices in (V.GRID if options is None else options).items():
         params = [_settings(names, {key: v}) for v in choices]
         if params and params[0]:
             param = next(iter(params[0]))
@@ -147,14 +129,14 @@ def grid(tree, options: dict[str, list]) -> list[dict]:
     return builder.build()
 
 
-def draws(tree, ranges: dict, n: int, seed: int = 42) -> list[dict]:
-    """Random settings: whole and real numbers from ranges, anything else from a list."""
+def draws(tree, ranges: dict | None = None, n: int = 50, seed: int = 42) -> list[dict]:
+    """Random settings, by default from ``values.RANGES``: whole and real numbers from ranges, anything else from a list."""
     names = _FOREST if isinstance(tree, RandomForestRegressor) else _GBT
     rng = random.Random(seed)
     out = []
     for _ in range(n):
         picked = {}
-        for key, choice in ranges.items():
+        for key, choice in (V.RANGES if ranges is None else ranges).items():
             if isinstance(choice, list):
                 picked[key] = rng.choice(choice)
             elif isinstance(choice[0], int):
@@ -180,18 +162,19 @@ def search(pipeline: Pipeline, candidates: list[dict], rows: DataFrame, key: str
     return fitted.bestModel, rows.sparkSession.createDataFrame(table, schema)
 
 
-def native_importance(model: PipelineModel, features: Iterable[str], spark, top: int = 20) -> DataFrame:
+def native_importance(model: PipelineModel, features: Iterable[str], spark, top: int | None = None) -> DataFrame:
     weights = model.stages[-1].featureImportances.toArray().tolist()
     rows = spark.createDataFrame(list(zip(list(features), weights)), "feature string, importance double")
-    return rows.orderBy(F.desc("importance"), "feature").limit(top)
+    ordered = rows.orderBy(F.desc("importance"), "feature")
+    return ordered if top is None else ordered.limit(top)
 
 
-# Rows that take each other's values together; a group this large is one task's small sort.
-_GROUP_ROWS = 100_000
+#: Rows that take each other's values together, about.
+_GROUP_ROWS = 1_000
 
 
 def permutation_importance(model: PipelineModel, rows: DataFrame, features: Iterable[str], key: str,
-                           repeats: int = 10, seed: int = 42, top: int = 20) -> DataFrame:
+                           repeats: int = 10, seed: int = 42, top: int | None = None) -> DataFrame:
     """Mean and spread of the loss of r2 when the values of one column are dealt out anew.
 
     In each repeat every row falls into a random group and takes the column from the next row in a
@@ -221,8 +204,9 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, features: Iter
         together = together.unionByName(part)
     drops = wide_metrics(together, "label", PREDICTION, ["feature", "repeat"], median=False).select(
         "feature", (F.lit(base) - F.col("r2_score")).alias("drop"))
-    return (drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
-            .orderBy(F.desc("importance_mean"), "feature").limit(top))
+    found = (drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
+             .orderBy(F.desc("importance_mean"), "feature"))
+    return found if top is None else found.limit(top)
 
 
 def score(model: PipelineModel, rows: DataFrame, inverse: bool = True, name: str = "predicted_cost") -> DataFrame:

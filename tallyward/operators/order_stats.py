@@ -1,88 +1,18 @@
-"""Exact order statistics without a global sort in one task.
+"""Exact order statistics without a global sort in one task, on one path for every size.
 
-Quantiles: a sketch brackets each wanted place; one more pass counts what lies below the bracket and
-keeps the values inside it, which are few.
-
-Ranks and distribution functions: rows are reduced to counts per distinct value, which combines on
-the map side, so a hot value costs nothing extra. The values are cut into buckets by split points
-taken from a sketch. Bucket totals (a few numbers per group) give each bucket its offset, and only
-values inside one bucket are ordered together.
+Rows are first reduced to counts per group and distinct value, which combines on the map side, so a hot value or a hot group
+costs nothing extra. The counts are dealt to partitions by ranges of (group, value), whose bounds the engine samples from
+the rows, so that partitions are of like size however the values lie. They are staged with the number of their
+partition. Totals per group and partition give each partition its offset, a few numbers per group; only values of one
+partition are ordered together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.operators.lookup import fetched, lookup_join
-
-# ``percentile`` keeps a counter per distinct value; up to so many, one task surely can.
-SMALL_GROUP = 20_000
-# Accuracy of the sketch that brackets a quantile: the wanted place is at most rows / ACCURACY away.
-ACCURACY = 2_000
-# Half-width of a bracket, as a share of the rows, and the rows up to which the bracket is the whole group.
-_SLACK = 3 / ACCURACY
-_WHOLE = 20 * ACCURACY
-# Beyond these, values between the brackets would be too many for one sort, or the brackets too many.
-BRACKET_ROWS = 1_000_000_000
-BRACKET_SHARES = 12
-# Values with more than one row in so many are few enough to be broadcast.
-HOT_PART = 10_000
-
-
-def bucket_count(spark: SparkSession) -> int:
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(1024, 2 * partitions))
-
-
-def _sketch(df: DataFrame, value: str, by: str | None, n: int) -> dict[str, list]:
-    """Split points, per value of ``by``."""
-    shares = [i / n for i in range(1, n)]
-    splits = F.percentile_approx(value, shares, max(1000, 10 * n)).alias("splits")
-    grouped = df.groupBy(by).agg(splits) if by else df.agg(splits)
-    # One row per column of the source table, n numbers each.
-    return {row[by] if by else "": row["splits"] for row in grouped.collect()}
-
-
-def with_bucket(df: DataFrame, value: str, by: str | None, splits: dict[str, list], kind: str = "double") -> DataFrame:
-    """Add the bucket number: how many split points are at or below the value, by binary search.
-
-    Each step is a projection of its own, so that the running number is not computed again and again
-    inside the next step; it is never NULL, so no filter on it is pushed below.
-    """
-    splits = {k: sorted(set(v or [])) for k, v in splits.items()}
-    if by is None:
-        points = F.array(*map(F.lit, splits.get("", []))).cast(f"array<{kind}>")
-    else:
-        table = df.sparkSession.createDataFrame(list(splits.items()), f"{by} string, _splits array<{kind}>")
-        # As many rows as the source table has columns.
-        df = df.join(F.broadcast(table), by)
-        points = F.col("_splits")
-    df = df.withColumn("_bucket", F.lit(0))
-    longest = max((len(v) for v in splits.values()), default=0)
-    for level in reversed(range(longest.bit_length())):
-        step = 1 << level
-        above = F.col(value) >= F.get(points, F.col("_bucket") + (step - 1))
-        df = df.withColumn("_bucket", F.col("_bucket") + F.when(above, step).otherwise(0))
-    return df.drop("_splits")
-
-
-def _counts(df: DataFrame, value: str, keys: list[str], weights: dict[str, Column]) -> DataFrame:
-    sums = [F.sum(w).alias(name) for name, w in weights.items()]
-    return df.groupBy(*keys, value).agg(*sums)
-
-
-def _offsets(counts: DataFrame, keys: list[str], weights) -> DataFrame:
-    """Totals per bucket with the sum of all buckets before it and the sum over the group."""
-    totals = counts.groupBy(*keys, "_bucket").agg(*[F.sum(w).alias(w) for w in weights])
-    group = Window.partitionBy(*(keys or [F.lit(0)]))
-    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    cols = []
-    for w in weights:
-        cols.append(F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"_{w}_off"))
-        cols.append(F.sum(w).over(group).alias(f"{w}_total"))
-        cols.append(F.col(w).alias(f"_{w}_bucket"))
-    return totals.select(*keys, "_bucket", *cols)
+from tallyward.operators.staging import stage
 
 
 def _clean(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
@@ -93,149 +23,77 @@ def _clean(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     return df.where(ok)
 
 
+def ranged_counts(df: DataFrame, value: str, keys: list[str], weights: dict[str, Column]) -> DataFrame:
+    """One row per group and distinct value with its weights and ``_part``, the number of its range partition."""
+    counts = df.groupBy(*keys, value).agg(*[F.sum(w).alias(name) for name, w in weights.items()])
+    return stage(counts.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id()), "counts")
+
+
+def part_offsets(ranged: DataFrame, keys: list[str], weights) -> DataFrame:
+    """Totals per group and partition, with the sums over the partitions before it and over the group."""
+    totals = ranged.groupBy(*keys, "_part").agg(*[F.sum(w).alias(f"_{w}_part") for w in weights])
+    # One row for each partition that a group touches.
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    cols = [c for w in weights for c in (
+        f"_{w}_part", F.coalesce(F.sum(f"_{w}_part").over(before), F.lit(0)).alias(f"_{w}_off"),
+        F.sum(f"_{w}_part").over(group).alias(f"{w}_total"))]
+    return totals.select(*keys, "_part", *cols)
+
+
 def cumulative_counts(df: DataFrame, value: str, keys: list[str] | None = None,
-                      weights: dict[str, Column] | None = None, split_by: str | None = None) -> DataFrame:
+                      weights: dict[str, Column] | None = None) -> DataFrame:
     """One row per group and distinct value: weights, their sums over smaller values, group totals.
 
-    ``value`` must be a double. ``split_by`` names the key whose values have ranges of their own,
-    such as the column name in a melted table. Rows with a NULL key or value are left out.
+    Rows with a NULL key or value are left out.
     """
     keys = keys or []
     weights = weights or {"n": F.lit(1).cast("long")}
-    df = _clean(df, value, keys)
-    n = bucket_count(df.sparkSession)
-    counts = with_bucket(_counts(df, value, keys, weights), value, split_by,
-                          _sketch(df, value, split_by, n))
-    offsets = _offsets(counts, keys, weights)
-    inside = (Window.partitionBy(*keys, "_bucket").orderBy(value)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    local = counts.withColumns(
-        {f"_{w}_in": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights})
-    joined = local.join(offsets, [*keys, "_bucket"])
+    return cumulated(ranged_counts(_clean(df, value, keys), value, keys, weights), value, keys, weights)
+
+
+def cumulated(ranged: DataFrame, value: str, keys: list[str], weights) -> DataFrame:
+    """``cumulative_counts`` of what ``ranged_counts`` gave."""
+    inside = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumns({f"_{w}_in": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights})
+    joined = local.join(part_offsets(ranged, keys, weights), [*keys, "_part"])
     out = []
     for w in weights:
         out += [F.col(w), (F.col(f"_{w}_off") + F.col(f"_{w}_in")).alias(f"{w}_before"), F.col(f"{w}_total")]
     return joined.select(*keys, value, *out)
 
 
-def _brackets(df: DataFrame, value: str, shares: list[float], keys: list[str]) -> DataFrame:
-    """Rows of each group and, per share, two values that surely have the quantile between them."""
-    around = [x for p in shares for x in (max(0.0, p - _SLACK), min(1.0, p + _SLACK))]
-    aggs = [F.count(F.lit(1)).alias("_n"), F.approx_count_distinct(value).alias("_distinct"), F.min(value).alias("_min"), F.max(value).alias("_max"),
-            F.percentile_approx(value, around, ACCURACY).alias("_near")]
-    grouped = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs).where(F.col("_n") > 0)
-    whole = F.col("_n") <= _WHOLE
-    ends = []
-    for i, p in enumerate(shares):
-        ends.append(F.when(whole | F.lit(p - _SLACK <= 0), F.col("_min"))
-                    .otherwise(F.col("_near")[2 * i]).alias(f"_lo{i}"))
-        ends.append(F.when(whole | F.lit(p + _SLACK >= 1), F.col("_max"))
-                    .otherwise(F.col("_near")[2 * i + 1]).alias(f"_hi{i}"))
-    return grouped.select(*keys, "_n", "_distinct", *ends)
-
-
-def _quantiles_in_brackets(df: DataFrame, value: str, shares: list[float], keys: list[str],
-                           brackets: DataFrame) -> DataFrame:
-    """One pass counts what lies below each bracket and keeps only the values inside; those are ordered."""
-    rows = df.select(*keys, value)
-    ends = [c for i in range(len(shares)) for c in (f"_lo{i}", f"_hi{i}")]
-    if keys:
-        rows = lookup_join(rows, brackets.drop("_distinct"), keys, "inner")
-    else:
-        one = brackets.first()
-        rows = rows.withColumns({c: F.lit(one[c] if one else None).cast("double") for c in ends})
-        rows = rows.withColumn("_n", F.lit(one["_n"] if one else None).cast("long"))
-    x = F.col(value)
-    inside = F.lit(False)
-    for i in range(len(shares)):
-        inside = inside | x.between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
-    kept = rows.groupBy(*keys, F.when(inside, x).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"), *[F.max(c).alias(c) for c in ends],
-        *[F.count_if(x < F.col(f"_lo{i}")).alias(f"_b{i}") for i in range(len(shares))])
-    # What lies below a bracket is spread over the rows of the group; all later steps need one shuffle by group.
-    group = Window.partitionBy(*keys)
-    kept = kept.withColumns({f"_below{i}": F.sum(f"_b{i}").over(group) for i in range(len(shares))})
-    places = []
-    for i, p in enumerate(shares):
-        at = (F.col("_n") - 1) * F.lit(p)
-        places.append(F.struct(
-            F.lit(i).alias("place"), F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi"),
-            F.floor(at).alias("first"), F.ceil(at).alias("second"), (at - F.floor(at)).alias("part"),
-            F.col(f"_below{i}").alias("below")))
-    spread = kept.where(F.col("_v").isNotNull()).select(*keys, "_v", "_c", F.inline(F.array(*places)))
-    spread = spread.where(F.col("_v").between(F.col("lo"), F.col("hi")))
-    smaller = Window.partitionBy(*keys, "place").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = spread.withColumn("_from", F.col("below") + F.coalesce(F.sum("_c").over(smaller), F.lit(0)))
-
-    def at_place(name: str) -> Column:
-        hit = (F.col("_from") <= F.col(name)) & (F.col(name) < F.col("_from") + F.col("_c"))
-        return F.max(F.when(hit, F.col("_v")))
-
-    found = placed.groupBy(*keys, "place").agg(at_place("first").alias("_a"), at_place("second").alias("_z"),
-                                               F.max("part").alias("_part"))
-    between = F.col("_a") + (F.col("_z") - F.col("_a")) * F.col("_part")
-    lost = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
-    return found.select(*keys, "place", F.when(between.isNull(), lost).otherwise(between).alias("quantile"))
-
-
 def quantile_rows(df: DataFrame, value: str, shares: list[float], keys: list[str] | None = None,
-                  split_by: str | None = None, exact: bool = True) -> DataFrame:
+                  exact: bool = True) -> DataFrame:
     """Linear-interpolation quantiles as rows (keys, place, quantile), place counting the shares.
 
-    ``exact=False`` settles for a sketch. Otherwise a sketch gives two bounds for each quantile, and
-    only values between them are shuffled and ordered. Small groups go through ``percentile``, and very
-    many rows or shares through cumulative counts of all distinct values.
+    Only the values of partitions that hold a wanted place are ordered. ``exact=False`` settles for a sketch.
     """
     keys = keys or []
     df = _clean(df, value, keys)
     points = [float(p) for p in shares]
-
-    def plain(values: Column) -> DataFrame:
-        grouped = df.groupBy(*keys).agg(values.alias("_q")) if keys else df.agg(values.alias("_q"))
-        return grouped.select(*keys, F.posexplode("_q").alias("place", "quantile"))
-
     if not exact:
-        return plain(F.percentile_approx(F.col(value), points, 10_000))
-    if len(points) > BRACKET_SHARES:
-        return _quantiles_by_counts(df, value, points, keys, split_by)
-    brackets = _brackets(df, value, points, keys)
-    small = fetched(brackets)
-    sizes = F.max("_n").alias("rows"), F.max(F.least("_n", "_distinct")).alias("counters")
-    largest = (small if small is not None else brackets).agg(*sizes).first()
-    if small is not None and (largest["counters"] or 0) <= SMALL_GROUP:
-        return plain(F.percentile(F.col(value), points))
-    if largest["rows"] > BRACKET_ROWS:
-        return _quantiles_by_counts(df, value, points, keys, split_by)
-    return _quantiles_in_brackets(df, value, points, keys, small if small is not None else brackets)
-
-
-def _quantiles_by_counts(df: DataFrame, value: str, points: list[float], keys: list[str],
-                         split_by: str | None) -> DataFrame:
-    """Quantiles from cumulative counts of all distinct values."""
-    sketch = _sketch(df, value, split_by, bucket_count(df.sparkSession))
-    w = "_n"
-    counts = with_bucket(_counts(df, value, keys, {w: F.lit(1).cast("long")}), value, split_by, sketch)
-    offsets = _offsets(counts, keys, [w])
-    first, size, total = F.col(f"_{w}_off"), F.col(f"_{w}_bucket"), F.col(f"{w}_total")
+        values = F.percentile_approx(F.col(value), points, 10_000).alias("_q")
+        grouped = df.groupBy(*keys).agg(values) if keys else df.agg(values)
+        return grouped.select(*keys, F.posexplode("_q").alias("place", "quantile"))
+    ranged = ranged_counts(df.select(*keys, F.col(value).cast("double").alias(value)), value, keys, {"n": F.lit(1).cast("long")})
+    first, size, total = F.col("_n_off"), F.col("_n_part"), F.col("n_total")
 
     def target(p: Column, i: Column) -> Column:
         at = (total - 1) * p
-        return F.struct(i.alias("place"), F.floor(at).alias("lo"), F.ceil(at).alias("hi"),
-                        (at - F.floor(at)).alias("part"))
+        return F.struct(i.alias("place"), F.floor(at).alias("lo"), F.ceil(at).alias("hi"), (at - F.floor(at)).alias("part"))
 
-    def inside_bucket(t: Column) -> Column:
+    def held(t: Column) -> Column:
         return ((first <= t["lo"]) & (t["lo"] < first + size)) | ((first <= t["hi"]) & (t["hi"] < first + size))
 
-    targets = F.filter(F.transform(F.array(*map(F.lit, points)), target), inside_bucket)
-    wanted = offsets.withColumn("_targets", targets).where(F.size("_targets") > 0)
-    # Only buckets that hold a wanted position are ordered value by value.
-    near = counts.join(wanted.select(*keys, "_bucket", first, "_targets"), [*keys, "_bucket"])
-    smaller = (Window.partitionBy(*keys, "_bucket").orderBy(value)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    near = near.withColumn("_from", first + F.coalesce(F.sum(w).over(smaller), F.lit(0)))
-    # Only now, as the rows of a bucket must be counted once.
-    near = near.select(*keys, value, w, "_from", F.explode("_targets").alias("_t"))
-    start, end = F.col("_from"), F.col("_from") + F.col(w)
+    targets = F.filter(F.transform(F.array(*map(F.lit, points)), target), held)
+    wanted = part_offsets(ranged, keys, ["n"]).withColumn("_targets", targets).where(F.size("_targets") > 0)
+    near = ranged.join(wanted.select(*keys, "_part", "_n_off", "_targets"), [*keys, "_part"])
+    smaller = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    near = near.withColumn("_from", F.col("_n_off") + F.coalesce(F.sum("n").over(smaller), F.lit(0)))
+    # Only now, as the rows of a partition must be counted once.
+    near = near.select(*keys, value, "n", "_from", F.explode("_targets").alias("_t"))
+    start, end = F.col("_from"), F.col("_from") + F.col("n")
 
     def at(name: str) -> Column:
         return F.max(F.when((start <= F.col(f"_t.{name}")) & (F.col(f"_t.{name}") < end), F.col(value)))
@@ -247,10 +105,9 @@ def _quantiles_by_counts(df: DataFrame, value: str, points: list[float], keys: l
 
 
 def quantiles(df: DataFrame, value: str, shares: list[float], names: list[str],
-              keys: list[str] | None = None, split_by: str | None = None,
-              exact: bool = True) -> DataFrame:
+              keys: list[str] | None = None, exact: bool = True) -> DataFrame:
     """``quantile_rows`` with one column per share."""
-    rows = quantile_rows(df, value, shares, keys, split_by, exact)
+    rows = quantile_rows(df, value, shares, keys, exact)
     aggs = [F.max(F.when(F.col("place") == i, F.col("quantile"))).alias(n) for i, n in enumerate(names)]
     return rows.groupBy(*keys).agg(*aggs) if keys else rows.agg(*aggs)
 
@@ -268,13 +125,13 @@ def column_quantiles(df: DataFrame, columns: list[str], shares: list[float],
     if not columns:
         return {}
     names = [f"q{i}" for i in range(len(shares))]
-    rows = quantiles(melt(df, columns), "value", shares, names, ["feature"], "feature", exact).collect()
+    rows = quantiles(melt(df, columns), "value", shares, names, ["feature"], exact).collect()
     found = {r["feature"]: [r[n] for n in names] for r in rows}
     return {c: found.get(c, [None] * len(shares)) for c in columns}
 
 
-def average_ranks(df: DataFrame, value: str, rank: str) -> DataFrame:
-    """Rank of each distinct value; tied rows share the mean of their places."""
-    counts = cumulative_counts(df, value)
+def average_ranks(df: DataFrame, value: str, rank: str, weight: Column | None = None) -> DataFrame:
+    """Rank of each distinct value; tied rows share the mean of their places. ``weight`` counts rows, 1 each without it."""
+    counts = cumulative_counts(df, value, weights={"n": F.lit(1).cast("long") if weight is None else weight})
     place = F.col("n_before") + (F.col("n") + 1) / 2.0
-    return counts.select(value, place.alias(rank), F.col("n").alias(f"{rank}_rows"))
+    return counts.select(value, place.alias(rank))

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tallyward.functions.bins import closed_left_bin, closed_right_bin
 from tallyward.functions.expr import numeric_columns, ratio
-from tallyward.operators.lookup import lookup_join
 from tallyward.operators.order_stats import column_quantiles, melt, quantiles
 
 
@@ -140,7 +139,7 @@ def describe(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame
     basic = long.groupBy("feature").agg(
         F.count("value").alias("rows"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    quart = quantiles(long, "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"], ["feature"], "feature", exact)
+    quart = quantiles(long, "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"], ["feature"], exact)
     return basic.join(quart, "feature").select(
         "feature", "rows", "mean", "std", "min", "q1", "median", "q3", "max")
 
@@ -197,7 +196,7 @@ def box_stats(df: DataFrame, value: str, key: str | None = None, whisker: float
     reach = (F.col("q3") - F.col("q1")) * whisker
     x = F.col(value)
     if key:
-        joined = lookup_join(df, fences, keys, "inner")
+        joined = df.join(fences, keys)
     else:
         row = fences.first()
         joined = df.withColumns({c: F.lit(row[c]) for c in ("q1", "median", "q3")})

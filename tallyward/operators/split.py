@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from math import ceil, log, sqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.operators.lookup import lookup_join
 
 
 def _digest(key: str, seed: int) -> Column:
@@ -27,7 +28,8 @@ def hash_fold(df: DataFrame, key: str, folds: int, seed: int = 42, name: str = "
     return df.withColumn(name, (hash_number(key, seed) % folds).cast("int"))
 
 
-_PREFIX = 4  # hex digits: 65,536 buckets of each stratum
+#: Rows of a stratum that share the leading digits of their digest, about.
+BUCKET_ROWS = 1_000
 
 
 def stratified_split(df: DataFrame, stratum: str, key: str, test_size: float = 0.2, seed: int = 42,
@@ -39,7 +41,8 @@ def stratified_split(df: DataFrame, stratum: str, key: str, test_size: float = 0
     task and the rows themselves are never shuffled. NULL is a stratum of its own.
     """
     rows = df.select(F.struct(F.col(stratum).alias("v")).alias("_stratum"), _digest(key, seed).alias("_digest"))
-    rows = rows.withColumn("_prefix", F.substring("_digest", 1, _PREFIX))
+    digits = max(1, ceil(log(max(df.count(), 1) / BUCKET_ROWS + 1, 16)))
+    rows = rows.withColumn("_prefix", F.substring("_digest", 1, digits))
     totals = rows.groupBy("_stratum", "_prefix").agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy("_stratum")
     so_far = whole.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -50,12 +53,20 @@ def stratified_split(df: DataFrame, stratum: str, key: str, test_size: float = 0
     place = F.row_number().over(Window.partitionBy("_stratum", "_prefix").orderBy("_digest"))
     last = (inside.withColumn("_place", place).where(F.col("_place") == F.col("want") - F.col("before"))
             .select("_stratum", F.col("_digest").alias("_last")))
-    marked = lookup_join(df.withColumn("_stratum", F.struct(F.col(stratum).alias("v"))), last, ["_stratum"])
+    marked = df.withColumn("_stratum", F.struct(F.col(stratum).alias("v"))).join(last, "_stratum", "left")
     test = F.coalesce(_digest(key, seed) <= F.col("_last"), F.lit(False))
     return marked.withColumn(name, F.when(test, "test").otherwise("train")).drop("_stratum", "_last")
 
 
 def sample_rows(df: DataFrame, key: str, n: int = 50_000, seed: int = 42) -> DataFrame:
-    """At most n rows, those with the smallest digests."""
-    digest = _digest(key, seed)
-    return df.orderBy(digest, key).limit(n)
+    """At most n rows, those with the smallest digests.
+
+    The count of rows tells below which number nearly surely n digests lie; only those rows are ordered. Should they be too few, the
+    number doubles.
+    """
+    total, number = df.count(), hash_number(key, seed)
+    below = int(2**32 * (n + 6 * sqrt(n) + 30) / max(total, 1)) + 1
+    while below < 2**32 and df.where(number < below).count() < min(n, total):
+        below *= 2
+    few = df.where(number < below) if below < 2**32 else df
+    return few.orderBy(_digest(key, seed), key).limit(n)

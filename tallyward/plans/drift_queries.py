@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyward.operators import drift
 from tallyward.plans.catalog import query
-from tallyward.plans.inputs import drift_pair, rounded
+from tallyward.plans.inputs import drift_pair, predicted, rounded
 from tallyward.plans.oracle_tables import EDGE_BIN
 from tallyward.session import scratch_path
 from tallyward.streaming.drift import start_drift
@@ -17,19 +17,19 @@ _FIGURES = """round(psi, 6) AS psi, round(ks_statistic, 6) AS ks_statistic, roun
 _DIGITS = {"baseline_mean": 4, "current_mean": 4, "baseline_std": 4, "current_std": 4}
 
 
-def _long(spark, sf_dir):
+def _counts(spark, sf_dir):
     baseline, current = drift_pair(spark, sf_dir)
-    return drift.both_sides(baseline, current, drift.common_features(baseline, current))
+    return drift.value_counts(drift.both_sides(baseline, current, drift.common_features(baseline, current)))
 
 
 @query("SELECT feature, round(psi, 6) AS psi FROM psi")
 def drift_psi(spark, sf_dir):
-    return rounded(drift.psi(_long(spark, sf_dir)))
+    return rounded(drift.psi(_counts(spark, sf_dir)))
 
 
 @query("SELECT feature, round(ks_statistic, 6) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue FROM ks")
 def drift_ks(spark, sf_dir):
-    return rounded(drift.ks(_long(spark, sf_dir)))
+    return rounded(drift.ks(_counts(spark, sf_dir)))
 
 
 @query(f"SELECT feature, drift_detected, {_FIGURES} FROM drift")
@@ -42,7 +42,7 @@ def drift_detect(spark, sf_dir):
     feature, round(psi, 6) AS psi, CASE WHEN psi < 0.1 THEN 'none' WHEN psi <= 0.25 THEN 'minor' ELSE 'significant' END AS band,
     round(ks_statistic, 6) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue,
     round((current_mean - baseline_mean) * 100 / baseline_mean, 4) AS mean_change
-  FROM drift WHERE drift_detected ORDER BY psi DESC, feature LIMIT 10""")
+  FROM drift WHERE drift_detected""")
 def drift_summary(spark, sf_dir):
     row = drift.summary(drift.detect(*drift_pair(spark, sf_dir)))
     listed = row.select("total_features", "drifted_features", "drift_threshold", F.inline("top_drifted"))
@@ -52,12 +52,12 @@ def drift_summary(spark, sf_dir):
 _START = "TIMESTAMP '2024-01-08'"
 
 
-def _windows_sql(closed_only: bool) -> str:
+def _windows_sql(closed_only: bool, start: str = "time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01')") -> str:
     closed = ("WHERE week_end <= (SELECT max(ts) - INTERVAL 24 HOUR FROM events)" if closed_only else "")
     return f"""WITH b AS (SELECT value FROM events WHERE ts < {_START}),
   r AS (SELECT min(value) AS lo, max(value) AS hi FROM b),
   e AS (SELECT {EDGE_BIN} AS bin, count(*) AS n FROM b, r GROUP BY 1),
-  a AS (SELECT time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') AS week,
+  a AS (SELECT {start} AS week,
           {EDGE_BIN} AS bin, count(*) AS n
         FROM events, r WHERE ts >= {_START} GROUP BY 1, 2),
   w AS (SELECT week, week + INTERVAL '7 days' AS week_end, sum(n) AS rows FROM a GROUP BY week),
@@ -86,8 +86,38 @@ def _by_week(df):
 
 @query(_windows_sql(False))
 def drift_by_window(spark, sf_dir):
-    later = _events(spark, sf_dir).where(F.col("ts") >= F.lit("2024-01-08").cast("timestamp"))
-    return _by_week(drift.drift_by_window(later, _profile(spark, sf_dir), ["value"], "ts", "7 days"))
+    return _by_week(drift.drift_by_window(_later(spark, sf_dir), _profile(spark, sf_dir), ["value"], "ts", "7 days"))
+
+
+def _later(spark, sf_dir):
+    return _events(spark, sf_dir).where(F.col("ts") >= F.lit("2024-01-08").cast("timestamp"))
+
+
+@query(_windows_sql(False, "date_trunc('month', ts)::TIMESTAMP"))
+def drift_by_month(spark, sf_dir):
+    return _by_week(drift.drift_by_window(_later(spark, sf_dir), _profile(spark, sf_dir), ["value"], "ts", "month"))
+
+
+@query(_windows_sql(False, "date_trunc('day', ts)::TIMESTAMP"))
+def drift_by_day(spark, sf_dir):
+    return _by_week(drift.drift_by_window(_later(spark, sf_dir), _profile(spark, sf_dir), ["value"], "ts", "1 day"))
+
+
+@query("""WITH p AS (SELECT CASE WHEN split = 'train' THEN 0 ELSE 1 END AS side, exp(yhat + CASE WHEN split = 'train' THEN 0 ELSE 0.05 END) - 1 AS x FROM predicted),
+  r AS (SELECT min(x) AS lo, max(x) AS hi FROM p WHERE side = 0),
+  c AS (SELECT greatest(0, least(9, CAST(floor((x - lo) / ((hi - lo) / 10)) AS INT))) AS bin, side, count(*) AS n FROM p, r GROUP BY 1, 2),
+  s AS (SELECT g.bin, coalesce((SELECT n FROM c WHERE c.bin = g.bin AND side = 0), 0) AS e, coalesce((SELECT n FROM c WHERE c.bin = g.bin AND side = 1), 0) AS a
+        FROM (SELECT unnest(range(0, 10)) AS bin) AS g),
+  t AS (SELECT CASE WHEN e = 0 THEN 0.0001 ELSE CAST(e AS DOUBLE) / (SELECT sum(e) FROM s) END AS pe,
+          CASE WHEN a = 0 THEN 0.0001 ELSE CAST(a AS DOUBLE) / (SELECT sum(a) FROM s) END AS pa FROM s)
+  SELECT 'predicted_cost' AS feature, (SELECT round(sum((pa - pe) * ln(pa / pe)), 4) FROM t) AS psi,
+    round(avg(x) FILTER (side = 0), 2) AS baseline_mean, round(avg(x) FILTER (side = 1), 2) AS current_mean FROM p""")
+def drift_predictions(spark, sf_dir):
+    """Drift of the predicted cost of later rows, raised a little, against that of the rows a model was trained on."""
+    df = predicted(spark, sf_dir)
+    cost = lambda rows, shift: rows.select(F.expm1(F.col("yhat") + shift).alias("predicted_cost"))
+    found = drift.detect(cost(df.where("split = 'train'"), 0.0), cost(df.where("split = 'test'"), 0.05))
+    return rounded(found.select("feature", "psi", "baseline_mean", "current_mean"), psi=4, baseline_mean=2, current_mean=2)
 
 
 @query(_windows_sql(True))

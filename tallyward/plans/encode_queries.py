@@ -22,7 +22,7 @@ _COUNTIES = "(SELECT DISTINCT coalesce(hospital_county, 'nan') AS v FROM dischar
   FROM discharges""")
 def encode_onehot(spark, sf_dir):
     columns = ["gender", _SEVERITY, "hospital_county"]
-    return encode.encode(discharges(spark, sf_dir, "discharge_key", *columns), [*columns, "absent"])
+    return encode.encode(discharges(spark, sf_dir, "discharge_key", *columns), [*columns, "absent"], coded=["hospital_county"])
 
 
 @query(f"""SELECT d.discharge_key, d.ccsr_procedure_description, l.code AS ccsr_procedure_description_encoded FROM discharges AS d

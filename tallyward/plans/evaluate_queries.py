@@ -12,12 +12,19 @@ from tallyward.plans.inputs import predicted, rounded
 from tallyward.sources.discharges import discharges
 
 _MAPE = "avg(abs(y - yhat) / greatest(abs(y), 2.220446049250313e-16)) * 100"
-_METRICS = {
-    "r2_score": "1 - avg((y - yhat) * (y - yhat)) / var_pop(y)",
+
+
+def _explained(share: str, perfect: str) -> str:
+    return (f"CASE WHEN count(*) < 2 THEN NULL WHEN min(y) = max(y) THEN CASE WHEN {perfect} THEN 1e0 ELSE 0e0 END "
+            f"ELSE 1 - {share} / nullif(var_pop(y), 0) END")
+
+
+METRICS = {
+    "r2_score": _explained("avg((y - yhat) * (y - yhat))", "max(abs(y - yhat)) = 0"),
     "mae": "avg(abs(y - yhat))",
     "rmse": "sqrt(avg((y - yhat) * (y - yhat)))",
     "mape": _MAPE,
-    "explained_variance": "1 - var_pop(y - yhat) / var_pop(y)",
+    "explained_variance": _explained("var_pop(y - yhat)", "min(y - yhat) = max(y - yhat)"),
     "mean_prediction": "avg(yhat)",
     "mean_actual": "avg(y)",
     "std_prediction": "stddev_pop(yhat)",
@@ -28,7 +35,7 @@ _METRICS = {
 }
 _RMSLE = "sqrt(avg(power(ln(1 + y) - ln(1 + yhat), 2)))"
 _WIDTH = "(max(y) - min(y))"
-_EXTENDED = _METRICS | {
+_EXTENDED = METRICS | {
     "root_mean_squared_log_error": _RMSLE,
     "normalized_mean_absolute_error": f"avg(abs(y - yhat)) / {_WIDTH}",
     "normalized_root_mean_squared_error": f"sqrt(avg((y - yhat) * (y - yhat))) / {_WIDTH}",
@@ -58,12 +65,12 @@ def split_stratified(spark, sf_dir):
                                   "hospital_county", "discharge_key")
 
 
-@query(_long(_METRICS))
+@query(_long(METRICS))
 def eval_metrics(spark, sf_dir):
     return rounded(evaluate.metrics(predicted(spark, sf_dir), "y", "yhat"))
 
 
-@query(_long(_METRICS, "(SELECT exp(y) - 1 AS y, exp(yhat) - 1 AS yhat FROM predicted) AS p", digits=4))
+@query(_long(METRICS, "(SELECT exp(y) - 1 AS y, exp(yhat) - 1 AS yhat FROM predicted) AS p", digits=4))
 def eval_inverse(spark, sf_dir):
     return rounded(evaluate.metrics(predicted(spark, sf_dir), "y", "yhat", inverse=True), 4)
 
@@ -73,7 +80,7 @@ def eval_extended(spark, sf_dir):
     return rounded(evaluate.metrics(predicted(spark, sf_dir), "y", "yhat", extended=True))
 
 
-@query(_long(_METRICS, keys="split"))
+@query(_long(METRICS, keys="split"))
 def eval_by_split(spark, sf_dir):
     return rounded(evaluate.metrics(predicted(spark, sf_dir), "y", "yhat", ["split"]))
 
@@ -117,7 +124,7 @@ def predicted_true(spark, sf_dir):
     return rounded(evaluate.predicted_true(predicted(spark, sf_dir), "y", "yhat"))
 
 
-@query(f"""WITH m AS ({_long(_METRICS)}) SELECT m.metric, value, test, CAST(threshold AS DOUBLE) AS threshold,
+@query(f"""WITH m AS ({_long(METRICS)}) SELECT m.metric, value, test, CAST(threshold AS DOUBLE) AS threshold,
     CASE WHEN test = '>=' THEN value >= threshold ELSE value <= threshold END AS passed
   FROM m JOIN (VALUES ('r2_score', '>=', 0.8), ('mae', '<=', 0.5), ('rmse', '<=', 0.8), ('mape', '<=', 15.0)) AS t (metric, test, threshold)
   ON t.metric = m.metric""")
@@ -128,7 +135,7 @@ def metric_gate(spark, sf_dir):
 
 _TRAIN = "(SELECT * FROM predicted WHERE split = 'train') AS p"
 _TEST = "(SELECT y, yhat + 0.2 AS yhat FROM predicted WHERE split = 'test') AS p"
-_PAIR = {m: _METRICS[m] for m in ("r2_score", "mae")}
+_PAIR = {m: METRICS[m] for m in ("r2_score", "mae")}
 
 
 @query(f"""WITH a AS ({_long(_PAIR, _TRAIN)}), b AS ({_long(_PAIR, _TEST)})
@@ -149,8 +156,8 @@ def score_summary(spark, sf_dir):
     return rounded(evaluate.prediction_summary(df, "predicted_cost"), 4)
 
 
-@query(f"""SELECT strftime(discharge_ts, '%Y-%m-%d') AS day, count(*) AS rows, round({_METRICS['r2_score']}, 6) AS r2_score,
-  round({_METRICS['mae']}, 6) AS mae, round({_METRICS['rmse']}, 6) AS rmse FROM predicted GROUP BY 1""")
+@query(f"""SELECT strftime(discharge_ts, '%Y-%m-%d') AS day, count(*) AS rows, round({METRICS['r2_score']}, 6) AS r2_score,
+  round({METRICS['mae']}, 6) AS mae, round({METRICS['rmse']}, 6) AS rmse FROM predicted GROUP BY 1""")
 def metrics_by_day(spark, sf_dir):
     df = predicted(spark, sf_dir, "discharge_ts")
     day = F.date_format(F.window("discharge_ts", "1 day")["start"], "yyyy-MM-dd")

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tallyward.operators import evaluate
 from tallyward.operators.features import cost_ratios
 from tallyward.plans.catalog import query
+from tallyward.plans.evaluate_queries import METRICS
 from tallyward.plans.inputs import predicted, rounded, typed
 from tallyward.session import scratch_path
 from tallyward.sources import readers, writers
@@ -144,11 +145,10 @@ def split_sink(spark, sf_dir):
     return rounded(back.withColumn("features", F.lit(",".join(r["feature"] for r in names))), target=3, charges=2)
 
 
-@query("""SELECT count(*) AS rows, round(avg(y), 6) AS mean_actual FROM predicted""")
+@query("SELECT count(*) AS rows, " + ", ".join(f"round({x}, 6) AS {m}" for m, x in METRICS.items() if m != "median_ae") + " FROM predicted")
 def metrics_sink(spark, sf_dir):
     """Metrics written as JSON rows and read back."""
     path = f"{scratch_path(spark, 'metrics')}.json"
     wide = evaluate.wide_metrics(predicted(spark, sf_dir), "y", "yhat", median=False)
     writers.write_file(wide, path)
-    back = readers.read_file(spark, path, schema="rows bigint, mean_actual double")
-    return rounded(back.select("rows", "mean_actual"))
+    return rounded(readers.read_file(spark, path, schema=wide.schema))

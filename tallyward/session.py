@@ -28,17 +28,15 @@ def build_session(app: str = "tallyward", master: str | None = None, **settings:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; a cluster must name one.
+    A local session without that setting is given one; a cluster must name it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    own = spark.conf.get("spark.tallyward.localDir", None)
-    if own is None:
-        own = tempfile.mkdtemp(prefix="tallyward-")
-        spark.conf.set("spark.tallyward.localDir", own)
+    own = tempfile.mkdtemp(prefix="tallyward-")
+    spark.conf.set("spark.checkpoint.dir", own)
     return own
 
 

@@ -96,22 +96,16 @@ _JOINS = {
 }
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal rows out evenly when the scan has fewer tasks than the session has cores.
-
-    One small file with one row group is read by one task, which would then do all the work of the
-    stage. Scans of large tables have enough tasks and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def discharges(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The named columns (all by default), one row per line item."""
+    """The named columns (all by default), one row per line item.
+
+    Rows are dealt out by order, as the join with the orders needs them. The other tables are joined from the left on their unique
+    keys, so that the rows are the same whichever columns are asked.
+    """
     wanted = columns or COLUMNS
     needed: set[str] = set()
     for c in wanted:
@@ -119,11 +113,11 @@ def discharges(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
             while t is not None:
                 needed.add(t)
                 t = _JOINS[t][2]
-    df = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+    df = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
     for name, (left, right, _) in _JOINS.items():
         if name in needed:
             other = table(spark, sf_dir, name)
-            df = df.join(other, F.col(left) == F.col(right))
+            df = df.join(other, F.col(left) == F.col(right), "left")
     return df.select([F.expr(_COLUMNS[c][0]).alias(c) for c in wanted])
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.operators.order_stats import cumulative_counts
+from tallyward.operators.order_stats import part_offsets, ranged_counts
 
 _BY_EXTENSION = {"csv": "csv", "parquet": "parquet", "json": "json"}
 _CSV = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
@@ -46,83 +48,94 @@ def read_delimited(spark: SparkSession, path: str, sep: str = "\t",
     return read_file(spark, path, "csv", schema, sep=sep, **options)
 
 
-# Commas outside quotes.
-_CELL_BREAK = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_REJECT = "_line"
 
 
-def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType,
-                      header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Rows of a CSV table with broken lines, and the rejected lines.
+def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
+                      multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows of a CSV table with broken records, and the rejected records.
 
-    Lines with too many cells are rejected. Short lines are padded with NULL, and a cell of the wrong
-    type becomes NULL. With ``header`` each file begins with the same line of names.
+    Records with too many cells are rejected. Short ones are padded with NULL, and a cell of the wrong type becomes NULL. With
+    ``header`` the first line of each file holds names, whatever they are. ``multi_line`` lets quoted cells hold line breaks;
+    each file is then read by one task, so large tables should come in many files.
     """
-    lines = spark.read.text(path).where(F.col("value") != "")
-    if header:
-        first = lines.first()
-        lines = lines.where(F.col("value") != first["value"]) if first else lines
-    too_long = F.size(F.split("value", _CELL_BREAK, -1)) > len(schema.fields)
-    cells = F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "),
-                       {"mode": "PERMISSIVE", "escape": '"'})
-    rows = lines.where(~too_long).select(cells.alias("_row")).select("_row.*")
-    return rows, lines.where(too_long).select(F.col("value").alias("line"))
-
-
-DEEP_OFFSET = 1_000_000
+    wide = T.StructType([*schema.fields, T.StructField(_REJECT, T.StringType())])
+    read = (spark.read.schema(wide).options(**{**_CSV, "header": str(header).lower()}).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", _REJECT).option("multiLine", str(multi_line).lower())
+            .option("enforceSchema", "true").csv(path))
+    # Only records that do not fit are looked at again: their cells are what commas outside quotes part.
+    plain = F.regexp_replace(_REJECT, '"(?:[^"]|"")*"', "")
+    too_long = F.coalesce(F.size(F.split(plain, ",", -1)) > len(schema.fields), F.lit(False))
+    # The engine finds a record out only if all its cells are read.
+    read_all = F.hash(*schema.names) >= F.lit(-(1 << 31))
+    return read.where(~too_long & read_all).drop(_REJECT), read.where(too_long & read_all).select(F.col(_REJECT).alias("line"))
 
 
 def read_page(df: DataFrame, order: str, limit: int = 10_000, offset: int = 0,
               filters: dict[str, object] | None = None, after: object = None) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` by a unique key, after equality filters on known columns.
 
-    ``after`` continues behind the last key of the page before, which costs the same for every page.
-    A deep offset into a numeric key is found from cumulative counts and not by sorting all rows
-    before it.
+    ``after`` continues behind the last key of the page before. Keys are dealt to partitions by ranges and counted; the first
+    and the last key of the page are looked up in the partitions that hold them, and only rows between them are ordered. Rows with
+    a NULL key are on no page.
     """
     for name, value in (filters or {}).items():
         if name in df.columns:
             df = df.where(F.col(name) == F.lit(value))
-    if after is not None:
-        return df.where(F.col(order) > F.lit(after)).orderBy(order).limit(limit)
-    numeric = isinstance(df.schema[order].dataType, (T.IntegralType, T.DoubleType))
-    if offset > DEEP_OFFSET and numeric:
-        keys = df.select(F.col(order).cast("double").alias("_key"))
-        first = cumulative_counts(keys, "_key").where(
-            (F.col("n_before") <= offset) & (F.col("n_before") + F.col("n") > offset)).select("_key", "n_before").first()
-        if first is None:
-            return df.limit(0)
-        rest = df.where(F.col(order) >= F.lit(first["_key"]))
-        return rest.orderBy(order).offset(offset - first["n_before"]).limit(limit)
-    return df.orderBy(order).offset(offset).limit(limit)
+    df = df.where(F.col(order).isNotNull() if after is None else F.col(order) > F.lit(after))
+    one = {"n": F.lit(1).cast("long")}
+    keys = ranged_counts(df.select(F.col(order).alias("_key")), "_key", [], one)
+    held = part_offsets(keys, [], one).where((F.col("_n_off") < offset + limit) & (F.col("_n_off") + F.col("_n_part") > offset))
+    before = Window.partitionBy("_part").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    near = (keys.join(held, "_part").withColumn("_from", F.col("_n_off") + F.coalesce(F.sum("n").over(before), F.lit(0)))
+            .where((F.col("_from") < offset + limit) & (F.col("_from") + F.col("n") > offset)))
+    ends = near.agg(F.min("_key").alias("lo"), F.max("_key").alias("hi"), F.min("_from").alias("first")).first()
+    if ends["lo"] is None:
+        return df.limit(0)
+    page = df.where(F.col(order).between(F.lit(ends["lo"]), F.lit(ends["hi"])))
+    return page.orderBy(order).offset(max(0, offset - ends["first"])).limit(limit)
 
 
 def publish_version(df: DataFrame, root: str, name: str) -> int:
     """Write the table as the next version of a named dataset and return its number.
 
-    The version is listed only once all its files are written, so readers never see half of it.
+    The files go to a folder of their own, which is listed only once they are all there: readers never see half of a
+    version, and a write that dies leaves nothing in the way.
     """
     spark = df.sparkSession
+    folder = uuid.uuid4().hex
+    df.write.parquet(f"{root}/{name}/data/{folder}")
     version = (latest_version(spark, root, name) or 0) + 1
-    df.write.mode("errorifexists").parquet(f"{root}/{name}/data/version={version}")
-    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("append").parquet(f"{root}/{name}/versions")
+    listed = spark.createDataFrame([(version, folder)], _LISTED)
+    listed.coalesce(1).write.mode("append").parquet(f"{root}/{name}/versions")
     return version
 
 
-def latest_version(spark: SparkSession, root: str, name: str) -> int | None:
+_LISTED = "version int, folder string"
+
+
+def _versions(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     try:
-        return spark.read.schema("version int").parquet(f"{root}/{name}/versions").agg(F.max("version")).first()[0]
+        return spark.read.schema(_LISTED).parquet(f"{root}/{name}/versions")
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
 
 
+def latest_version(spark: SparkSession, root: str, name: str) -> int | None:
+    listed = _versions(spark, root, name)
+    return None if listed is None else listed.agg(F.max("version")).first()[0]
+
+
 def read_version(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
-    """A version of a named dataset, the latest one by default."""
-    wanted = version if version is not None else latest_version(spark, root, name)
-    if wanted is None:
+    """A version of a named dataset, the latest one by default. Of two with one number the greater folder counts."""
+    listed = _versions(spark, root, name)
+    wanted = F.lit(True) if version is None else F.col("version") == version
+    found = None if listed is None else listed.where(wanted).agg(F.max(F.struct("version", "folder"))).first()[0]
+    if found is None:
         raise FileNotFoundError(f"{root}/{name}")
-    return read_file(spark, f"{root}/{name}/data/version={wanted}", "parquet")
+    return read_file(spark, f"{root}/{name}/data/{found['folder']}", "parquet")
 
 
 def read_source(spark: SparkSession, source: str, **where) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tallyward.operators.drift import drift_by_window
-from tallyward.operators.lookup import fetched
 
 
 def start_drift(stream: DataFrame, profile: DataFrame, features: list[str], ts: str, out: str,
@@ -16,7 +15,7 @@ def start_drift(stream: DataFrame, profile: DataFrame, features: list[str], ts:
     The profile is computed once, before the stream starts. Rows later than ``latency`` behind the newest one are left out. The state is one row of bin counts
     per open window and feature, whatever the volume.
     """
-    fixed = fetched(profile)
-    index = drift_by_window(stream, profile if fixed is None else fixed, features, ts, width, latency)
+    fixed = stream.sparkSession.createDataFrame(profile.collect(), profile.schema)  # one row per column of the table
+    index = drift_by_window(stream, fixed, features, ts, width, latency)
     return (index.writeStream.format("parquet").outputMode("append").option("path", out)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())

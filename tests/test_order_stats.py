@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyward.operators import order_stats
-from tallyward.operators.lookup import lookup_join
 
 
 def linear(values, p):
@@ -31,20 +30,8 @@ def sample(n, ties, seed=1):
     return rows + [("hot", None), (None, 1.0), ("hot", float("nan"))]
 
 
-@pytest.fixture(params=["plain", "brackets", "counts"])
-def path(request, monkeypatch):
-    """Force each way of finding a quantile."""
-    if request.param != "plain":
-        monkeypatch.setattr(order_stats, "SMALL_GROUP", 0)
-    if request.param == "brackets":
-        monkeypatch.setattr(order_stats, "_WHOLE", 100)
-    if request.param == "counts":
-        monkeypatch.setattr(order_stats, "BRACKET_SHARES", 0)
-    return request.param
-
-
 @pytest.mark.parametrize("ties", [3, 100_000])
-def test_quantiles(spark, path, ties):
+def test_quantiles(spark, ties):
     rows = sample(6000, ties)
     df = spark.createDataFrame(rows, "k string, v double").repartition(5)
     groups = {}
@@ -59,7 +46,7 @@ def test_quantiles(spark, path, ties):
     assert alone == pytest.approx(linear([v for g in groups.values() for v in g], 0.5))
 
 
-def test_quantiles_of_nothing(spark, path):
+def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([("a", None)], "k string, v double")
     assert order_stats.quantile_rows(df, "v", [0.5], ["k"]).collect() == []
     assert order_stats.quantiles(df, "v", [0.5], ["m"]).first()["m"] is None
@@ -90,12 +77,26 @@ def test_average_ranks(spark):
     assert got == {10.0: 1.0, 20.0: 2.5, 30.0: 4.0}
 
 
-@pytest.mark.parametrize("most", [100, 2])
-def test_lookup_join_gives_the_same_rows_broadcast_or_salted(spark, most):
-    df = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).alias("k"))
-    values = spark.range(6).select(F.col("id").alias("k"), (F.col("id") * 10).alias("x"))
-    got = {r["id"]: r["x"] for r in lookup_join(df, values, ["k"], max_rows=most).collect()}
-    assert len(got) == 1000
-    for i, x in got.items():
-        k = 0 if i % 3 == 0 else i % 7
-        assert x == (k * 10 if k < 6 else None)
+def test_a_hot_group_is_dealt_to_many_partitions(spark):
+    """99 of 100 rows in one group, all values different: no partition holds more than a few times its share."""
+    df = spark.range(200_000).select(F.when(F.col("id") % 100 == 0, "cold").otherwise("hot").alias("k"), F.col("id").cast("double").alias("v"))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.coalescePartitions.enabled",)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = order_stats.ranged_counts(df, "v", ["k"], {"n": F.lit(1).cast("long")})
+        sizes = [r["count"] for r in ranged.groupBy("_part").count().collect()]
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert len(sizes) == 8 and max(sizes) < 2 * 200_000 / 8
+
+
+def test_a_hot_value_is_one_row(spark):
+    df = spark.range(50_000).select(F.lit("a").alias("k"), F.when(F.col("id") % 50 == 0, F.col("id")).otherwise(0).cast("double").alias("v"))
+    assert order_stats.ranged_counts(df, "v", ["k"], {"n": F.lit(1).cast("long")}).count() == 1_000
+
+
+def test_weighted_ranks(spark):
+    df = spark.createDataFrame([(10.0, 1), (20.0, 2), (30.0, 1)], "v double, n long")
+    got = {r["v"]: r["r"] for r in order_stats.average_ranks(df, "v", "r", F.col("n")).collect()}
+    assert got == {10.0: 1.0, 20.0: 2.5, 30.0: 4.0}

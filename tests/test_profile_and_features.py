@@ -73,7 +73,7 @@ def test_onehot_and_labels(spark):
     df = spark.createDataFrame([("b", 1), ("a", 2), ("c", 3), (None, 4)], "s string, i int")
     got = encode.encode(df, ["s"]).orderBy("i").collect()
     assert [(r["s_b"], r["s_c"]) for r in got] == [(1, 0), (0, 0), (0, 1), (0, 0)]
-    got = encode.encode(df, ["s"], max_categories=2).orderBy("i").collect()
+    got = encode.encode(df, ["s"], coded=["s"]).orderBy("i").collect()
     assert [r["s_encoded"] for r in got] == [1, 0, 2, 3]
     new = spark.createDataFrame([("z", 1)], "s string, i int")
     assert encode.encode(new, ["s"], "label", fit_on=df).first()["s_encoded"] is None
@@ -131,8 +131,7 @@ def test_metrics(spark):
     assert evaluate.wide_metrics(constant, "y", "p").first()["r2_score"] is None
 
 
-def test_spearman_with_ties_and_a_hot_value(spark, monkeypatch):
-    monkeypatch.setattr(evaluate, "HOT_PART", 10)
+def test_spearman_with_ties_and_a_hot_value(spark):
     df = spark.range(300).select(F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id") * 1.0).alias("y"),
                                  (F.col("id") % 20 * 1.0).alias("p"))
     pdf = df.toPandas()
@@ -178,5 +177,36 @@ def test_permuted_columns_and_models(spark):
     names = models.feature_names(df.withColumn("total_costs", F.lit(1.0)), "label", ["id"])
     assert names == ["x", "noise", "gap"]
     tree = models.boosted(["x"]).getStages()[-1]
-    assert len(models.grid(tree, {"max_depth": [2, 3], "learning_rate": [0.1], "unknown": [1]})) == 2
-    assert len(models.draws(tree, models.RANGES, 5)) == 5
+    assert len(models.grid(tree, {"max_depth": [2, 3], "learning_rate": [0.1]})) == 2
+    assert len(models.grid(tree)) == 3 * 4 * 4 * 3 * 3 * 3 and len(models.draws(tree)) == 50
+    for settings in ({"unknown": [1]}, {"max_depth": [31]}):
+        with pytest.raises(ValueError):
+            models.grid(tree, settings)
+
+
+def test_scores_of_constant_targets(spark):
+    from tallyward.operators import evaluate
+
+    rows = [("one", 1.0, 2.0), ("same", 3.0, 3.0), ("same", 3.0, 3.0), ("off", 3.0, 3.0), ("off", 3.0, 4.0), ("shift", 2.0, 3.0), ("shift", 2.0, 3.0)]
+    wide = evaluate.wide_metrics(spark.createDataFrame(rows, "k string, y double, p double"), "y", "p", ["k"], median=False)
+    got = {r["k"]: (r["r2_score"], r["explained_variance"]) for r in wide.collect()}
+    assert got == {"one": (None, None), "same": (1.0, 1.0), "off": (0.0, 0.0), "shift": (0.0, 1.0)}
+    assert evaluate.wide_metrics(spark.createDataFrame([], "y double, p double"), "y", "p", median=False).first()["r2_score"] is None
+
+
+def test_dummies_or_codes_as_the_caller_says(spark):
+    from tallyward.operators import encode
+
+    df = spark.createDataFrame([(i % 3, i) for i in range(30)], "few int, many int")
+    assert encode.propose_codes(df, ["few", "many"]) == ["many"]
+    assert {"few_1", "few_2", "many_encoded"} <= set(encode.encode(df, ["few", "many"], coded=["many"]).columns)
+    assert "many_29" in encode.encode(df, ["many"]).columns
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    from tallyward.operators import split
+
+    df = spark.range(5_000)
+    got = {r["id"] for r in split.sample_rows(df, "id", 100).collect()}
+    assert len(got) == 100 and got == {r["id"] for r in split.sample_rows(df.repartition(7), "id", 100).collect()}
+    assert split.sample_rows(df, "id", 9_000).count() == 5_000 and split.sample_rows(df.limit(0), "id", 5).count() == 0
