@@ -96,11 +96,24 @@ def select_f_regression(spark, sf_dir):
 
 
 
-@query(None)
+_SHARES = [i / 20 for i in range(1, 20)]
+
+
+def _information_sql(place: int, c: str) -> str:
+    bin_of = "len(list_filter(list_distinct({c}_edges), lambda e: {c} > e))"
+    return f"""SELECT {place} AS place, '{c}' AS feature, sum(n / total * ln(n * total / (nx * ny))) AS score FROM (
+      SELECT n, sum(n) OVER () AS total, sum(n) OVER (PARTITION BY x) AS nx, sum(n) OVER (PARTITION BY y) AS ny FROM (
+        SELECT {bin_of.format(c=c)} AS x, {bin_of.format(c='total_costs')} AS y, CAST(count(*) AS DOUBLE) AS n FROM f, edges GROUP BY 1, 2))"""
+
+
+@query(f"""WITH f AS (SELECT {', '.join(f'coalesce(CAST({c} AS DOUBLE), 0) AS {c}' for c in (*_CANDIDATES, 'total_costs'))} FROM typed),
+  edges AS (SELECT {', '.join(f'quantile_cont({c}, {_SHARES}) AS {c}_edges' for c in (*_CANDIDATES, 'total_costs'))} FROM f),
+  s AS ({' UNION ALL '.join(_information_sql(i, c) for i, c in enumerate(_CANDIDATES))})
+  SELECT CAST(place AS INT) AS place, feature, round(score, 6) AS score, CAST(row_number() OVER (ORDER BY score DESC, place) <= 3 AS INT) AS chosen FROM s""")
 def select_mutual_info(spark, sf_dir):
     df = _candidates(spark, sf_dir)
-    chosen = encode.select_features(df, "total_costs", 3, "mutual_info")
     scores = encode.mutual_information(df, "total_costs")
+    chosen = [r["feature"] for r in scores.orderBy(F.desc("score"), "place").limit(3).collect()]
     return rounded(scores).withColumn("chosen", F.col("feature").isin(*chosen).cast("int"))
 
 
@@ -128,20 +141,55 @@ def encode_token_onehot(spark, sf_dir):
                                        F.sum("cell.ones").alias("ones"))
 
 
-@query(None)
-def encode_hash(spark, sf_dir):
-    df = discharges(spark, sf_dir, "discharge_key", "facility_name", "ccsr_diagnosis_description",
-                    "ccsr_procedure_description").fillna("Unknown")
-    df = encode.hash_encode(df, ["facility_name"], "facility_hash", 128)
-    df = encode.hash_encode(df, ["ccsr_diagnosis_description", "ccsr_procedure_description"], "code_hash", 256)
-    return df.select("discharge_key", F.to_json(vector_to_array("facility_hash")).alias("facility_hash"),
-                     F.to_json(vector_to_array("code_hash")).alias("code_hash"))
+_HASHED = {"facility_hash": ("facility_name",), "code_hash": ("ccsr_diagnosis_description", "ccsr_procedure_description")}
+
 
+def _filled(columns, tail: str) -> str:
+    return " || '|' || ".join(f"coalesce({c}, 'Unknown')" for c in columns) + tail
 
-@query(None)
+
+@query(" UNION ALL ".join(f"""SELECT '{name}' AS block, {_filled(columns, '')} AS cells, count(*) AS rows, CAST(1 AS BIGINT) AS vectors,
+  CAST({len(columns)} AS DOUBLE) AS ones FROM discharges GROUP BY 2""" for name, columns in _HASHED.items()))
+def encode_hash(spark, sf_dir):
+    """Equal cells have equal vectors, with one slot for each cell."""
+    names = [c for columns in _HASHED.values() for c in columns]
+    df = discharges(spark, sf_dir, *names).fillna("Unknown")
+    parts = []
+    for name, columns in _HASHED.items():
+        vector = vector_to_array(name)
+        out = encode.hash_encode(df, columns, name, 256).select(
+            F.lit(name).alias("block"), F.concat_ws("|", *columns).alias("cells"), vector.alias("vector"),
+            F.aggregate(vector, F.lit(0.0), lambda a, x: a + x).alias("ones"))
+        parts.append(out.groupBy("block", "cells").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct(F.xxhash64("vector")).alias("vectors"), F.max("ones").alias("ones")))
+    return parts[0].unionByName(parts[1])
+
+
+_BLOCKS = ("gender", "age_group", _SEVERITY)
+
+
+def _assembled_sql() -> str:
+    """Slots of the one-hot blocks: each has one slot more than categories, for those unseen."""
+    text = "lower(coalesce({c}, 'Unknown'))"
+    numbers = ", ".join(f"n{i} AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i, count(*) OVER () + 1 AS slots FROM "
+                        f"(SELECT DISTINCT {text.format(c=c)} AS v FROM t))" for i, c in enumerate(_BLOCKS))
+    size = [f"(SELECT max(slots) FROM n{i})" for i in range(len(_BLOCKS))]
+    slots = ", ".join(f"CAST({' + '.join(['2', *size[:i]])} + n{i}.i AS INT) AS {c}_slot" for i, c in enumerate(_BLOCKS))
+    joins = " ".join(f"JOIN n{i} ON n{i}.v = {text.format(c=c)}" for i, c in enumerate(_BLOCKS))
+    return f"""WITH t AS (SELECT * FROM typed WHERE length_of_stay IS NOT NULL), {numbers}
+      SELECT discharge_key, CAST({' + '.join(['2', *size])} AS INT) AS size, CAST(length_of_stay AS DOUBLE) AS stay,
+        round(CAST(total_charges AS DOUBLE), 6) AS charges, {slots} FROM t {joins}"""
+
+
+@query(_assembled_sql())
 def ml_assemble(spark, sf_dir):
-    categories = ["gender", "age_group", _SEVERITY]
-    df = typed(spark, sf_dir, "discharge_key", *AMOUNTS, *categories).na.drop(subset=["length_of_stay"])
-    df = encode.lower_text(df, categories)
-    out = encode.assembler(["length_of_stay", "total_charges"], categories).fit(df).transform(df)
-    return out.select("discharge_key", F.to_json(vector_to_array("features")).alias("features"))
+    """The assembled vector: its size, its numbers and which slots are set."""
+    df = typed(spark, sf_dir, "discharge_key", *AMOUNTS, *_BLOCKS).na.drop(subset=["length_of_stay"])
+    df = encode.lower_text(df, _BLOCKS)
+    out = encode.assembler(["length_of_stay", "total_charges"], _BLOCKS).fit(df).transform(df)
+    cells = out.select("discharge_key", vector_to_array("features").alias("v"))
+    set_slots = F.filter(F.sequence(F.lit(2), F.size("v") - 1), lambda i: F.get("v", i) == 1)
+    marked = cells.withColumn("slots", set_slots)
+    return rounded(marked.select(
+        "discharge_key", F.size("v").alias("size"), F.col("v")[0].alias("stay"), F.col("v")[1].alias("charges"),
+        *[F.col("slots")[i].alias(f"{c}_slot") for i, c in enumerate(_BLOCKS)]))

@@ -112,18 +112,20 @@ def score_batch(spark, sf_dir):
     return rounded(readers.read_file(spark, path, "parquet").select("discharge_key", "predicted_cost"), 4)
 
 
-@query(None)
+@query("SELECT 'largest_difference' AS metric, CAST(0 AS DOUBLE) AS value UNION ALL SELECT 'train_r2_difference', CAST(0 AS DOUBLE)")
 def model_roundtrip(spark, sf_dir):
-    """Figures of a saved model, and the greatest difference between it and the loaded one."""
+    """How far a saved model, its predictions and its figures, is from the loaded one."""
     table, names = _table(spark, sf_dir)
     model = models.fit(models.boosted(names, **_SMALL), _train(table))
-    path = scratch_path(spark, "model")
-    models.save(model, path, {"train_r2": models.r2(model.transform(_train(table)))}, spark)
+    path, r2 = scratch_path(spark, "model"), models.r2(model.transform(_train(table)))
+    models.save(model, path, {"train_r2": r2}, spark)
     loaded, facts = models.load(path, spark)
     both = model.transform(table).select("discharge_key", F.col(PREDICTION).alias("p")).join(
-        loaded.transform(table).select("discharge_key", F.col(PREDICTION).alias("q")), "discharge_key")
-    apart = both.agg(F.max(F.abs(F.col("p") - F.col("q"))).alias("value"))
-    return rounded(facts.unionByName(apart.select(F.lit("largest_difference").alias("metric"), "value")))
+        loaded.transform(table).select("discharge_key", F.col(PREDICTION).alias("q")), "discharge_key", "full")
+    # A row that only one side has counts as a difference.
+    apart = both.agg(F.max(F.coalesce(F.abs(F.col("p") - F.col("q")), F.lit(1.0))).alias("value"))
+    figures = facts.where("metric = 'train_r2'").select(F.lit("train_r2_difference").alias("metric"), F.abs(F.col("value") - F.lit(r2)).alias("value"))
+    return rounded(apart.select(F.lit("largest_difference").alias("metric"), "value").unionByName(figures))
 
 
 _INPUTS = ["length_of_stay", "total_charges"]
