@@ -13,7 +13,7 @@ parts if the host has no slot, as with a single page).
 
 Character references are decoded, white space inside a block becomes one space, and blocks are joined by a line break. NULL
 and empty pages have an empty text. URLs without a host share one wrapper. Markup that is cut off or not closed
-is read as far as it goes. An empty table gives an empty result. Other columns are not carried.
+is read as far as it goes, and elements nested more than ``DEEPEST`` deep are part of the one around them. An empty table gives an empty result. Other columns are not carried.
 """
 
 from __future__ import annotations
@@ -41,11 +41,13 @@ APART_WORDS = frozenset("ad ads advert adverts advertisement advertising banner
                         "subscribe widget".split())
 MAIN = frozenset("article main".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</?[A-Za-z](?:\"[^\"]*\"|'[^']*'|[^'\">])*>|</?[A-Za-z][^>]*>|[^<]+|<", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*>|</?[A-Za-z](?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+>|</?[A-Za-z][^<>]*>|[^<]+|<", re.S)
 _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _KIND = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 SLOT = "#"
+#: Elements nested deeper belong to the one around them.
+DEEPEST = 200
 #: Partial wrappers that a task holds before it sends them on.
 HELD = 1_000
 
@@ -85,6 +87,7 @@ def walk(html: str):
     """(path, marks, block, text) for every text: the elements that hold it, their numbers, and the number of its block."""
     path: list[str] = []
     marks: list[int] = []
+    deeper: dict[str, int] = {}
     block = 0
     for kind, value, words in tokens(html):
         if kind == "text":
@@ -97,7 +100,11 @@ def walk(html: str):
         block += 1
         if value not in HOLDERS:
             continue
-        if kind == "open":
+        if kind == "open" and len(path) == DEEPEST:
+            deeper[value] = deeper.get(value, 0) + 1
+        elif kind == "close" and deeper.get(value):
+            deeper[value] -= 1
+        elif kind == "open":
             path, marks = [*path, ".".join([value, *sorted({*words})])], [*marks, block]
         else:
             at = next((i for i in range(len(path) - 1, -1, -1) if path[i].split(".")[0] == value), None)

@@ -54,6 +54,7 @@ CASES = [
     (5, "http://c.d/", "<article><header><h1>T</h1></header>a &lt;b&gt; <aside>no</aside>z<script>if(a<b){}</script><div class='comments'>no</div></article> <footer>f", "T\na <b>\nz"),
     (6, "http://e/", "<p>" + "w " * 100_000, ("w " * 100_000).strip()), (7, "http://f/", "x < y <a href=\"foo>bar <", "x < y bar <"),
     (8, "http://g/", "<html><head><title>t<body><article>x</article>", "x"),
+    (10, "http://i/", "<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>after", "deep\nafter"),
     (9, "http://h/", "<nav>n</nav><main>m<p>&copy; k&nbsp;l<style>p{}</style></main><div id=cookie-notice>c</div>", "m\n© k l"),
     (9, "http://h/", "<nav>n</nav><main>m<p>&copy; k&nbsp;l<style>p{}</style></main><div id=cookie-notice>c</div>", "m\n© k l"),
 ]
@@ -66,6 +67,11 @@ def test_odd_pages(spark):
     assert wrappers.extract(pages.limit(0)).count() == 0
 
 
+def test_broken_markup_is_read_in_linear_time():
+    for part in ("<a ", '<a "', "<a '", "<![CDATA[", "<!", "<b>", "<div>", "</p"):
+        assert isinstance(wrappers.main_text(part * 20_000 + "x", {""}, set()), str)
+
+
 def test_one_wrapper_for_each_host(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("host", wrappers.host_of(F.col("url")))
     found = wrappers.infer_wrappers(pages.repartition(9))
