@@ -147,3 +147,18 @@ def read_back(pieces: DataFrame) -> DataFrame:
     """
     return pieces.mapInArrow(
         _read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
+#: What ``read_back`` gives for the table ``conversations`` and conversation -7, by the template above.
+SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v (turn, role))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<turn>' || replace(replace(replace(role, '\', '\\'), '<', '\l'), chr(10), '\n') || chr(10)
+    || replace(replace(text, '\', '\\'), '<', '\l') || '</turn>' || chr(10)))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""

@@ -99,4 +99,5 @@ def op10_curriculum(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+ORACLES["op6_chat_template"] = chat.SQL
 ORACLES["op10_curriculum"] = curriculum.SQL
