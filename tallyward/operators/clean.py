@@ -233,9 +233,11 @@ VALID_ROWS: dict[str, Callable[[Column], Column]] = {
 
 
 def clean_discharges(df: DataFrame, topcode: dict[str, str] | None = V.STAY_TOPCODE,
-                     drop_threshold: float = V.COLUMN_NULL_LIMIT, exact: bool = True) -> DataFrame:
+                     drop_threshold: float = V.COLUMN_NULL_LIMIT, exact: bool = True, fit_where: Column | None = None) -> DataFrame:
     """Distinct rows with typed amounts in their valid range and no gaps.
 
+    Medians come from the rows that meet ``fit_where``, such as those of the train part, or from all.
+
     ``topcode=None`` treats the open-ended stay as no number, so those rows are dropped. The valid rows
     are staged: they are read both for their gaps and for the result, and finding repeats is the
     costliest step, so it runs once.
@@ -244,7 +246,8 @@ def clean_discharges(df: DataFrame, topcode: dict[str, str] | None = V.STAY_TOPC
              .transform(convert_types, COST_TYPES, topcode)
              .transform(filter_rows, VALID_ROWS)
              .transform(stage, "valid"))
-    return impute(valid, "median", drop_threshold=drop_threshold, exact=exact)
+    fit_on = None if fit_where is None else valid.where(fit_where)
+    return impute(valid, "median", drop_threshold=drop_threshold, fit_on=fit_on, exact=exact)
 
 
 REPORT_SCHEMA = "step int, operation string, metric string, value double, detail string"

@@ -18,10 +18,13 @@ def hash_number(key: str, seed: int) -> Column:
     return F.conv(F.substring(_digest(key, seed), 1, 8), 16, 10).cast("long")
 
 
+def is_test(key: str, test_size: float = 0.2, seed: int = 42) -> Column:
+    return hash_number(key, seed) % 10_000 < round(test_size * 10_000)
+
+
 def hash_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42, name: str = "split") -> DataFrame:
     """Mark rows 'test' or 'train'. A narrow projection; the test share is approximate."""
-    test = hash_number(key, seed) % 10_000 < round(test_size * 10_000)
-    return df.withColumn(name, F.when(test, "test").otherwise("train"))
+    return df.withColumn(name, F.when(is_test(key, test_size, seed), "test").otherwise("train"))
 
 
 def hash_fold(df: DataFrame, key: str, folds: int, seed: int = 42, name: str = "fold") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyward.functions import values as V
 from tallyward.operators import clean, drift, evaluate, features, models
-from tallyward.operators.split import hash_fold, hash_split
+from tallyward.operators.split import hash_fold, hash_split, is_test
 from tallyward.operators.staging import stage
 from tallyward.sources import readers, writers
 
@@ -17,8 +17,8 @@ IDS = ("order_no", "permanent_facility_id")
 
 
 def prepare(rows: DataFrame, key: str, out: str, test_size: float = 0.2, seed: int = 42) -> None:
-    """Clean, derive features, split and write."""
-    cleaned = clean.clean_discharges(rows).drop(*IDS)
+    """Clean, derive features, split and write. What is fitted comes from the train part."""
+    cleaned = clean.clean_discharges(rows, fit_where=~is_test(key, test_size, seed)).drop(*IDS)
     writers.write_split(features.engineer_features(cleaned), out, TARGET, key, test_size, seed)
 
 
@@ -56,7 +56,7 @@ def watch(baseline: DataFrame, current: DataFrame, out: str, threshold: float =
 
 def model_table(rows: DataFrame, key: str, test_size: float = 0.2, seed: int = 42) -> tuple[DataFrame, list[str]]:
     """Staged rows with the split, the model's features and the label; a tenth of the train rows are marked ``stopping``."""
-    engineered = features.engineer_features(clean.clean_discharges(rows))
+    engineered = features.engineer_features(clean.clean_discharges(rows, fit_where=~is_test(key, test_size, seed)))
     names = models.feature_names(engineered, TARGET, drop=IDS)
     table = models.model_rows(hash_split(engineered, key, test_size, seed), TARGET, names, key, "split")
     stopping = hash_fold(table, key, 10, seed + 1, "_tenth").withColumn("stopping", (F.col("split") == "train") & (F.col("_tenth") == 0))
