@@ -300,7 +300,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     ranges = "id long, digest long, begin int, end int"
     refined = (cut.where("not large").drop("large").repartition("bucket").sortWithinPartitions("bucket")
                .mapInArrow(_refine_buckets, ranges))
-    spread = cut.where("large").select("id", "digest", "alone", "lo", "span").mapInArrow(
+    # Anchors of one large bucket lie in few files; their windows are many, so they are dealt out evenly first.
+    spread = cut.where("large").select("id", "digest", "alone", "lo", "span").hint("rebalance").mapInArrow(
         _spread_windows, "id long, digest long, alone boolean, one long, two long, begin int")
     twice = spread.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1")
     counted = spread.where("alone").join(twice, ["one", "two"]).select("id", "digest", "begin", (F.col("begin") + LENGTH).alias("end"))
