@@ -100,4 +100,5 @@ def op10_curriculum(spark, sf_dir):
 
 
 ORACLES["op6_chat_template"] = chat.SQL
+ORACLES["op9_suffix_buckets"] = suffixes.SQL
 ORACLES["op10_curriculum"] = curriculum.SQL

@@ -309,3 +309,20 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                .agg(F.collect_list(F.struct("begin", "end")).alias("ranges")))  # bounded by a text's anchors and windows
     return rows.join(covered, ["id", "digest"], "left").select("doc_id", "text", "ranges").mapInArrow(
         _remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+#: The same of the table ``documents``, with a digest of the kept bytes, by counting every string of 200 bytes.
+SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, i, b[i : i + 199] AS s FROM d, unnest(range(1, octet_length(b) - 198)) AS t (i) WHERE octet_length(b) >= 200),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY s) AS n FROM w) WHERE n > 1),
+marked AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM again),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY r ORDER BY i) AS span FROM marked),
+spans AS (SELECT r, min(i) AS lo, max(i) + 199 AS hi FROM numbered GROUP BY r, span),
+pieces AS (
+  SELECT r, lo, hi, lag(hi, 1, 0) OVER (PARTITION BY r ORDER BY lo) + 1 AS begin, lo - 1 AS stop FROM spans
+  UNION ALL SELECT d.r, NULL, NULL, coalesce(max(hi), 0) + 1, octet_length(any_value(b)) FROM d LEFT JOIN spans ON spans.r = d.r GROUP BY d.r)
+SELECT any_value(doc_id) AS doc_id, octet_length(any_value(b)) AS n_bytes, coalesce(sum(hi - lo + 1), 0)::BIGINT AS n_removed,
+  count(lo) AS n_spans, sha256(unhex(string_agg(CASE WHEN stop < begin THEN '' ELSE hex(b[begin : stop]) END, '' ORDER BY begin))) AS kept_sha256
+FROM pieces JOIN d ON d.r = pieces.r GROUP BY d.r
+"""
