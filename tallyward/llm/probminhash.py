@@ -8,8 +8,9 @@ once all its registers are hit: later arrivals cannot change them.
 Texts with equal words are one node. Bands of ``ROWS`` registers give buckets. In every bucket each text is compared with its centre, the text whose
 buckets are the largest; links are pairs whose weighted Jaccard similarity, counted on the texts themselves, is 0.8 or
 more. Texts that a bucket holds in another class than its centre are then compared with the other classes' texts in the
-bucket as far as their signatures agree in ``AGREE`` registers (similar pairs fall short of that three times in 100,000), so
-that no link between classes is lost to the choice of the centre. Classes are the connected components.
+bucket, so that no link between classes is lost to the choice of the centre. Of these pairs two kinds are left out: those whose signatures agree in fewer
+than ``AGREE`` registers (similar pairs fall short of that four times in 100,000), and those that cannot be similar because too many of
+their shingles stand in no other of these texts, which is exact. Classes are the connected components.
 
 NULL and empty texts and those without words are a class of their own each. Texts of fewer than five words are one
 shingle. Rows that share a key count as one document, and rows with a NULL key have a NULL class. An empty table gives an
@@ -31,9 +32,10 @@ from tallyward.operators.staging import stage
 SHINGLE, SIMILARITY = 5, 0.8
 #: At similarity 0.8 a pair shares no band of 24 with a probability of 0.000003.
 BANDS, ROWS = 24, 4
-REGISTERS = BANDS * ROWS
-#: Registers, of 96, that a pair of the second step agrees in.
-AGREE = 61
+#: The first ones make up the bands; all of them estimate the similarity of a pair.
+REGISTERS = 256
+#: Registers that a pair of the second step agrees in.
+AGREE = 180
 #: Expected arrivals for each register in the first slice of time; each later slice doubles the time.
 ARRIVALS = 6.0
 
@@ -106,16 +108,24 @@ def _sign(batches):
         for salt in (_U(3), _U(5)):
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(own * salt + place), dtype=np.uint64)])
             totals.append(mix(sums[words.first[1:]] - sums[words.first[:-1]] + words.counts.astype(np.uint64)).view(np.int64))
-        bands = found.reshape(block.rows, BANDS, ROWS)
+        bands = found[:, : BANDS * ROWS].reshape(block.rows, BANDS, ROWS)
         steps = mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | _U(1)
         keys = mix((bands * steps).sum(axis=2, dtype=np.uint64)).view(np.int64)
-        low = (found & _U(0x7FFFFFFF)).astype(np.int32)
+        low = (found & _U(0xFF)).astype(np.uint8).view(np.int8)  # a byte of each; others agree by chance once in 256
         keep = np.flatnonzero(words.counts > 0)
         of_rows = lambda values, width: pa.ListArray.from_arrays(
             pa.array(np.arange(len(keep) + 1, dtype=np.int32) * width), pa.array(values[keep].ravel()))
         yield pa.RecordBatch.from_arrays(
             [part.column("id").take(pa.array(keep)), pa.array(totals[0][keep]), pa.array(totals[1][keep]),
-             of_rows(keys, BANDS), of_rows(low, REGISTERS)], ["id", "text1", "text2", "bands", "registers"])
+             pa.array(np.bincount(row, count, block.rows)[keep].astype(np.int64)),
+             of_rows(keys, BANDS), of_rows(low, REGISTERS)], ["id", "text1", "text2", "shingles", "bands", "registers"])
+
+
+def _list_shingles(batches):
+    for part, block in blocks(batches):
+        row, hashes, count = shingles(block)
+        yield pa.RecordBatch.from_arrays(
+            [part.column("id").take(pa.array(row)), pa.array(hashes.view(np.int64)), pa.array(count)], ["id", "shingle", "n"])
 
 
 def _verify(batches):
@@ -154,11 +164,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Writes signatures, the texts of candidates and links to the shared folder.
     """
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull())
-    signed = stage(texts.mapInArrow(_sign, "id long, text1 long, text2 long, bands array<long>, registers array<int>"), "signatures")
+    signed = stage(texts.mapInArrow(_sign, "id long, text1 long, text2 long, shingles long, bands array<long>, registers array<byte>"), "signatures")
     # Equal texts become the one of the least key.
     nodes = signed.groupBy("text1", "text2").agg(F.min("id").alias("node"))
     copies = signed.select("id", "text1", "text2").join(nodes, ["text1", "text2"]).select("id", "node")
-    own = signed.join(nodes.select("text1", "text2", F.col("node").alias("id")), ["text1", "text2", "id"]).select("id", "bands", "registers")
+    own = signed.join(nodes.select("text1", "text2", F.col("node").alias("id")), ["text1", "text2", "id"]).select("id", "shingles", "bands", "registers")
     entries = own.select("id", F.posexplode("bands").alias("band", "bucket"))
     sizes = entries.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = stage(entries.join(sizes, ["band", "bucket"]), "buckets")
@@ -167,7 +177,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     centre = placed.groupBy("band", "bucket").agg(F.max(F.struct("fame", -F.col("id"))).alias("top")).select(
         "band", "bucket", (-F.col("top.col2")).alias("a"))
     pairs = shared.join(centre, ["band", "bucket"]).where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    candidates = stage(texts.join(fame.select("id"), "id", "left_semi"), "candidates")
+    # Texts are dealt by key at every size, as their table has no bound that a broadcast could rely on.
+    candidates = stage(texts.join(fame.select("id").hint("shuffle_merge"), "id", "left_semi"), "candidates")
     links = stage(_links(pairs, candidates), "centre-links")
     classes = components(links)
     # What a bucket holds beside its centre's class is compared with the rest of the bucket.
@@ -177,19 +188,31 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "band", "bucket", F.coalesce("head", "a").alias("head"), "a")
     mixed = labelled.join(heads, ["band", "bucket"])
     strays = mixed.where(F.col("class") != F.col("head"))
-    signs = own.select("id", "bands", "registers")
-    left = stage(strays.select("band", "bucket", "id", "class", "a").join(signs, "id"), "strays")
-    where = left.select("band", "bucket").distinct()
-    right = labelled.join(where, ["band", "bucket"]).join(signs, "id")
-    x, y = left.alias("x"), right.alias("y")
+    strays = stage(strays.select("band", "bucket", "id", "class", "a"), "strays")
+    members = stage(labelled.join(strays.select("band", "bucket").distinct(), ["band", "bucket"]), "members")
+    # Shingles of each that stand in others too.
+    texts_of = candidates.join(members.select("id").distinct(), "id", "left_semi")
+    common = (texts_of.mapInArrow(_list_shingles, "id long, shingle long, n long").groupBy("shingle")
+              .agg(F.count("*").alias("texts"), F.min("id").alias("id"), F.min("n").alias("n")).where("texts = 1")
+              .groupBy("id").agg(F.sum("n").alias("alone")))
+    signs = own.join(common, "id", "left").withColumn("common", F.col("shingles") - F.coalesce("alone", F.lit(0))).drop("alone")
+    x, y = strays.join(signs, "id").alias("x"), members.join(signs, "id").alias("y")
+    most = F.least("x.common", "y.common")
     near = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.bucket") == F.col("y.bucket"))
                   & (F.col("x.class") != F.col("y.class")) & (F.col("y.id") != F.col("x.a"))
+                  & (most >= SIMILARITY * (F.col("x.shingles") + F.col("y.shingles") - most) - 1e-6)
                   & (_first_shared(F.col("x.bands"), F.col("y.bands")) == F.col("x.band"))
                   & (_agreeing(F.col("x.registers"), F.col("y.registers")) >= AGREE))
     more = near.select(F.greatest("x.id", "y.id").alias("b"), F.least("x.id", "y.id").alias("a")).distinct()
-    every = links.union(_links(more, candidates))
-    final = components(every)
-    of_id = (copies.join(final, "node", "left").groupBy("id").agg(F.min(F.coalesce("class", "node")).alias("class_id")))
+    # Links of the second step join classes of the first.
+    found = _links(more, candidates)
+    for end in ("a", "b"):
+        found = (found.join(classes.select(F.col("node").alias(end), F.col("class").alias(f"class_{end}")), end, "left")
+                 .withColumn(f"class_{end}", F.coalesce(f"class_{end}", end)))
+    joined = components(found.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+    final = (copies.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node")).drop("node")
+             .join(joined.select(F.col("node").alias("class"), F.col("class").alias("whole")), "class", "left"))
+    of_id = final.groupBy("id").agg(F.min(F.coalesce("whole", "class")).alias("class_id"))
     return (docs.select(F.col(key)).join(of_id.withColumnRenamed("id", key), key, "left")
             .select(key, F.coalesce(F.col("class_id"), F.col(key).cast("long")).alias("class_id"))
             .withColumn("is_first", F.col("class_id").eqNullSafe(F.col(key).cast("long"))))
