@@ -24,7 +24,7 @@ from tallyward.llm.textblocks import Block, Spans, blocks, mix, of_row, table_of
 
 RUN_SENTENCES, RUN_WORDS = 3, 20
 #: Clauses end at a comma, or at a word with a hash divisible by ``CUT``, once they have so many words.
-CLAUSE_WORDS, CUT = 8, 16
+CLAUSE_WORDS, CUT = 4, 3
 
 _STRONG, _WEAK = table_of(b".!?"), table_of(b",;:|")
 _QUOTES = table_of(b"\"')]}")

@@ -1,5 +1,7 @@
 """Sentence spans: against a brute-force version over the same sentences; passages, order and odd tables."""
 
+import random
+
 import pyarrow as pa
 from brute import CLASHING, SF, odd_documents, rows_of, with_clashes
 
@@ -91,3 +93,33 @@ def test_a_passage_goes_but_for_its_edges(spark):
 def test_clean_texts_stay(spark):
     docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}{'.' if j % 9 == 0 else ''}" for j in range(300))) for i in range(20)], "doc_id long, text string")
     assert {r["n_removed"] for r in spans.span_dedup(docs).collect()} == {0}
+
+
+def test_passages_amid_sentences(spark):
+    """Repeated passages that begin and end inside sentences, long or without marks, are found wherever they stand."""
+    rng = random.Random(25)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(5000)]
+
+    def prose(n, least, most):
+        """Words in sentences of so many words; none end if ``least`` is 0."""
+        words, left = rng.choices(vocabulary, k=n), rng.randint(1, max(most, 1))
+        for i in range(n):
+            left -= 1
+            if least and left <= 0:
+                words[i] += "."
+                left = rng.randint(least, most)
+        return words
+
+    n = 150
+    for kind, (least, most, size, share) in enumerate([(12, 24, 52, 0.93), (25, 30, 52, 0.93), (0, 0, 52, 0.93), (0, 0, 80, 0.98)]):
+        rows = []
+        for i in range(n):
+            passage = prose(size, least, most)
+            passage[-1] = passage[-1].rstrip(".")
+            for copy in (0, 1):
+                rows.append((2 * i + copy, " ".join(prose(60, least, most)[:-1] + ["before"] + passage + prose(60, least, most))))
+        got = rows_of(spans.span_dedup(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_removed")
+        assert all(removed == 0 for k, removed in got if k % 2 == 0)
+        found = sum(removed > 0 for k, removed in got if k % 2) / n
+        print(f"kind {kind}: {found:.3f}")
+        assert found >= share, (kind, found)
