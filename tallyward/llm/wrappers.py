@@ -8,8 +8,9 @@ wrapper for each host and task is shuffled.
 
 The wrapper says which parts of the host's pages are read: the articles, without menus, headers, footers, sidebars, notices, adverts,
 forms and reader comments, known by their elements and by the words in their classes and ids. On pages without an article, the
-parts outside those are read whose text is a slot, as a text that is the same on every page of a host belongs to its template (all
-parts if the host has no slot, as with a single page).
+parts outside those are read but for the host's template: texts that at least half of its pages, and no less than two, show, all of them the same.
+What fewer pages show is read whatever it is. If those texts together are longer than the texts of the slots, the pages are copies of one another
+but for a date or counter, and they are read too, as with a single page.
 
 Character references are decoded, white space inside a block becomes one space, and blocks are joined by a line break. NULL
 and empty pages have an empty text. URLs without a host share one wrapper. Markup that is cut off or not closed
@@ -21,6 +22,7 @@ from __future__ import annotations
 import json
 import re
 from html import unescape
+from operator import add
 
 import pyarrow as pa
 import xxhash
@@ -112,12 +114,12 @@ def walk(html: str):
                 path, marks = path[:at], marks[:at]
 
 
-# A node of a wrapper: [label, optional, repeated, digest of its text or None for a slot, children].
+# A node of a wrapper: [label, optional, repeated, digest of its text or None for a slot, children, pages that show it, characters of its longest text].
 
 
 def page_wrapper(html: str) -> list:
     """The wrapper of one page."""
-    root = ["", False, False, None, []]
+    root = ["", False, False, None, [], 1, 0]
     open_nodes: list[list] = [root]
     last: list[int] = []
     texts: list[str] = []
@@ -126,7 +128,7 @@ def page_wrapper(html: str) -> list:
         text = " ".join("".join(texts).split())
         texts.clear()
         if text:
-            open_nodes[-1][4].append([SLOT, False, False, xxhash.xxh64_hexdigest(text), []])
+            open_nodes[-1][4].append([SLOT, False, False, xxhash.xxh64_hexdigest(text), [], 1, len(text)])
 
     for path, marks, _, text in walk(html):
         if marks != last:
@@ -136,7 +138,7 @@ def page_wrapper(html: str) -> list:
                 same += 1
             del open_nodes[same + 1 :]
             for label in path[same:]:
-                node = [label, False, False, None, []]
+                node = [label, False, False, None, [], 1, 0]
                 open_nodes[-1][4].append(node)
                 open_nodes.append(node)
             last = marks
@@ -150,7 +152,7 @@ def _folded(node: list) -> list:
     children: list[list] = []
     for child in map(_folded, node[4]):
         if children and children[-1][0] == child[0]:
-            children[-1] = _joined(children[-1], child)
+            children[-1] = _joined(children[-1], child, max)
             children[-1][2] = True
         else:
             children.append(child)
@@ -158,8 +160,9 @@ def _folded(node: list) -> list:
     return node
 
 
-def _joined(a: list, b: list) -> list:
-    return [a[0], a[1] or b[1], a[2] or b[2], a[3] if a[3] == b[3] else None, _aligned(a[4], b[4])]
+def _joined(a: list, b: list, pages=add) -> list:
+    """The node of both: of different pages, or (``pages`` is ``max``) of the same ones, which show it no less often than either."""
+    return [a[0], a[1] or b[1], a[2] or b[2], a[3] if a[3] == b[3] else None, _aligned(a[4], b[4], pages), pages(a[5], b[5]), max(a[6], b[6])]
 
 
 def align(a: list, b: list) -> list:
@@ -167,10 +170,10 @@ def align(a: list, b: list) -> list:
     return _folded(_joined(a, b))
 
 
-def _aligned(a: list, b: list) -> list:
+def _aligned(a: list, b: list, pages=add) -> list:
     """Both sequences along a longest common one; what only one has is optional."""
     if [n[0] for n in a] == [n[0] for n in b]:
-        return [_joined(x, y) for x, y in zip(a, b)]
+        return [_joined(x, y, pages) for x, y in zip(a, b)]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -178,7 +181,7 @@ def _aligned(a: list, b: list) -> list:
     made, i, j = [], 0, 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and a[i][0] == b[j][0]:
-            made.append(_joined(a[i], b[j]))
+            made.append(_joined(a[i], b[j], pages))
             i, j = i + 1, j + 1
         elif j == len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
             made.append([a[i][0], True, *a[i][2:]])
@@ -191,7 +194,7 @@ def _aligned(a: list, b: list) -> list:
 
 def expression(node: list) -> str:
     """The wrapper as a regular expression: ``(...)?`` optional, ``(...)+`` repeated, ``#`` a text slot, ``=`` a fixed text."""
-    label, optional, repeated, digest, children = node
+    label, optional, repeated, digest, children, _, _ = node
     inner = "".join(map(expression, children))
     body = ("=" if digest else SLOT) if label == SLOT else f"<{label}>{inner}</>" if label else inner
     return f"({body})" + "+" * repeated + "?" * optional if optional or repeated else body
@@ -212,7 +215,7 @@ def is_apart(path: list[str]) -> bool:
 
 def read_parts(wrapper: list) -> tuple[list[str], list[str]]:
     """Paths of parts of articles to read, and of parts to read where there is no article."""
-    main, slots, fixed = [], [], []
+    main, slots, fixed, seldom = [], [], [], []
 
     def visit(node, path):
         for child in node[4]:
@@ -222,10 +225,12 @@ def read_parts(wrapper: list) -> tuple[list[str], list[str]]:
                 if any(p.split(".")[0] in MAIN for p in path):
                     main.append("/".join(path))
                 else:
-                    (slots if child[3] is None else fixed).append("/".join(path))
+                    kind = slots if child[3] is None else fixed if child[5] >= max(2, wrapper[5] / 2) else seldom
+                    kind.append(("/".join(path), child[6]))
 
     visit(wrapper, [])
-    return sorted({*main}), sorted({*(slots or fixed)})
+    copies = sum(n for _, n in fixed) > sum(n for _, n in slots)
+    return sorted({*main}), sorted({path for path, _ in slots + seldom + fixed * copies})
 
 
 def main_text(html: str, main: set[str], other: set[str]) -> str:

@@ -78,3 +78,24 @@ def test_one_wrapper_for_each_host(spark):
     assert found.count() == pages.select("host").distinct().count()
     for (wrapper,) in rows_of(found, "wrapper"):
         assert wrappers.read_parts(json.loads(wrapper))[0] == ["html/body/article"]
+
+
+def texts_of(*pages):
+    main, other = wrappers.read_parts(wrapper_of(*pages))
+    return [wrappers.main_text(p, {*main}, {*other}) for p in pages]
+
+
+def test_parts_that_few_pages_show_are_read():
+    page = lambda i, more: f"<body><div class=top>Site</div><div class=date>May {i}</div>{more}</body>"
+    stories = [page(i, f"<div class=story>story {i}</div>") for i in range(8)]
+    odd = [page(8, "<section>whole main text</section>"), page(9, "<div class=story>story 9</div><table><tr><td>cell</table>")]
+    want = [f"May {i}\nstory {i}" for i in range(8)] + ["May 8\nwhole main text", "May 9\nstory 9\ncell"]
+    assert texts_of(*stories, *odd) == want and texts_of(*odd, *stories) == want[8:] + want[:8]
+    # Two pages of many that show one text do not make it the template's.
+    twice = [page(i, "<section>shown twice</section>") for i in (8, 9)]
+    assert texts_of(*stories, *twice)[8:] == ["May 8\nshown twice", "May 9\nshown twice"]
+
+
+def test_copies_but_for_a_date_keep_their_body():
+    pages = [f"<body><div class=date>May {i}</div><div class=story>{'the same body ' * 9}</div></body>" for i in range(6)]
+    assert texts_of(*pages) == [f"May {i}\n{('the same body ' * 9).strip()}" for i in range(6)]
