@@ -1,6 +1,7 @@
 """Registered queries of training, tuning, scoring and logging.
 
-Settings are small so that a query ends soon; every one of them reads the whole table.
+Models have the defaults of ``values.MODEL``, searches all of ``values.GRID`` or 50 draws from ``values.RANGES`` and five folds.
+Every query reads the whole table.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from tallyward.sources import readers, writers
 from tallyward.sources.discharges import discharges
 from tallyward.streaming import prediction_log as log
 
-_SMALL = {"n_estimators": 5, "max_depth": 4, "learning_rate": 0.3}
+#: The second model of the vote, beside the default one.
+_SECOND = {"n_estimators": 100, "learning_rate": 0.3, "max_depth": 6, "subsample": 1.0}
 _RAW = ("discharge_key", *AMOUNTS, "age_group", "apr_severity_of_illness_description", "apr_risk_of_mortality",
         "type_of_admission", "emergency_department_indicator")
 
@@ -41,72 +43,71 @@ def _scores(model, table):
 @query(None)
 def train_gbt(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    return _scores(models.fit(models.boosted(names, **_SMALL), _train(table)), table)
+    return _scores(models.fit(models.boosted(names), _train(table)), table)
 
 
 @query(None)
 def train_gbt_early_stop(spark, sf_dir):
     """A tenth of the train rows decides when to stop; the test rows take no part."""
     table, names = _table(spark, sf_dir)
-    return _scores(models.fit(models.boosted(names, stop_column="stopping", **_SMALL), _train(table)), table)
+    return _scores(models.fit(models.boosted(names, stop_column="stopping"), _train(table)), table)
 
 
 @query(None)
 def train_rf(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    return _scores(models.fit(models.forest(names, n_estimators=10, max_depth=6), _train(table)), table)
+    return _scores(models.fit(models.forest(names, max_depth=None), _train(table)), table)
 
 
 @query(None)
 def score_ensemble(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    pair = [models.fit(models.boosted(names, **_SMALL), _train(table)),
-            models.fit(models.boosted(names, **{**_SMALL, "max_depth": 3}), _train(table))]
-    return rounded(models.weighted_vote(pair, table.where("split = 'test'")).select("discharge_key", "label", PREDICTION))
+    pair = [models.fit(models.boosted(names), _train(table)),
+            models.fit(models.boosted(names, **_SECOND), _train(table))]
+    return rounded(models.weighted_vote(pair, table).select("discharge_key", "split", "label", PREDICTION))
 
 
 @query(None)
 def cv_scores(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    return rounded(models.fold_scores(models.boosted(names, **_SMALL), _train(table), "discharge_key", 2))
+    return rounded(models.fold_scores(models.boosted(names), _train(table), "discharge_key"))
 
 
 def _search(spark, sf_dir, candidates):
     table, names = _table(spark, sf_dir)
-    pipeline = models.boosted(names, **_SMALL)
-    _, found = models.search(pipeline, candidates(pipeline.getStages()[-1]), _train(table), "discharge_key", 2)
+    pipeline = models.boosted(names)
+    _, found = models.search(pipeline, candidates(pipeline.getStages()[-1]), _train(table), "discharge_key")
     return rounded(found)
 
 
 @query(None)
 def tune_grid(spark, sf_dir):
-    return _search(spark, sf_dir, lambda tree: models.grid(tree, {"max_depth": [2, 4], "learning_rate": [0.1, 0.3]}))
+    return _search(spark, sf_dir, models.grid)
 
 
 @query(None)
 def tune_random(spark, sf_dir):
-    ranges = {"n_estimators": (3, 6), "learning_rate": (0.05, 0.4), "max_depth": (2, 5), "subsample": (0.6, 1.0)}
-    return _search(spark, sf_dir, lambda tree: models.draws(tree, ranges, 3))
+    return _search(spark, sf_dir, models.draws)
 
 
 @query(None)
 def feature_importance(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    model = models.fit(models.boosted(names, **_SMALL), _train(table))
+    model = models.fit(models.boosted(names), _train(table))
     return rounded(models.native_importance(model, names, spark))
 
 
 @query(None)
 def permutation_importance(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    model = models.fit(models.boosted(names, **_SMALL), _train(table))
-    return rounded(models.permutation_importance(model, table.where("split = 'test'"), names, "discharge_key", 3))
+    model = models.fit(models.boosted(names), _train(table))
+    return rounded(models.permutation_importance(model, table.where("split = 'test'"), names, "discharge_key"))
 
 
 @query(None)
 def score_batch(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    model = models.fit(models.boosted(names, **_SMALL), _train(table))
+    model = models.fit(models.boosted(names), _train(table))
     path = scratch_path(spark, "scored")
     writers.write_file(models.score(model, table), path, "parquet")
     return rounded(readers.read_file(spark, path, "parquet").select("discharge_key", "predicted_cost"), 4)
@@ -116,7 +117,7 @@ def score_batch(spark, sf_dir):
 def model_roundtrip(spark, sf_dir):
     """How far a saved model, its predictions and its figures, is from the loaded one."""
     table, names = _table(spark, sf_dir)
-    model = models.fit(models.boosted(names, **_SMALL), _train(table))
+    model = models.fit(models.boosted(names), _train(table))
     path, r2 = scratch_path(spark, "model"), models.r2(model.transform(_train(table)))
     models.save(model, path, {"train_r2": r2}, spark)
     loaded, facts = models.load(path, spark)
@@ -135,7 +136,7 @@ def _request_model(spark, sf_dir):
     """A model of the two columns that requests carry."""
     rows = typed(spark, sf_dir, *_INPUTS, "total_costs").where("total_costs > 0")
     rows = models.model_rows(rows.withColumn("log_costs", F.log1p("total_costs")), "log_costs", _INPUTS)
-    return models.fit(models.boosted(_INPUTS, **_SMALL), stage(rows, "request-rows"))
+    return models.fit(models.boosted(_INPUTS), stage(rows, "request-rows"))
 
 
 @query(None)
