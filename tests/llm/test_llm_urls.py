@@ -81,3 +81,38 @@ def test_unlisted_urls_go_with_their_like(spark):
     rows += [(1000, "http://h3.org/good/77"), (1001, "http://h3.org/es/bad/77")]
     got = dict(rows_of(urls.url_filter(spark.createDataFrame(rows, "page_id long, url string")), "page_id", "verdict"))
     assert got[1000] == "allow" and got[1001] == "block"
+
+
+def plain_score(address, counts):
+    """Difference of the log-likelihoods a byte by exact counts of (order, context) and (order, context, byte) of each class."""
+    padded, gain = bytes(urls.ORDER) + address, 0.0
+    for i in range(urls.ORDER, len(padded)):
+        for sign, found in ((1, counts["allow"]), (-1, counts["block"])):
+            p = 1 / 256
+            for o in range(urls.ORDER + 1):
+                p = (found[o, padded[i - o : i + 1]] + urls.SHORTER * p) / (found[o, padded[i - o : i], None] + urls.SHORTER)
+            gain += sign * math.log(p)
+    return gain / max(len(address), 1)
+
+
+def test_scores_of_many_contexts_by_plain_counts(spark):
+    """More distinct strings than any table of fixed size would keep apart."""
+    rng = np.random.default_rng(3)
+    rows = [(i, f"http://h{i % 7}.{kind}/{rng.integers(10**9)}/{rng.integers(10**9):x}") for i in range(6000) for kind in ("com", "net/es")]
+    rows += [(9000 + i, f"http://h{i}.org/{rng.integers(10**9)}") for i in range(50)]
+    df = spark.createDataFrame([(i, *r[1:]) for i, r in enumerate(rows)], "page_id long, url string")
+    got = rows_of(urls.url_filter(df), "host", "path", "rule", "score")
+    names = [(h + p).encode() for h, p, _, _ in got]
+    lists = spark.createDataFrame([(n.decode(),) for n in names], "a string")
+    held = {a for a, in rows_of(lists.where(f"pmod(xxhash64('held', a), {urls.HELD_OUT}) = 0"), "a")}
+    counts = {"allow": Counter(), "block": Counter()}
+    for (_, _, rule, _), name in zip(got, names):
+        if rule and name.decode() not in held:
+            found, padded = counts[dict((r, v) for v, r in urls.RULES)[rule]], bytes(urls.ORDER) + name
+            for i in range(urls.ORDER, len(padded)):
+                for o in range(urls.ORDER + 1):
+                    found[o, padded[i - o : i], None] += 1
+                    found[o, padded[i - o : i + 1]] += 1
+    assert len(counts["allow"]) + len(counts["block"]) > 2 * 32_768
+    for (_, _, _, score), name in zip(got, names):
+        assert score == pytest.approx(plain_score(name, counts), abs=1e-9)
