@@ -81,8 +81,8 @@ def op7_html_wrapper(spark, sf_dir):
 
 @query
 def op8_edit_fingerprint(spark, sf_dir):
-    """Fingerprints of every document and of its edited text, and what they have in common."""
-    return edit_embedding.fingerprint_documents(table(spark, sf_dir, "documents"))
+    """Fingerprints of every document and of its edited text, what they have in common, and the class of nearly equal documents."""
+    return edit_embedding.with_classes(table(spark, sf_dir, "documents"))
 
 
 @query
