@@ -9,7 +9,7 @@ Texts with equal words are one node. Bands of ``ROWS`` registers give buckets. I
 buckets are the largest; links are pairs whose weighted Jaccard similarity, counted on the texts themselves, is 0.8 or
 more. Texts that a bucket holds in another class than its centre are then compared with the other classes' texts in the
 bucket, so that no link between classes is lost to the choice of the centre. Of these pairs two kinds are left out: those whose signatures agree in fewer
-than ``AGREE`` registers (similar pairs fall short of that four times in 100,000), and those that cannot be similar because too many of
+than ``AGREE`` registers (similar pairs fall short of that once in 1,000,000, less often than they miss all bands), and those that cannot be similar because too many of
 their shingles stand in no other of these texts, which is exact. Classes are the connected components.
 
 NULL and empty texts and those without words are a class of their own each. Texts of fewer than five words are one
@@ -35,7 +35,7 @@ BANDS, ROWS = 24, 4
 #: The first ones make up the bands; all of them estimate the similarity of a pair.
 REGISTERS = 256
 #: Registers that a pair of the second step agrees in.
-AGREE = 180
+AGREE = 173
 #: Expected arrivals for each register in the first slice of time; each later slice doubles the time.
 ARRIVALS = 6.0
 

@@ -1,5 +1,6 @@
 """Near-duplicates: classes against brute force, signatures against the similarity they estimate, odd tables."""
 
+import math
 import random
 
 import numpy as np
@@ -103,3 +104,9 @@ def test_words_are_cut_alike():
     text = " a\x0bb\x0cc\u00a0d\te\r\nf\u2003g "
     block = Block(pa.array([text, None, ""]))
     assert block.words().counts.tolist() == [len(words(text)), 0, 0]
+
+
+def test_the_register_bound_loses_less_than_the_bands():
+    n, p = probminhash.REGISTERS, probminhash.SIMILARITY
+    short = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(probminhash.AGREE))
+    assert short < (1 - p**probminhash.ROWS) ** probminhash.BANDS
