@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chat, curriculum, edit_embedding, probminhash, quality, spans, suffixes, urls, wrappers
+from tallyward.llm import bpe, chat, curriculum, edit_embedding, prefix_trie, probminhash, quality, spans, suffixes, urls, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +99,14 @@ def op10_curriculum(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op13_prefix_trie(spark, sf_dir):
+    """Every node of the trie of the rebuilt conversations."""
+    turns = prefix_trie.paths(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(turns))
+
+
 ORACLES["op6_chat_template"] = chat.SQL
 ORACLES["op9_suffix_buckets"] = suffixes.SQL
 ORACLES["op10_curriculum"] = curriculum.SQL
+ORACLES["op13_prefix_trie"] = prefix_trie.SQL
