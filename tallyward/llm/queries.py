@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chat, curriculum, edit_embedding, prefix_trie, probminhash, quality, spans, suffixes, urls, wrappers
+from tallyward.llm import (
+    bpe, chat, curriculum, edit_embedding, infill, pieces, prefix_trie, probminhash, quality, spans, suffixes, urls, wrappers)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +100,25 @@ def op10_curriculum(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def piece_model() -> str:
+    """Place of the public SentencePiece model."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op11_sentencepiece(spark, sf_dir):
+    """Digests of the ids and of the decoded text of every document."""
+    return pieces.digests(table(spark, sf_dir, "documents"), piece_model())
+
+
+@query
+def op12_infill(spark, sf_dir):
+    """Form, parts and digests of the fill-in-middle output of every document, and of the text read back from it."""
+    return infill.digests(infill.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
 @query
 def op13_prefix_trie(spark, sf_dir):
     """Every node of the trie of the rebuilt conversations."""
@@ -110,3 +130,4 @@ ORACLES["op6_chat_template"] = chat.SQL
 ORACLES["op9_suffix_buckets"] = suffixes.SQL
 ORACLES["op10_curriculum"] = curriculum.SQL
 ORACLES["op13_prefix_trie"] = prefix_trie.SQL
+ORACLES["op12_infill"] = infill.SQL
