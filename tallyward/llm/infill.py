@@ -2,8 +2,8 @@
 
 A text is stored as independent zstandard frames of about 64 KB, each with the number of units (a run of ASCII letters, or any other
 code point) and code points before it. Where a text is cut is found by unit number: only the frames that hold a cut are
-decompressed to find its place, all other frames belong to one part as they are. The parts' frames are dealt out by text and put in the
-order of the output, and each text's output is made, digested and read back frame by frame: what comes later in the text than in the output
+decompressed to find its place, all other frames belong to one part as they are. The parts' frames are put in the
+order of the output, those of texts of several frames after an exchange by text, and each text's output is made, digested and read back frame by frame: what comes later in the text than in the output
 waits compressed. A task holds a block of texts while it stores, then one frame and one text's compressed suffix.
 
 Rows are numbered when they are stored, so rows that share a key, repeated rows and rows without a key stay apart. The
@@ -40,7 +40,7 @@ PLACES = {"plain": (0, 1, 2), "psm": (0, 2, 1), "spm": (1, 2, 0)}
 ROW_STEP = 1 << 33
 LEVEL = 1
 
-_STORE = "text_id long, n long, marked boolean, frame int, units_before long, units long, inside boolean, chars long, payload binary"
+_STORE = "text_id long, n long, marked boolean, frames int, frame int, units_before long, units long, inside boolean, chars long, payload binary"
 _LETTERS = table_of(bytes([*range(65, 91), *range(97, 123)]))
 
 
@@ -74,18 +74,18 @@ def _stored(key: str, text: str, size: int, schema: list[str]):
             points = np.concatenate([[0], np.cumsum(block.code_points())])
             texts = pc.fill_null(part.column(text), "")
             marked = pc.match_substring_regex(texts, "|".join(MARKS)).to_pylist()
-            rows, columns = [], [[] for _ in range(9)]
+            rows, columns = [], [[] for _ in range(10)]
             for i, (a, b) in enumerate(zip(block.offsets[:-1].tolist(), block.offsets[1:].tolist())):
                 limits = _cuts(block.data, a, b, size)
                 total, before = int(units[b] - units[a]), int(units[a])
                 for frame, (lo, hi) in enumerate(zip(limits, limits[1:])):
                     rows.append(i)
-                    found = (number, total, marked[i], frame, int(units[lo]) - before, int(units[hi] - units[lo]), hi > lo and not starts[lo],
+                    found = (number, total, marked[i], len(limits) - 1, frame, int(units[lo]) - before, int(units[hi] - units[lo]), hi > lo and not starts[lo],
                              int(points[hi] - points[lo]), packer.compress(block.data[lo:hi].tobytes()))
                     for column, value in zip(columns, found):
                         column.append(value)
                 number += 1
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
+            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [part.column(key).take(pa.array(rows, pa.int64())), *[pa.array(c, k) for c, k in zip(columns, kinds)]], schema)
 
@@ -119,7 +119,7 @@ def forms(stored: DataFrame, key: str = "doc_id") -> DataFrame:
 def pieces(formed: DataFrame) -> DataFrame:
     """For each part of a text the frames that hold some of it, and between which units of the frame it lies.
 
-    A frame that lies in one part is ``whole`` and is never searched.
+    A frame that lies in one part is ``whole`` and is never searched. The pieces of a frame are in the order of the output.
     """
     begin = F.col("units_before") - F.col("inside").cast("int")
     end = F.col("units_before") + F.col("units")
@@ -135,13 +135,14 @@ def pieces(formed: DataFrame) -> DataFrame:
         made.append(F.when(here, F.struct(
             place.alias("place"), F.lit(part).alias("part"), (first - F.col("units_before")).alias("from_unit"), (last - F.col("units_before")).alias("to_unit"),
             ((first == begin) & (last == end)).alias("whole"))))
-    return formed.withColumn("_piece", F.explode(F.filter(F.array(*made), lambda p: p.isNotNull()))).select(
+    return formed.withColumn("_piece", F.explode(F.array_sort(F.filter(F.array(*made), lambda p: p.isNotNull())))).select(
         *[c for c in formed.columns if c not in ("marked", "prefix_end", "middle_end")], "_piece.*")
 
 
 def in_output_order(parts: DataFrame) -> DataFrame:
-    """A text's pieces in one partition, one after the other as the output has them."""
-    return parts.repartition("text_id").sortWithinPartitions("text_id", "place", "frame")
+    """A text's pieces in one partition, one after the other as the output has them. Texts of one frame are so already."""
+    many = parts.where("frames > 1").repartition("text_id").sortWithinPartitions("text_id", "place", "frame")
+    return parts.where("frames = 1").unionByName(many)
 
 
 def _cut_out(data: bytes, begin: int, end: int, inside: bool) -> bytes:
