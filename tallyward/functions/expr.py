@@ -72,6 +72,13 @@ def ratio(top: Column, bottom: Column) -> Column:
     return F.try_divide(top.cast("double"), bottom.cast("double"))
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Correlation over the rows where both are filled; NULL instead of an error where one of them is constant."""
+    x, y = x.cast("double"), y.cast("double")
+    widths = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return ratio(F.covar_pop(x, y), widths)
+
+
 def lookup(c: Column, mapping: dict[str, int]) -> Column:
     """Code of a label; unknown labels give NULL."""
     rule = None

@@ -49,13 +49,17 @@ VOTE_WEIGHTS = (0.538, 0.462)
 LEAKAGE = ("total_costs", "log_total_costs", "cost_per_day", "cost_to_charge_ratio", "cost_efficiency")
 
 # Defaults of the boosted model.
-MODEL = {"n_estimators": 200, "learning_rate": 0.1, "max_depth": 7, "min_samples_leaf": 1, "subsample": 0.8,
+MODEL = {"n_estimators": 200, "learning_rate": 0.1, "max_depth": 7, "min_samples_split": 2, "min_samples_leaf": 1, "subsample": 0.8,
          "random_state": 42}
+# The two boosters of the vote: one grows its best leaf first, one level by level with a regularised gain.
+LEAF_WISE = {"n_estimators": 100, "learning_rate": 0.1, "max_depth": None, "max_leaves": 31, "min_samples_leaf": 20, "min_child_weight": 0.001, "subsample": 1.0}
+LEVEL_WISE = {"n_estimators": 100, "learning_rate": 0.300000012, "max_depth": 6, "min_child_weight": 1.0, "reg_lambda": 1.0, "subsample": 1.0}
 # Default grid and ranges of the search.
 GRID = {
     "n_estimators": [100, 200, 300],
     "learning_rate": [0.01, 0.05, 0.1, 0.2],
     "max_depth": [3, 5, 7, 10],
+    "min_samples_split": [2, 5, 10],
     "min_samples_leaf": [1, 2, 4],
     "subsample": [0.8, 0.9, 1.0],
     "max_features": ["sqrt", "log2", None],
@@ -64,6 +68,7 @@ RANGES = {
     "n_estimators": (100, 499),
     "learning_rate": (0.01, 0.31),
     "max_depth": (3, 14),
+    "min_samples_split": (2, 19),
     "min_samples_leaf": (1, 9),
     "subsample": (0.6, 1.0),
     "max_features": ["sqrt", "log2", None],

@@ -1,83 +1,62 @@
 """Tree ensembles for regression: training, tuning, importance and scoring.
 
-Training reads its rows many times, so callers pass rows that are cheap to read again, such as a
+Boosted models are those of ``operators.boosting``, forests are Spark's. Both have ``transform``, which adds the predictions to a table
+or a stream. Training reads its rows many times, so callers pass rows that are cheap to read again, such as a
 table written by ``operators.staging.stage``.
 """
 
 from __future__ import annotations
 
+import itertools
 import random
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.base import Estimator
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions import values as V
 from tallyward.functions.expr import numeric_columns
+from tallyward.operators import boosting
 from tallyward.operators.evaluate import wide_metrics
 from tallyward.operators.split import hash_fold
 from tallyward.session import ensure_checkpoint_dir
 
 PREDICTION = "prediction"
+Model = boosting.Model | PipelineModel
 
-# Setting -> parameter of the boosted model and of the forest.
-_GBT = {"n_estimators": "maxIter", "learning_rate": "stepSize", "max_depth": "maxDepth",
-        "min_samples_leaf": "minInstancesPerNode", "subsample": "subsamplingRate", "random_state": "seed",
-        "max_features": "featureSubsetStrategy", "max_bins": "maxBins", "loss": "lossType", "tol": "validationTol"}
-_FOREST = {k: v for k, v in _GBT.items() if k not in ("learning_rate", "loss", "tol")} | {"n_estimators": "numTrees"}
-_LOSSES = {"squared_error": "squared", "absolute_error": "absolute"}
+# Setting -> parameter of the forest.
+_FOREST = {"n_estimators": "numTrees", "max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode", "subsample": "subsamplingRate",
+           "random_state": "seed", "max_features": "featureSubsetStrategy", "max_bins": "maxBins"}
 _DEEPEST = 30
 
 
-def _settings(names: dict[str, str], given: dict) -> dict:
-    out = {}
-    unknown = set(given) - set(names)
+def _forest_settings(given: dict) -> dict:
+    unknown = set(given) - set(_FOREST)
     if unknown:
         raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
+    out = {}
     for key, value in given.items():
         if key == "max_features":
             value = value or "all"
-        if key == "loss":
-            value = _LOSSES[value]
         if key == "max_depth":
             value = _DEEPEST if value is None else value
             if value > _DEEPEST:
-                raise ValueError(f"trees are at most {_DEEPEST} deep")
-        out[names[key]] = value
+                raise ValueError(f"the forest's trees are at most {_DEEPEST} deep")
+        out[_FOREST[key]] = value
     return out
 
 
-def boosted(features: Iterable[str], label: str = "label", prediction: str = PREDICTION,
-            stop_column: str | None = None, **settings) -> Pipeline:
-    """Boosted trees; with ``stop_column`` rows marked true decide when to stop early."""
-    tree = GBTRegressor(featuresCol="features", labelCol=label, predictionCol=prediction,
-                        **_settings(_GBT, {**V.MODEL, **settings}))
-    if stop_column:
-        tree = tree.setValidationIndicatorCol(stop_column)
-    return _with_features(tree, features)
-
-
 def forest(features: Iterable[str], label: str = "label", prediction: str = PREDICTION, **settings) -> Pipeline:
-    tree = RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol=prediction,
-                                 **_settings(_FOREST, {"n_estimators": 50, "random_state": 42, **settings}))
-    return _with_features(tree, features)
-
-
-def _with_features(tree: Estimator, features: Iterable[str]) -> Pipeline:
-    """Gaps are filled with the mean of the training rows, then the columns are put in one vector."""
+    """Random forest; gaps are filled with the mean of the training rows."""
     names = list(features)
     filled = [f"{c}_filled" for c in names]
-    return Pipeline(stages=[
-        Imputer(inputCols=names, outputCols=filled, strategy="mean"),
-        VectorAssembler(inputCols=filled, outputCol="features"),
-        tree,
-    ])
+    tree = RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol=prediction,
+                                 **_forest_settings({"n_estimators": 50, "random_state": 42, **settings}))
+    return Pipeline(stages=[Imputer(inputCols=names, outputCols=filled, strategy="mean"), VectorAssembler(inputCols=filled, outputCol="features"), tree])
 
 
 def feature_names(df: DataFrame, target: str, drop: Iterable[str] = (), leakage=V.LEAKAGE) -> list[str]:
@@ -101,37 +80,27 @@ def r2(rows: DataFrame, label: str = "label", prediction: str = PREDICTION) -> f
     return wide_metrics(rows, label, prediction, median=False).first()["r2_score"]
 
 
-def fold_scores(pipeline: Pipeline, rows: DataFrame, key: str, folds: int = 5, seed: int = 42) -> DataFrame:
-    """Score of each fold by a model trained on the others, with their mean and spread.
+def fold_scores(rows: DataFrame, features: list[str], key: str, folds: int = 5, seed: int = 42, **settings) -> DataFrame:
+    """Score of each fold by a boosted model trained on the others, with their mean and spread.
 
-    The folds are made by hash, so they are the same on every run. One model is trained per fold.
+    The folds are made by hash, so they are the same on every run. All models grow in the same passes.
     """
-    marked = hash_fold(rows, key, folds, seed)
-    scores = []
-    for k in range(folds):
-        model = fit(pipeline, marked.where(F.col("fold") != k))
-        scores.append((k, r2(model.transform(marked.where(F.col("fold") == k)))))
-    found = rows.sparkSession.createDataFrame(scores, "fold int, r2_score double")
+    marked = hash_fold(rows, key, folds, seed, "_fold")
+    scores = boosting.cross_validate(marked, features, key, [settings], F.col("_fold"), folds)[0]
+    found = rows.sparkSession.createDataFrame(list(enumerate(scores)), "fold int, r2_score double")
     whole = Window.partitionBy()  # one row per fold
     return found.select("fold", "r2_score", F.avg("r2_score").over(whole).alias("mean"),
                         F.stddev_pop("r2_score").over(whole).alias("std"))
 
 
-def grid(tree, options: dict[str, list] | None = None) -> list[dict]:
-    """Every combination of the settings (by default ``values.GRID``), as parameter maps of the tree stage."""
-    names = _FOREST if isinstance(tree, RandomForestRegressor) else _GBT
-    builder = ParamGridBuilder()
-    for key, choices in (V.GRID if options is None else options).items():
-        params = [_settings(names, {key: v}) for v in choices]
-        if params and params[0]:
-            param = next(iter(params[0]))
-            builder = builder.addGrid(tree.getParam(param), [p[param] for p in params])
-    return builder.build()
+def grid(options: dict[str, list] | None = None) -> list[dict]:
+    """Every combination of the settings, by default those of ``values.GRID``."""
+    options = V.GRID if options is None else options
+    return [dict(zip(options, picked)) for picked in itertools.product(*options.values())]
 
 
-def draws(tree, ranges: dict | None = None, n: int = 50, seed: int = 42) -> list[dict]:
+def draws(ranges: dict | None = None, n: int = 50, seed: int = 42) -> list[dict]:
     """Random settings, by default from ``values.RANGES``: whole and real numbers from ranges, anything else from a list."""
-    names = _FOREST if isinstance(tree, RandomForestRegressor) else _GBT
     rng = random.Random(seed)
     out = []
     for _ in range(n):
@@ -143,56 +112,74 @@ def draws(tree, ranges: dict | None = None, n: int = 50, seed: int = 42) -> list
                 picked[key] = rng.randint(*choice)
             else:
                 picked[key] = rng.uniform(*choice)
-        out.append({tree.getParam(p): v for p, v in _settings(names, picked).items()})
+        out.append(picked)
     return out
 
 
-def search(pipeline: Pipeline, candidates: list[dict], rows: DataFrame, key: str, folds: int = 5,
-           seed: int = 42, parallelism: int = 2):
-    """Cross-validated search by r2. Returns the refitted best model and a table of all candidates."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    score = RegressionEvaluator(labelCol="label", predictionCol=PREDICTION, metricName="r2")
-    validator = CrossValidator(estimator=pipeline, estimatorParamMaps=candidates, evaluator=score, numFolds=folds,
-                               foldCol="fold", parallelism=parallelism, seed=seed)
-    fitted = validator.fit(hash_fold(rows, key, folds, seed))
-    best = max(range(len(candidates)), key=lambda i: fitted.avgMetrics[i])
-    table = [(i, ", ".join(f"{p.name}={v}" for p, v in sorted(c.items(), key=lambda x: x[0].name)),
-              float(fitted.avgMetrics[i]), float(fitted.stdMetrics[i]), i == best) for i, c in enumerate(candidates)]
-    schema = "candidate int, settings string, mean_r2 double, std_r2 double, best boolean"
-    return fitted.bestModel, rows.sparkSession.createDataFrame(table, schema)
-
-
-def native_importance(model: PipelineModel, features: Iterable[str], spark, top: int | None = None) -> DataFrame:
-    weights = model.stages[-1].featureImportances.toArray().tolist()
+def search(candidates: list[dict], rows: DataFrame, features: list[str], key: str, folds: int = 5, seed: int = 42, refit: bool = True):
+    """Cross-validated search by r2. Returns the refitted best model (None without ``refit``) and a table of all candidates.
+
+    The best one has the greatest mean over its folds, the first of equal ones. Folds without a score do not count.
+    """
+    marked = hash_fold(rows, key, folds, seed, "_fold")
+    scores = boosting.cross_validate(marked, features, key, candidates, F.col("_fold"), folds)
+    table = [(i, ", ".join(f"{k}={v}" for k, v in sorted(c.items())), k, score)
+             for i, (c, line) in enumerate(zip(candidates, scores)) for k, score in enumerate(line)]
+    by_fold = rows.sparkSession.createDataFrame(table, "candidate int, settings string, fold int, r2_score double")
+    found = by_fold.groupBy("candidate", "settings").agg(F.avg("r2_score").alias("mean_r2"), F.stddev_pop("r2_score").alias("std_r2"))
+    best = found.orderBy(F.desc_nulls_last("mean_r2"), "candidate").first()["candidate"]
+    model = boosting.fit(rows, features, key, **candidates[best]) if refit else None
+    return model, found.withColumn("best", F.col("candidate") == best)
+
+
+def native_importance(model: Model, features: Iterable[str], spark, top: int | None = None) -> DataFrame:
+    weights = model.importances() if isinstance(model, boosting.Model) else model.stages[-1].featureImportances.toArray().tolist()
     rows = spark.createDataFrame(list(zip(list(features), weights)), "feature string, importance double")
     ordered = rows.orderBy(F.desc("importance"), "feature")
     return ordered if top is None else ordered.limit(top)
 
 
-#: Rows that take each other's values together, about.
-_GROUP_ROWS = 1_000
+#: Rows that one partition of a random order holds, about.
+_PART_ROWS = 100_000
+
+
+def _in_random_order(rows: DataFrame, order, *columns) -> DataFrame:
+    """The columns with ``_place``, the row's exact place in an order by random numbers and a key.
+
+    Rows are dealt to partitions by equal ranges of the random numbers, counted, and numbered within their partition, so no task
+    holds more than a share of them.
+    """
+    parts = max(1, -(-rows.count() // _PART_ROWS))
+    part = F.least(F.floor((F.col("_random") / F.lit(2.0**63) + 1) / 2 * parts), F.lit(parts - 1))
+    dealt = rows.withColumn("_random", order).withColumn("_part", part)
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy().orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("_random", "_key"))
+    return dealt.withColumn("_inside", inside).join(offsets, "_part").select(*columns, (F.col("_before") + F.col("_inside")).alias("_place"))
+
+
+def dealt_anew(rows: DataFrame, features: Iterable[str], key: str, *keep: str, seed: int = 42) -> DataFrame:
+    """``keep`` and the features of each row, and as ``_other`` the features of any row of the whole table.
+
+    Two random orders are joined by place, so every row's values go to exactly one row.
+    """
+    names = list(features)
+    first = _in_random_order(rows.withColumn("_key", F.col(key)), F.xxhash64(F.lit(seed), F.col(key)), *keep, *names)
+    second = _in_random_order(rows.withColumn("_key", F.col(key)), F.xxhash64(F.lit(-1 - seed), F.col(key)), F.struct(*names).alias("_other"))
+    return first.join(second, "_place").drop("_place")
 
 
-def permutation_importance(model: PipelineModel, rows: DataFrame, features: Iterable[str], key: str,
+def permutation_importance(model: Model, rows: DataFrame, features: Iterable[str], key: str,
                            repeats: int = 10, seed: int = 42, top: int | None = None) -> DataFrame:
-    """Mean and spread of the loss of r2 when the values of one column are dealt out anew.
+    """Mean and spread of the loss of r2 when the values of one column are dealt out anew over the whole table.
 
-    In each repeat every row falls into a random group and takes the column from the next row in a
-    random order of that group, so each column keeps its values exactly and no group is large.
+    Each column keeps its values exactly. Rows need a unique ``key`` for the same result on every run.
     """
     names = list(features)
-    n = rows.count()
-    groups = max(1, n // _GROUP_ROWS)
     scored = []
     for k in range(repeats):
-        digest = F.xxhash64(F.lit(seed + k), F.col(key))
-        window = Window.partitionBy("_group").orderBy("_digest", key)
-        whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        values = F.struct(*names)
-        dealt = (rows.withColumn("_digest", digest)
-                 .withColumn("_group", F.pmod(F.xxhash64(F.lit(-1 - seed - k), F.col(key)), F.lit(groups)))
-                 .withColumn("_other", F.coalesce(F.lead(values).over(window), F.first(values).over(whole)))
-                 .select(*names, "label", "_other"))
+        dealt = dealt_anew(rows, names, key, "label", seed=seed + k)
         # One copy of the row per column, with that column changed.
         copies = [F.struct(F.lit(c).alias("feature"), F.lit(k).alias("repeat"), F.col("label"),
                            *[(F.col(f"_other.{n}") if n == c else F.col(n)).alias(n) for n in names]) for c in names]
@@ -209,7 +196,7 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, features: Iter
     return found if top is None else found.limit(top)
 
 
-def score(model: PipelineModel, rows: DataFrame, inverse: bool = True, name: str = "predicted_cost") -> DataFrame:
+def score(model: Model, rows: DataFrame, inverse: bool = True, name: str = "predicted_cost") -> DataFrame:
     """All input columns and the prediction, back on the scale of the costs if it was a logarithm."""
     out = model.transform(rows)
     p = F.col(PREDICTION)
@@ -217,7 +204,7 @@ def score(model: PipelineModel, rows: DataFrame, inverse: bool = True, name: str
     return added.select(*rows.columns, name)
 
 
-def weighted_vote(models: list[PipelineModel], rows: DataFrame, weights=V.VOTE_WEIGHTS,
+def weighted_vote(models: list[Model], rows: DataFrame, weights=V.VOTE_WEIGHTS,
                   name: str = PREDICTION) -> DataFrame:
     """Weighted mean of the models' predictions."""
     out, total = rows, None
@@ -229,12 +216,19 @@ def weighted_vote(models: list[PipelineModel], rows: DataFrame, weights=V.VOTE_W
     return out.withColumn(name, total / sum(weights)).drop(*[f"_p{i}" for i in range(len(models))])
 
 
-def save(model: PipelineModel, path: str, facts: dict[str, float], spark) -> None:
-    """The fitted pipeline, and its figures beside it as JSON rows."""
-    model.write().overwrite().save(f"{path}/model")
+def save(model: Model, path: str, facts: dict[str, float], spark) -> None:
+    """The fitted model, and its figures beside it as JSON rows."""
+    if isinstance(model, boosting.Model):
+        spark.createDataFrame([(model.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/boosted")
+    else:
+        model.write().overwrite().save(f"{path}/model")
     rows = spark.createDataFrame([(k, float(v)) for k, v in facts.items()], "metric string, value double")
     rows.coalesce(1).write.mode("overwrite").json(f"{path}/facts")
 
 
-def load(path: str, spark) -> tuple[PipelineModel, DataFrame]:
-    return PipelineModel.load(f"{path}/model"), spark.read.schema("metric string, value double").json(f"{path}/facts")
+def load(path: str, spark) -> tuple[Model, DataFrame]:
+    facts = spark.read.schema("metric string, value double").json(f"{path}/facts")
+    try:
+        return boosting.Model.from_json(spark.read.text(f"{path}/boosted").first()["value"]), facts
+    except AnalysisException:  # no boosted model was saved there
+        return PipelineModel.load(f"{path}/model"), facts

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.bins import closed_left_bin, closed_right_bin
-from tallyward.functions.expr import numeric_columns, ratio
+from tallyward.functions.expr import numeric_columns, pearson, ratio
 from tallyward.operators.order_stats import column_quantiles, melt, quantiles
 
 
@@ -148,7 +148,7 @@ def correlations(df: DataFrame, columns: list[str] | None = None, drop: Iterable
     """Pearson correlation of every pair of columns, over the rows where both are filled."""
     names = [c for c in (columns or numeric_columns(df)) if c not in set(drop)]
     pairs = list(combinations_with_replacement(names, 2))
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
+    row = df.agg(*[pearson(F.col(a), F.col(b)).alias(f"r{i}")
                    for i, (a, b) in enumerate(pairs)])
     out = []
     for i, (a, b) in enumerate(pairs):
@@ -158,7 +158,7 @@ def correlations(df: DataFrame, columns: list[str] | None = None, drop: Iterable
 
 
 def correlation(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.agg(F.corr(x, y).alias("r"))
+    return df.agg(pearson(F.col(x), F.col(y)).alias("r"))
 
 
 def _range(df: DataFrame, column: str) -> tuple[Column, Column]:

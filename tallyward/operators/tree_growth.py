@@ -25,7 +25,7 @@ class Settings:
     learning_rate: float = V.MODEL["learning_rate"]
     max_depth: int | None = V.MODEL["max_depth"]
     min_samples_leaf: int = V.MODEL["min_samples_leaf"]
-    min_samples_split: int = 2
+    min_samples_split: int = V.MODEL["min_samples_split"]
     subsample: float = V.MODEL["subsample"]
     max_features: str | int | float | None = None
     random_state: int = V.MODEL["random_state"]

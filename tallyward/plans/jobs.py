@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.functions import values as V
-from tallyward.operators import clean, drift, evaluate, features, models
+from tallyward.operators import boosting, clean, drift, evaluate, features, models
+from tallyward.operators.recipe import Recipe, fit_recipe
 from tallyward.operators.split import hash_fold, hash_split, is_test
 from tallyward.operators.staging import stage
 from tallyward.sources import readers, writers
@@ -22,23 +23,45 @@ def prepare(rows: DataFrame, key: str, out: str, test_size: float = 0.2, seed: i
     writers.write_split(features.engineer_features(cleaned), out, TARGET, key, test_size, seed)
 
 
-def train(spark: SparkSession, prepared: str, out: str, **settings) -> DataFrame:
-    """Train on the train part, save the model with its figures, and return the metrics of both parts."""
+def train(spark: SparkSession, prepared: str, out: str, numeric: list[str] | None = None, categories: list[str] | None = None,
+          recipe: dict | None = None, **settings) -> DataFrame:
+    """Train on the train part, save the recipe and the model with its figures, and return the metrics of both parts.
+
+    Features are all numeric columns, or ``numeric``, and ``categories`` (by default the text columns); ``recipe`` holds further arguments of
+    ``fit_recipe``, such as scaling, means of the target or the number of features to select.
+    """
     rows = writers.read_split(spark, prepared)
-    names = models.feature_names(rows, "target")
-    table = models.model_rows(rows, "target", names, "split")
-    model = models.fit(models.boosted(names, **settings), table.where("split = 'train'"))
-    scored = model.transform(table).select("split", "label", models.PREDICTION)
-    found = evaluate.metrics(scored, "label", models.PREDICTION, ["split"])
+    if numeric is None:
+        numeric = models.feature_names(rows, "target")
+    if categories is None:
+        categories = [f.name for f in rows.schema.fields if f.dataType.typeName() == "string" and f.name not in ("split", *V.LEAKAGE)]
+    fitted = fit_recipe(rows.where("split = 'train'"), numeric, categories, "target", **(recipe or {}))
+    fitted.save(f"{out}/recipe", spark)
+    # The prepared rows have no key; a digest of the row stands for it.
+    keyed = rows.withColumn("_key", F.xxhash64(*rows.columns)).where(F.col("target").isNotNull())
+    table = stage(fitted.apply(keyed, "_key", "split", "target"), "model-rows")
+    model = boosting.fit(table.where("split = 'train'"), fitted.features, "_key", "target", **settings)
+    scored = model.transform(table).select("split", "target", models.PREDICTION)
+    found = evaluate.metrics(scored, "target", models.PREDICTION, ["split"])
     facts = {f"{r['split']}_{r['metric']}": r["value"] for r in found.collect()}
     models.save(model, out, facts, spark)
     return found
 
 
+def predict(spark: SparkSession, model_path: str, rows: DataFrame, inverse: bool = True, name: str = "predicted_cost") -> DataFrame:
+    """``rows``, a table or a stream of raw columns, with the predictions of a saved recipe and model."""
+    model, _ = models.load(model_path, spark)
+    fitted = Recipe.load(f"{model_path}/recipe", spark)
+    kept = [c for c in rows.columns if c != name]
+    packed = rows.withColumn("_row", F.struct(*[rows[c] for c in kept]))
+    features = fitted.apply(packed, "_row")
+    scored = models.score(model, features, inverse, name)
+    return scored.select("_row.*", name)
+
+
 def score(spark: SparkSession, model_path: str, rows: DataFrame, out: str, inverse: bool = True) -> DataFrame:
     """Score rows, write them with ``predicted_cost`` and return a summary of the predictions."""
-    model, _ = models.load(model_path, spark)
-    writers.write_file(models.score(model, rows, inverse), out, "parquet")
+    writers.write_file(predict(spark, model_path, rows, inverse), out, "parquet")
     return evaluate.prediction_summary(readers.read_file(spark, out, "parquet"), "predicted_cost")
 
 

@@ -6,11 +6,18 @@ Every query reads the whole table.
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.operators import evaluate, models
+from tallyward.functions import values as V
+from tallyward.operators import boosting, evaluate, models
 from tallyward.operators.models import PREDICTION
+from tallyward.operators.recipe import Recipe, fit_recipe
+from tallyward.operators.split import hash_split
 from tallyward.operators.staging import stage
+from tallyward.operators.tree_growth import LOSSES
 from tallyward.plans import jobs
 from tallyward.plans.catalog import query
 from tallyward.plans.inputs import AMOUNTS, rounded, typed
@@ -20,8 +27,7 @@ from tallyward.sources import readers, writers
 from tallyward.sources.discharges import discharges
 from tallyward.streaming import prediction_log as log
 
-#: The second model of the vote, beside the default one.
-_SECOND = {"n_estimators": 100, "learning_rate": 0.3, "max_depth": 6, "subsample": 1.0}
+_KEY = "discharge_key"
 _RAW = ("discharge_key", *AMOUNTS, "age_group", "apr_severity_of_illness_description", "apr_risk_of_mortality",
         "type_of_admission", "emergency_department_indicator")
 
@@ -43,14 +49,92 @@ def _scores(model, table):
 @query(None)
 def train_gbt(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    return _scores(models.fit(models.boosted(names), _train(table)), table)
+    return _scores(boosting.fit(_train(table), names, _KEY), table)
 
 
 @query(None)
 def train_gbt_early_stop(spark, sf_dir):
     """A tenth of the train rows decides when to stop; the test rows take no part."""
     table, names = _table(spark, sf_dir)
-    return _scores(models.fit(models.boosted(names, stop_column="stopping"), _train(table)), table)
+    return _scores(boosting.fit(_train(table), names, _KEY, stop=F.col("stopping")), table)
+
+
+@query(None)
+def train_robust(spark, sf_dir):
+    """Boosted trees under each loss, scored on both parts."""
+    table, names = _table(spark, sf_dir)
+    blocks = boosting.make_blocks(_train(table), names, _KEY)
+    units = [boosting.Unit(boosting.Settings(loss=loss)) for loss in LOSSES]
+    parts = []
+    for loss, unit, fitted in zip(LOSSES, units, boosting.fit_units(blocks, units)):
+        model = boosting.Model(blocks.binning, unit.settings, fitted.begin, fitted.trees)
+        parts.append(_scores(model, table).select(F.lit(loss).alias("loss"), "*"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query(None)
+def train_leaf_wise(spark, sf_dir):
+    """Trees that grow their best leaf first, with a limit of leaves and a regularised gain, scored on both parts."""
+    table, names = _table(spark, sf_dir)
+    return _scores(boosting.fit(_train(table), names, _KEY, **V.LEAF_WISE), table)
+
+
+_NUMBERS, _CATEGORIES = ["length_of_stay", "total_charges", "birth_weight"], ["age_group", "type_of_admission", "hospital_county", "ccsr_diagnosis_description"]
+_RECIPE = {"scaled": _NUMBERS[:2], "marked": _NUMBERS[2:], "means": ["hospital_county"], "max_categories": 20}
+
+
+def _recipe_rows(spark, sf_dir):
+    rows = typed(spark, sf_dir, _KEY, *_NUMBERS, *_CATEGORIES, "total_costs").where("total_costs > 0")
+    return stage(hash_split(rows.withColumn("target", F.log1p("total_costs")).drop("total_costs"), _KEY), "recipe-rows")
+
+
+_ADMISSIONS = ("Elective", "Emergency", "Urgent")
+
+
+def _dummy_sql(column: str, values) -> str:
+    return ", ".join(f"CAST(coalesce({column} = '{v}', FALSE) AS DOUBLE) AS {n}" for v, n in values)
+
+
+@query(f"""WITH rows AS (SELECT *, ln(1 + total_costs) AS target,
+    CAST('0x' || substr(md5('42-' || discharge_key), 1, 8) AS BIGINT) % 10000 >= 2000 AS fit FROM typed WHERE total_costs > 0),
+  train AS (SELECT * FROM rows WHERE fit),
+  filled AS (SELECT coalesce(length_of_stay, (SELECT avg(length_of_stay) FROM train)) AS stay, coalesce(total_charges, (SELECT avg(total_charges) FROM train)) AS charges FROM train),
+  scale AS (SELECT avg(stay) AS s0, stddev_pop(stay) AS s1, avg(charges) AS c0, stddev_pop(charges) AS c1 FROM filled),
+  places AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS place FROM (SELECT DISTINCT ccsr_diagnosis_description AS d FROM train)),
+  county AS (SELECT hospital_county AS h, avg(target) AS mean FROM train WHERE hospital_county IS NOT NULL GROUP BY 1)
+  SELECT discharge_key, round((coalesce(length_of_stay, (SELECT avg(length_of_stay) FROM train)) - s0) / s1, 6) AS length_of_stay,
+    round((coalesce(total_charges, (SELECT avg(total_charges) FROM train)) - c0) / c1, 6) AS total_charges,
+    round(coalesce(birth_weight, (SELECT avg(birth_weight) FROM train)), 6) AS birth_weight, CAST(birth_weight IS NULL AS DOUBLE) AS birth_weight_missing,
+    {_dummy_sql("age_group", [("18-29", "age_group_18_29"), ("30-49", "age_group_30_49"), ("50-69", "age_group_50_69"), ("70 or Older", "age_group_70_or_Older"), ("70+", "age_group_70_")])},
+    {_dummy_sql("type_of_admission", [(v, f"type_of_admission_{v}") for v in _ADMISSIONS])},
+    round(coalesce(mean, (SELECT avg(target) FROM train)), 6) AS hospital_county_mean, CAST(coalesce(place, -1) AS DOUBLE) AS ccsr_diagnosis_description_code
+  FROM rows CROSS JOIN scale LEFT JOIN county ON h = hospital_county LEFT JOIN places ON d = ccsr_diagnosis_description""")
+def recipe_features(spark, sf_dir):
+    """All rows through a recipe that was fitted on the train part and saved."""
+    rows = _recipe_rows(spark, sf_dir)
+    path = scratch_path(spark, "recipe")
+    fit_recipe(_train(rows), _NUMBERS, _CATEGORIES, "target", **_RECIPE).save(path, spark)
+    return rounded(Recipe.load(path, spark).apply(rows, _KEY))
+
+
+@query("""SELECT 'rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM typed WHERE total_costs > 0
+  UNION ALL SELECT 'largest_difference', 0.0 UNION ALL SELECT 'unscored', 0.0""")
+def recipe_stream(spark, sf_dir):
+    """A saved recipe and model score raw rows as a table and as a stream: rows, and how far the two are apart."""
+    rows = _recipe_rows(spark, sf_dir)
+    path, out = scratch_path(spark, "model"), scratch_path(spark, "scored")
+    rows.drop(_KEY).write.partitionBy("split").parquet(f"{path}/prepared/rows")
+    jobs.train(spark, f"{path}/prepared", path, _NUMBERS, _CATEGORIES, {**_RECIPE, "best": 8})
+    rows.drop("target", "split").write.parquet(f"{out}/raw")
+    raw = spark.read.parquet(f"{out}/raw")
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 3).parquet(f"{out}/raw")
+    (jobs.predict(spark, path, stream).writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/progress")
+     .trigger(availableNow=True).start().awaitTermination())
+    streamed = spark.read.parquet(f"{out}/rows").select(_KEY, F.col("predicted_cost").alias("q"))
+    both = jobs.predict(spark, path, raw).select(_KEY, F.col("predicted_cost").alias("p")).join(streamed, _KEY, "full")
+    apart = F.when(F.col("p").isNotNull() & F.col("q").isNotNull(), F.abs(F.col("p") - F.col("q"))).otherwise(F.lit(1.0))
+    found = both.agg(F.count(F.lit(1)).cast("double").alias("rows"), F.max(apart).alias("largest_difference"), F.count_if(F.col("q").isNull()).cast("double").alias("unscored"))
+    return rounded(found.unpivot([], ["rows", "largest_difference", "unscored"], "metric", "value"))
 
 
 @query(None)
@@ -62,52 +146,50 @@ def train_rf(spark, sf_dir):
 @query(None)
 def score_ensemble(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    pair = [models.fit(models.boosted(names), _train(table)),
-            models.fit(models.boosted(names, **_SECOND), _train(table))]
+    pair = [boosting.fit(_train(table), names, _KEY, **settings) for settings in (V.LEAF_WISE, V.LEVEL_WISE)]
     return rounded(models.weighted_vote(pair, table).select("discharge_key", "split", "label", PREDICTION))
 
 
 @query(None)
 def cv_scores(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    return rounded(models.fold_scores(models.boosted(names), _train(table), "discharge_key"))
+    return rounded(models.fold_scores(_train(table), names, _KEY))
 
 
 def _search(spark, sf_dir, candidates):
     table, names = _table(spark, sf_dir)
-    pipeline = models.boosted(names)
-    _, found = models.search(pipeline, candidates(pipeline.getStages()[-1]), _train(table), "discharge_key")
+    _, found = models.search(candidates, _train(table), names, _KEY)
     return rounded(found)
 
 
 @query(None)
 def tune_grid(spark, sf_dir):
-    return _search(spark, sf_dir, models.grid)
+    return _search(spark, sf_dir, models.grid())
 
 
 @query(None)
 def tune_random(spark, sf_dir):
-    return _search(spark, sf_dir, models.draws)
+    return _search(spark, sf_dir, models.draws())
 
 
 @query(None)
 def feature_importance(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    model = models.fit(models.boosted(names), _train(table))
+    model = boosting.fit(_train(table), names, _KEY)
     return rounded(models.native_importance(model, names, spark))
 
 
 @query(None)
 def permutation_importance(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    model = models.fit(models.boosted(names), _train(table))
+    model = boosting.fit(_train(table), names, _KEY)
     return rounded(models.permutation_importance(model, table.where("split = 'test'"), names, "discharge_key"))
 
 
 @query(None)
 def score_batch(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    model = models.fit(models.boosted(names), _train(table))
+    model = boosting.fit(_train(table), names, _KEY)
     path = scratch_path(spark, "scored")
     writers.write_file(models.score(model, table), path, "parquet")
     return rounded(readers.read_file(spark, path, "parquet").select("discharge_key", "predicted_cost"), 4)
@@ -117,7 +199,7 @@ def score_batch(spark, sf_dir):
 def model_roundtrip(spark, sf_dir):
     """How far a saved model, its predictions and its figures, is from the loaded one."""
     table, names = _table(spark, sf_dir)
-    model = models.fit(models.boosted(names), _train(table))
+    model = boosting.fit(_train(table), names, _KEY)
     path, r2 = scratch_path(spark, "model"), models.r2(model.transform(_train(table)))
     models.save(model, path, {"train_r2": r2}, spark)
     loaded, facts = models.load(path, spark)
@@ -134,9 +216,9 @@ _INPUTS = ["length_of_stay", "total_charges"]
 
 def _request_model(spark, sf_dir):
     """A model of the two columns that requests carry."""
-    rows = typed(spark, sf_dir, *_INPUTS, "total_costs").where("total_costs > 0")
-    rows = models.model_rows(rows.withColumn("log_costs", F.log1p("total_costs")), "log_costs", _INPUTS)
-    return models.fit(models.boosted(_INPUTS), stage(rows, "request-rows"))
+    rows = typed(spark, sf_dir, _KEY, *_INPUTS, "total_costs").where("total_costs > 0")
+    rows = models.model_rows(rows.withColumn("log_costs", F.log1p("total_costs")), "log_costs", _INPUTS, _KEY)
+    return boosting.fit(stage(rows, "request-rows"), _INPUTS, _KEY)
 
 
 @query(None)

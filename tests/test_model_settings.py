@@ -5,7 +5,8 @@ import math
 import pytest
 
 from tallyward.functions import values as V
-from tallyward.operators import models
+from tallyward.operators import boosting, models
+from tallyward.operators.tree_growth import LOSSES, Settings
 from tallyward.plans import model_queries as queries
 
 SF = "/root/testdata/sf0.001"
@@ -15,12 +16,12 @@ class Asked(Exception):
     pass
 
 
-def asked(monkeypatch, name, query, spark):
-    """What the query hands to a function of ``models``."""
+def asked(monkeypatch, module, name, query, spark):
+    """What the query hands to a function of the module."""
     def stop(*given, **named):
         raise Asked(given, named)
 
-    monkeypatch.setattr(models, name, stop)
+    monkeypatch.setattr(module, name, stop)
     with pytest.raises(Asked) as found:
         query(spark, SF)
     return found.value.args
@@ -28,31 +29,36 @@ def asked(monkeypatch, name, query, spark):
 
 @pytest.mark.parametrize("name", ["train_gbt", "train_gbt_early_stop", "feature_importance", "score_batch", "model_roundtrip", "json_score"])
 def test_boosted_models(spark, monkeypatch, name):
-    (pipeline, _), _ = asked(monkeypatch, "fit", getattr(queries, name), spark)
-    tree = pipeline.getStages()[-1]
-    assert (tree.getMaxIter(), tree.getMaxDepth(), tree.getStepSize(), tree.getSubsamplingRate()) == tuple(
-        V.MODEL[k] for k in ("n_estimators", "max_depth", "learning_rate", "subsample"))
+    given, named = asked(monkeypatch, boosting, "fit", getattr(queries, name), spark)
+    assert len(given) == 3 and set(named) <= {"stop"}  # the rest are the defaults
+    assert {k: getattr(Settings(), k) for k in V.MODEL} == V.MODEL
 
 
 def test_forest(spark, monkeypatch):
-    (pipeline, _), _ = asked(monkeypatch, "fit", queries.train_rf, spark)
+    (pipeline, _), _ = asked(monkeypatch, models, "fit", queries.train_rf, spark)
     tree = pipeline.getStages()[-1]
     assert tree.getNumTrees() == 50 and tree.getMaxDepth() == 30
 
 
+def test_losses(spark, monkeypatch):
+    (_, units), named = asked(monkeypatch, boosting, "fit_units", queries.train_robust, spark)
+    assert [u.settings for u in units] == [Settings(loss=loss) for loss in LOSSES] and not named
+
+
 @pytest.mark.parametrize("name, n", [("tune_grid", math.prod(map(len, V.GRID.values()))), ("tune_random", 50)])
 def test_searches(spark, monkeypatch, name, n):
-    given, named = asked(monkeypatch, "search", getattr(queries, name), spark)
-    assert len(given[1]) == n and all(len(c) == len(V.GRID) for c in given[1])
+    given, named = asked(monkeypatch, models, "search", getattr(queries, name), spark)
+    assert len(given[0]) == n and all(len(c) == len(V.GRID) for c in given[0])
     assert len(given) == 4 and not named  # five folds are the default
 
 
 def test_folds_votes_and_repeats(spark, monkeypatch):
-    given, named = asked(monkeypatch, "fold_scores", queries.cv_scores, spark)
+    given, named = asked(monkeypatch, models, "fold_scores", queries.cv_scores, spark)
     assert len(given) == 3 and not named
     with monkeypatch.context() as patch:
-        patch.setattr(models, "fit", lambda pipeline, rows: None)
-        (pair, rows), _ = asked(patch, "weighted_vote", queries.score_ensemble, spark)
+        patch.setattr(boosting, "fit", lambda *given, **named: named)
+        (pair, rows), _ = asked(patch, models, "weighted_vote", queries.score_ensemble, spark)
+        assert pair == [V.LEAF_WISE, V.LEVEL_WISE]
         assert {r[0] for r in rows.select("split").distinct().collect()} == {"train", "test"}
-        given, named = asked(patch, "permutation_importance", queries.permutation_importance, spark)
+        given, named = asked(patch, models, "permutation_importance", queries.permutation_importance, spark)
         assert len(given) == 4 and not named  # ten repeats are the default

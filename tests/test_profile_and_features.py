@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyward.functions import bins, expr
-from tallyward.operators import drift, encode, evaluate, features, models, profile, split
+from tallyward.operators import boosting, drift, encode, evaluate, features, models, profile, split
 
 
 def test_stay_bands_at_their_edges(spark):
@@ -170,18 +170,33 @@ def test_permuted_columns_and_models(spark):
     df = spark.range(600).select("id", (F.col("id") % 30 * 1.0).alias("x"), (F.col("id") % 7 * 1.0).alias("noise"),
                                  (F.col("id") % 30 * 2.0).alias("label"), F.lit(None).cast("double").alias("gap"))
     df = df.withColumn("x", F.when(F.col("id") != 5, F.col("x")))
-    model = models.fit(models.boosted(["x", "noise"], n_estimators=3, max_depth=3, learning_rate=0.5), df)
+    model = boosting.fit(df, ["x", "noise"], "id", n_estimators=3, max_depth=3, learning_rate=0.5)
     assert models.r2(model.transform(df)) > 0.8
     found = models.permutation_importance(model, df, ["x", "noise"], "id", 2).collect()
     assert found[0]["feature"] == "x" and found[0]["importance_mean"] > found[1]["importance_mean"]
     names = models.feature_names(df.withColumn("total_costs", F.lit(1.0)), "label", ["id"])
     assert names == ["x", "noise", "gap"]
-    tree = models.boosted(["x"]).getStages()[-1]
-    assert len(models.grid(tree, {"max_depth": [2, 3], "learning_rate": [0.1]})) == 2
-    assert len(models.grid(tree)) == 3 * 4 * 4 * 3 * 3 * 3 and len(models.draws(tree)) == 50
-    for settings in ({"unknown": [1]}, {"max_depth": [31]}):
+    assert len(models.grid({"max_depth": [2, 3], "learning_rate": [0.1]})) == 2
+    assert len(models.grid()) == 3 * 4 * 4 * 3 * 3 * 3 * 3 and len(models.draws()) == 50
+    with pytest.raises(TypeError):
+        boosting.fit(df, ["x"], "id", unknown=1)
+    for settings in ({"unknown": 1}, {"max_depth": 31}):
         with pytest.raises(ValueError):
-            models.grid(tree, settings)
+            models.forest(["x"], **settings)
+
+
+def test_values_are_dealt_over_the_whole_table(spark, monkeypatch):
+    """Every row's values go to exactly one row, far from their own group as well; places are exact ranks over many partitions."""
+    monkeypatch.setattr(models, "_PART_ROWS", 100)
+    df = spark.range(3_000).select("id", (F.col("id") * 1.0).alias("x"), F.when(F.col("id") % 3 > 0, F.col("id") % 5).cast("double").alias("y"))
+    dealt = models.dealt_anew(df, ["x", "y"], "id", "id", seed=1).collect()
+    assert sorted(r["id"] for r in dealt) == sorted(int(r["_other"]["x"]) for r in dealt) == list(range(3_000))
+    assert all((r["_other"]["y"] is None) == (r["_other"]["x"] % 3 == 0) for r in dealt)
+    apart = [abs(r["id"] - r["_other"]["x"]) for r in dealt]
+    assert 900 < sum(apart) / 3_000 < 1_100  # a third of the length for values from anywhere
+    places = models._in_random_order(df.withColumn("_key", F.col("id")), F.xxhash64(F.lit(1), F.col("id")), "id", "_random").collect()
+    assert [r["_place"] for r in sorted(places, key=lambda r: r["_random"])] == list(range(1, 3_001))
+    assert models.dealt_anew(df.limit(0), ["x"], "id").count() == 0
 
 
 def test_scores_of_constant_targets(spark):
