@@ -292,30 +292,39 @@ class LocalRows:
         """A tree of the rows ``used``, and the node of every row. Of two children only the smaller one is counted, the other is the rest."""
         growth = Growth(settings, number, self.starts)
         node = np.zeros(len(gradient), np.int32)
-        hists = {0: self._counted(np.flatnonzero(used), np.zeros(1, np.int64), node, gradient)[0]}
+        moved, flat = np.arange(len(gradient)), self.codes.ravel()
+        hists = dict(zip([0], self._counted(moved[used], np.zeros(1, np.int64), node, gradient)))
+        stack = hists[0][None]  # those of the wanted nodes, in order
         while len(growth.wanted):
-            stack = np.stack([hists[k] for k in growth.wanted.tolist()])
+            asked = growth.wanted
             growth.take(*best_splits(stack, self.starts, settings, growth.allowed()))
             split = growth.split
             if not len(split):
                 continue
             moving = np.zeros(len(growth.feature), bool)
             moving[split] = True
-            at = np.flatnonzero(moving[node])
-            here = node[at]
-            node[at] = growth.left[here] + (self.codes[growth.feature[here], at] > growth.code[here])
+            # Level by level the rows of finished leaves are done with; a leaf that waits may come up later.
+            moved = moved[moving[node[moved]]] if settings.max_leaves is None else np.flatnonzero(moving[node])
+            here = node[moved]
+            node[moved] = growth.left[here] + (flat.take(growth.feature[here] * np.int64(len(node)) + moved) > growth.code[here])
             wanted = np.zeros(len(growth.feature), bool)
             wanted[growth.wanted] = True
             left = growth.left[split]
             either = wanted[left] | wanted[left + 1]
             parents, left = split[either], left[either]
-            smaller = np.where(growth.sums[left, 2] <= growth.sums[left + 1, 2], left, left + 1)
-            counted = self._counted(np.flatnonzero(used), smaller, node, gradient)
-            for p, a, c, h in zip(parents.tolist(), left.tolist(), smaller.tolist(), counted):
-                other = 2 * a + 1 - c
-                hists[c], hists[other] = h, hists[p] - h
-            for p in split.tolist():
-                hists.pop(p, None)
+            goes_left = growth.sums[left, 2] <= growth.sums[left + 1, 2]
+            counted = self._counted(moved[used[moved]], np.where(goes_left, left, left + 1), node, gradient)
+            if settings.max_leaves is None:
+                above = stack[np.searchsorted(asked, parents)]
+            else:
+                above = np.stack([hists.pop(p) for p in parents.tolist()]) if len(parents) else stack[:0]
+            pairs = np.empty((2 * len(left), *counted.shape[1:]))
+            at = 2 * np.arange(len(left)) + ~goes_left
+            pairs[at], pairs[at ^ 1] = counted, above - counted
+            children = np.repeat(left, 2) + np.tile([0, 1], len(left))
+            stack = pairs[wanted[children]]
+            if settings.max_leaves is not None:
+                hists.update(zip(growth.wanted.tolist(), stack))
         return growth, node
 
     def _counted(self, rows: np.ndarray, nodes: np.ndarray, node: np.ndarray, gradient: np.ndarray) -> np.ndarray:
