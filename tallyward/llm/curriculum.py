@@ -7,8 +7,8 @@ only in part, so that the words taken come near the target. Each source has a sc
 words before a document, as a share of the target, are put through its inverse, which gives the document's
 position. Sorting by position gives the training order.
 
-A source is never handled by one task: its documents fall into buckets of the digest, about ``bucket_rows`` rows each,
-which are summed first, so that running sums are taken within a bucket only. Windows over sources see one row per source,
+A source is never handled by one task: its documents fall into buckets of the digest, about ``bucket_rows`` rows each if
+one source holds all, which are dealt out by source and bucket and summed first, so that running sums are taken within a bucket only. Windows over sources see one row per source,
 those over buckets one row per bucket.
 
 NULL texts have no words; documents without words are in no mix (no positions, ``taken`` 0). NULL sources are a source, the
@@ -72,10 +72,11 @@ def curriculum(docs: DataFrame, key: str = "doc_id", source: str = "source", tex
     # A key that is never NULL, as joins need one.
     named = F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
-    counts = docs.groupBy(named.alias("__source")).agg(F.ceil(F.count("*") / bucket_rows).alias("__buckets"))
-    rows = docs.withColumns({"__source": named, "__digest": digest, "size": n_words(F.col(text))}).join(counts, "__source")
+    # As many buckets for every source: a number for each would be joined by source, and all rows of a source would lie together.
+    buckets = max(1, -(-docs.count() // bucket_rows))
+    rows = docs.withColumns({"__source": named, "__digest": digest, "size": n_words(F.col(text))})
     share = F.conv(F.substring("__digest", 1, 8), 16, 10).cast("long")
-    rows = rows.withColumn("__bucket", F.shiftright(share * F.col("__buckets"), 32))
+    rows = rows.withColumn("__bucket", F.shiftright(share * F.lit(buckets), 32))
     sums = rows.groupBy("__source", "__bucket").agg(F.sum("size").alias("__sum"))
     name = F.when(F.col("__source") != "", F.expr("substring(__source, 2)")).alias("source")
     totals = sums.groupBy("__source").agg(F.sum("__sum").alias("source_size")).withColumn("source", name)
@@ -106,12 +107,21 @@ def training_order(mixed: DataFrame) -> DataFrame:
     return copies.repartitionByRange("position").sortWithinPartitions("position")
 
 
+def in_training_order(mixed: DataFrame) -> DataFrame:
+    """``mixed`` by ranges of the first position, documents that are in no mix last; ``positions`` becomes text, in billionths."""
+    listed = F.array_join(F.transform("positions", lambda p: F.floor(p * 1_000_000_000).cast("string")), ",")
+    first = F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0))
+    sorted_ = mixed.withColumn("__first", first).repartitionByRange("__first").sortWithinPartitions("__first")
+    return sorted_.withColumn("positions", listed).drop("__first")
+
+
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
          md5(coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
-w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::BIGINT AS weight FROM s),
+w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::BIGINT AS weight,
+  [-1.0, 0.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS slope FROM s),
 l AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (
            ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
@@ -120,13 +130,16 @@ l AS (
 f AS (
   SELECT arg_min(level, 3 * source_size / weight) AS level FROM l WHERE level * weight <= 3 * source_size),
 t AS (
-  SELECT w.source, source_size, least((3 * source_size)::DOUBLE, coalesce(f.level * weight, 0.0)) AS target FROM w LEFT JOIN f ON true),
+  SELECT w.source, source_size, slope, least((3 * source_size)::DOUBLE, coalesce(f.level * weight, 0.0)) AS target FROM w LEFT JOIN f ON true),
 r AS (
-  SELECT d.*, source_size, target, coalesce(sum(size) OVER (
+  SELECT d.*, source_size, target, slope, coalesce(sum(size) OVER (
     PARTITION BY d.source ORDER BY digest, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CASE WHEN size = 0 THEN 0 ELSE size * (floor(target / source_size) + CASE WHEN before + size / 2
-         < target - floor(target / source_size) * source_size THEN 1 ELSE 0 END) END::BIGINT AS taken
-FROM r
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (
+  SELECT *, CASE WHEN size = 0 THEN 0 ELSE floor(target / source_size) + CASE WHEN before + size / 2
+    < target - floor(target / source_size) * source_size THEN 1 ELSE 0 END END::BIGINT AS copies FROM r)
+SELECT doc_id, size, source_size, target, size * copies AS taken,
+  array_to_string(list_transform(list_transform(range(copies), lambda n: least((n * source_size + before + size / 2) / target, 1.0)), lambda share:
+    floor((CASE WHEN slope = 0 THEN share ELSE (-(1 - slope / 2) + sqrt((1 - slope / 2) * (1 - slope / 2) + 2 * slope * share)) / slope END) * 1000000000)::BIGINT), ',') AS positions
+FROM c
 """

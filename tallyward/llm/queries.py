@@ -95,9 +95,9 @@ def op9_suffix_buckets(spark, sf_dir):
 
 @query
 def op10_curriculum(spark, sf_dir):
-    """Target and words taken of every document."""
-    mixed = curriculum.curriculum(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    """Target, words taken and training positions of every document, in training order."""
+    mixed = curriculum.curriculum(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return curriculum.in_training_order(mixed.select("doc_id", "size", "source_size", "target", "taken", "positions"))
 
 
 def piece_model() -> str:

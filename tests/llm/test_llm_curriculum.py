@@ -11,10 +11,29 @@ from tallyward.llm import curriculum
 @pytest.mark.parametrize("rows", [20_000, 7])
 def test_all_documents(spark, rows):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    found = curriculum.curriculum(docs, bucket_rows=rows).select("doc_id", "size", "source_size", "target", "taken")
+    found = curriculum.in_training_order(curriculum.curriculum(docs, bucket_rows=rows).select("doc_id", "size", "source_size", "target", "taken", "positions"))
     assert differences(found, connect(SF), curriculum.SQL) is None
 
 
+def test_buckets_of_a_source_are_dealt_apart(spark):
+    """One source has all rows, in many tasks."""
+    docs = spark.range(4_000).select(F.col("id").alias("doc_id"), F.lit("one").alias("source"), F.lit("a few words").alias("text"))
+    with_part = curriculum.curriculum(docs.repartition(8), bucket_rows=50).withColumn("part", F.spark_partition_id())
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [n for (n,) in rows_of(with_part.groupBy("part").count(), "count")]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) > 4 and max(sizes) < 2_000
+
+
+def test_documents_in_training_order(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = curriculum.in_training_order(curriculum.curriculum(docs))
+    first = [int(p.split(",")[0]) if p else 2 * 10**9 for (p,) in rows_of(found, "positions")]
+    assert first == sorted(first)
+
+
 def plain_targets(sizes):
     names = sorted(sizes, key=lambda s: (s is None, s))
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}

@@ -123,3 +123,22 @@ def test_passages_amid_sentences(spark):
         found = sum(removed > 0 for k, removed in got if k % 2) / n
         print(f"kind {kind}: {found:.3f}")
         assert found >= share, (kind, found)
+
+
+def test_rows_of_one_key_lose_only_what_they_hold(spark):
+    """A row that shares its key with another loses nothing that only the other one repeats, and places past its end harm nobody."""
+    passage = " ".join(f"shared{i} words{i} of{i} it{i}." for i in range(30))
+    own = " ".join(f"own{i} text{i} here{i} too{i}." for i in range(35))
+    rows = [(1, passage), (6, f"{passage} {own}"), (6, own.replace("own", "else")), (6, "short one"), (6, None), (None, passage), (None, own.replace("own", "third")), (None, "x")]
+    texts = [t for (t,) in rows_of(spans.span_dedup(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)), "text")]
+    for whole in (own.replace("own", "else"), "short one", None, own.replace("own", "third"), "x"):
+        assert whole in texts
+    # The first one by key keeps the passage, here the NULL key; the others lose it but for its edges.
+    assert sum(t is not None and "shared15" in t for t in texts) == 1 and any(t is not None and "own20" in t and "shared15" not in t for t in texts)
+
+
+def test_extra_rows_of_a_key_change_nothing_for_others(spark):
+    docs = odd_documents(spark)
+    more = docs.unionByName(spark.createDataFrame([(7, "y " * 3000, "en", "a", 1), (8, "short", "en", "a", 1), (None, "z. " * 500, "en", "a", 1)], docs.schema))
+    both = {(k, t) for k, t in rows_of(spans.span_dedup(docs), "doc_id", "text")}
+    assert both <= {(k, t) for k, t in rows_of(spans.span_dedup(more), "doc_id", "text")}
