@@ -107,12 +107,16 @@ def training_order(mixed: DataFrame) -> DataFrame:
     return copies.repartitionByRange("position").sortWithinPartitions("position")
 
 
-def in_training_order(mixed: DataFrame) -> DataFrame:
-    """``mixed`` by ranges of the first position, documents that are in no mix last; ``positions`` becomes text, in billionths."""
+def in_training_order(mixed: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``mixed`` by ranges of the first position, documents that are in no mix last; ``positions`` becomes text, in billionths.
+
+    Documents of one position, such as those in no mix, are dealt out by a hash of the key.
+    """
     listed = F.array_join(F.transform("positions", lambda p: F.floor(p * 1_000_000_000).cast("string")), ",")
     first = F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0))
-    sorted_ = mixed.withColumn("__first", first).repartitionByRange("__first").sortWithinPartitions("__first")
-    return sorted_.withColumn("positions", listed).drop("__first")
+    keyed = mixed.withColumns({"__first": first, "__tie": F.xxhash64(key)})
+    sorted_ = keyed.repartitionByRange("__first", "__tie").sortWithinPartitions("__first", "__tie")
+    return sorted_.withColumn("positions", listed).drop("__first", "__tie")
 
 
 SQL = r"""
