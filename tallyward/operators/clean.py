@@ -16,7 +16,7 @@ from tallyward.functions import values as V
 from tallyward.functions.expr import (
     all_of, flag, number, numeric_columns, present, ratio, string_columns, strip,
 )
-from tallyward.operators.order_stats import column_quantiles
+from tallyward.operators.order_stats import column_quantiles, melt, quantile_rows
 from tallyward.operators.staging import stage
 
 
@@ -148,29 +148,65 @@ def remove_outliers(df: DataFrame, columns: Iterable[str], method: str = "iqr",
                     threshold: float = 1.5, sequential: bool = True, exact: bool = True) -> DataFrame:
     """Keep rows inside the fences of every column; NULL is outside.
 
-    By default each column's statistics come from the rows that the columns before it left over, one
-    small job per column. ``sequential=False`` takes all statistics from the given rows in one pass.
+    By default each column's statistics come from the rows that the columns before it left over. ``sequential=False`` takes all
+    statistics from the given rows in one pass.
     """
     names = present(df, columns)
+    if method not in ("iqr", "zscore"):
+        raise ValueError(f"unknown outlier method: {method}")
+    if method == "iqr" and sequential and exact and len(names) > 1:
+        return _inside_fences(df, names, threshold)
     steps = [[c] for c in names] if sequential else [names]
     for group in steps:
         if method == "iqr":
             bounds = iqr_bounds(df, group, threshold, exact)
-            tests = [F.col(c).between(*bounds[c]) if c in bounds else F.lit(False) for c in group]
-        elif method == "zscore":
+            tests = [_between(c, bounds.get(c)) for c in group]
+        else:
             aggs = []
             for c in group:
                 aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}")]
             row = df.agg(*aggs).first()
             tests = [F.abs(ratio(F.col(c) - F.lit(row[f"m_{c}"]).cast("double"),
                                  F.lit(row[f"s_{c}"]).cast("double"))) < threshold for c in group]
-        else:
-            raise ValueError(f"unknown outlier method: {method}")
         if tests:
             df = df.where(all_of(tests))
     return df
 
 
+def _between(column: str, bounds: tuple[float, float] | None) -> Column:
+    return F.lit(False) if bounds is None else F.coalesce(F.col(column).between(*bounds), F.lit(False))
+
+
+def _inside_fences(df: DataFrame, names: list[str], threshold: float) -> DataFrame:
+    """Sequential fences that read ``df`` once.
+
+    The rows are staged, and their values are counted for all columns together. What a fence removes is counted too, and taken off the
+    counts of the columns after it, whose quartiles follow from the counts that are left.
+    """
+    rows = stage(df, "rows")
+    inside = F.lit(True)
+    counts = stage(_value_counts(rows, names, 1), "counts")
+    for i, c in enumerate(names):
+        quarts = {r["place"]: r["quantile"] for r in quantile_rows(counts.where(F.col("feature") == c), "value", [0.25, 0.75], weight="n").collect()}
+        bounds = None
+        if quarts:
+            reach = threshold * (quarts[1] - quarts[0])
+            bounds = quarts[0] - reach, quarts[1] + reach
+        test = _between(c, bounds)
+        later = names[i + 1 :]
+        if later:
+            gone = _value_counts(rows.where(inside & ~test), later, -1)
+            counts = counts.where(F.col("feature").isin(later)).unionByName(stage(gone, "counts"))
+        inside = inside & test
+    return rows.where(inside)
+
+
+def _value_counts(rows: DataFrame, names: list[str], sign: int) -> DataFrame:
+    """How many rows hold each value of each column, times ``sign``."""
+    long = melt(rows, names).where(F.col("value") <= float("inf"))
+    return long.groupBy("feature", "value").agg((F.count(F.lit(1)) * sign).alias("n"))
+
+
 def cap_outliers(df: DataFrame, columns: Iterable[str], lower: float = 0.01, upper: float = 0.99,
                  exact: bool = True, fit_on: DataFrame | None = None) -> DataFrame:
     """Pull values outside the two quantiles back to them; NULL stays."""

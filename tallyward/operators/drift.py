@@ -6,6 +6,7 @@ index, the distribution distance and the moments follow.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from functools import reduce
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyward.functions import values as V
 from tallyward.functions.bins import edge_bin
 from tallyward.functions.expr import numeric_columns, ratio
-from tallyward.operators.order_stats import cumulated, melt, ranged_counts
+from tallyward.operators.order_stats import cumulated, cumulative_counts, melt, ranged_counts
 
 
 def common_features(baseline: DataFrame, current: DataFrame, features: Iterable[str] | None = None) -> list[str]:
@@ -168,3 +169,50 @@ def drift_by_window(df: DataFrame, profile: DataFrame, features: list[str], ts:
     index = psi_of_counts([F.col("expected")[i] for i in range(bins)], [F.col(f"a{i}") for i in range(bins)])
     return joined.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
                          "feature", "rows", index.alias("psi"), band(index).alias("band"))
+
+
+#: Points of the baseline at which a window's distribution is compared, and the size of a window's sketch.
+GRID, SKETCH = 512, 1600
+
+
+def distance_error(sketch: int = SKETCH, grid: int = GRID) -> float:
+    """Bound of the error of ``distance_by_window``: that of the sketch's shares (with 99 % confidence) and the baseline between two points."""
+    return 2.446 / sketch**0.9433 + 1 / grid
+
+
+def distance_profile(baseline: DataFrame, features: list[str], grid: int = GRID) -> DataFrame:
+    """Distribution of the baseline: per column its rows and at most ``2 * grid + 4`` points with the share of rows up to them.
+
+    The points are the values that hold a multiple of 1 / grid of the rows, the ends, and just below each of them, so less than
+    1 / grid of the rows lies between two.
+    """
+    counts = cumulative_counts(melt(baseline, features).where(F.col("value") <= float("inf")), "value", ["feature"])
+    before, upto, total = F.col("n_before"), F.col("n_before") + F.col("n"), F.col("n_total")
+    held = (F.floor(before * grid / total) < F.floor(upto * grid / total)) | (before == 0)
+    point = F.struct("value", (before / total).alias("below"), (upto / total).alias("upto"))
+    return counts.where(held).groupBy("feature").agg(F.max("n_total").alias("rows"), F.array_sort(F.collect_list(point)).alias("points"))
+
+
+def distance_by_window(df: DataFrame, profile: DataFrame, features: list[str], ts: str, width: str, watermark: str | None = None,
+                       sketch: int = SKETCH) -> DataFrame:
+    """Distance of the distribution functions of each time window and feature to the baseline, within ``distance_error``.
+
+    Works on tables and streams. A window and feature keep one mergeable quantile sketch, whose size does not grow with the rows; the distance is
+    the largest one at the points of the profile. Windows of up to ``sketch`` rows are exact but for the points.
+    """
+    if watermark is not None:
+        df = df.withWatermark(ts, watermark)
+    long = melt(df, features, [ts]).where(F.col("value") <= float("inf"))
+    held = long.groupBy(F.window(ts, width).alias("window"), "feature").agg(
+        F.count(F.lit(1)).alias("rows"), F.kll_sketch_agg_double("value", F.lit(sketch)).alias("sketch"))
+    rank, rows = F.lit(None).cast("double"), F.lit(None).cast("long")
+    for row in profile.collect():  # a row a column, with as many points as the profile has
+        places = [x for p in row["points"] for x in (math.nextafter(p["value"], -math.inf), p["value"])]
+        shares = [x for p in row["points"] for x in (p["below"], p["upto"])]
+        seen = F.kll_sketch_get_rank_double("sketch", F.lit(places))
+        apart = F.array_max(F.zip_with(seen, F.lit(shares), lambda a, b: F.abs(a - b)))
+        here = F.col("feature") == row["feature"]
+        rank, rows = F.when(here, apart).otherwise(rank), F.when(here, F.lit(row["rows"])).otherwise(rows)
+    found = held.withColumns({"ks_statistic": rank, "baseline_rows": rows}).where(F.col("baseline_rows").isNotNull())
+    return found.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "feature", "rows", "ks_statistic",
+                        ks_pvalue(F.col("ks_statistic"), F.col("baseline_rows"), F.col("rows")).alias("ks_pvalue"))

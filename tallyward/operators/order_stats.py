@@ -64,10 +64,11 @@ def cumulated(ranged: DataFrame, value: str, keys: list[str], weights) -> DataFr
 
 
 def quantile_rows(df: DataFrame, value: str, shares: list[float], keys: list[str] | None = None,
-                  exact: bool = True) -> DataFrame:
+                  exact: bool = True, weight: str | None = None) -> DataFrame:
     """Linear-interpolation quantiles as rows (keys, place, quantile), place counting the shares.
 
-    Only the values of partitions that hold a wanted place are ordered. ``exact=False`` settles for a sketch.
+    Only the values of partitions that hold a wanted place are ordered. ``exact=False`` settles for a sketch. With ``weight`` a row
+    stands for so many; weights of one value may be given in parts, negative ones too.
     """
     keys = keys or []
     df = _clean(df, value, keys)
@@ -76,7 +77,9 @@ def quantile_rows(df: DataFrame, value: str, shares: list[float], keys: list[str
         values = F.percentile_approx(F.col(value), points, 10_000).alias("_q")
         grouped = df.groupBy(*keys).agg(values) if keys else df.agg(values)
         return grouped.select(*keys, F.posexplode("_q").alias("place", "quantile"))
-    ranged = ranged_counts(df.select(*keys, F.col(value).cast("double").alias(value)), value, keys, {"n": F.lit(1).cast("long")})
+    one = F.lit(1) if weight is None else F.col(weight)
+    held_rows = df.select(*keys, F.col(value).cast("double").alias(value), *([weight] if weight else []))
+    ranged = ranged_counts(held_rows, value, keys, {"n": one.cast("long")}).where("n > 0")
     first, size, total = F.col("_n_off"), F.col("_n_part"), F.col("n_total")
 
     def target(p: Column, i: Column) -> Column:

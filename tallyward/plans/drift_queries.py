@@ -9,7 +9,7 @@ from tallyward.plans.catalog import query
 from tallyward.plans.inputs import drift_pair, predicted, rounded
 from tallyward.plans.oracle_tables import EDGE_BIN
 from tallyward.session import scratch_path
-from tallyward.streaming.drift import start_drift
+from tallyward.streaming.drift import start_distance, start_drift
 
 _FIGURES = """round(psi, 6) AS psi, round(ks_statistic, 6) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue,
   round(baseline_mean, 4) AS baseline_mean, round(current_mean, 4) AS current_mean,
@@ -130,3 +130,49 @@ def drift_stream(spark, sf_dir):
     running = start_drift(stream, _profile(spark, sf_dir), ["value"], "ts", f"{out}/windows", f"{out}/progress")
     running.awaitTermination()
     return _by_week(spark.read.parquet(f"{out}/windows"))
+
+
+def _distances_sql(closed_only: bool) -> str:
+    closed = "HAVING week + INTERVAL '7 days' <= (SELECT max(ts) - INTERVAL 24 HOUR FROM events)" if closed_only else ""
+    return f"""WITH w AS (SELECT time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') AS week, value FROM events WHERE ts >= {_START}),
+  u AS (SELECT week, value, 1 AS later FROM w
+    UNION ALL SELECT k.week, value, 0 FROM events CROSS JOIN (SELECT DISTINCT week FROM w) AS k WHERE ts < {_START}),
+  f AS (SELECT week, later, sum(later) OVER upto / sum(later) OVER whole AS seen,
+      (count(*) OVER upto - sum(later) OVER upto) / (count(*) OVER whole - sum(later) OVER whole) AS expected
+    FROM u WINDOW whole AS (PARTITION BY week), upto AS (PARTITION BY week ORDER BY value))
+  SELECT strftime(week, '%Y-%m-%d') AS window_start, CAST(sum(later) AS BIGINT) AS rows, round(max(abs(seen - expected)), 6) AS exact, TRUE AS within_bound
+  FROM f GROUP BY week {closed}"""
+
+
+def _distance_base(spark, sf_dir):
+    return _events(spark, sf_dir).where(F.col("ts") < F.lit("2024-01-08").cast("timestamp"))
+
+
+def _beside_exact(spark, sf_dir, found):
+    """The exact distance of each window, from order statistics, and whether that of the sketch is within its bound."""
+    week = F.date_format(F.window("ts", "7 days").start, "yyyy-MM-dd")
+    later = _later(spark, sf_dir).select(week.alias("feature"), "value", F.lit(1).alias("side"))
+    weeks = [r["feature"] for r in later.select("feature").distinct().collect()]  # a row a week
+    base = _distance_base(spark, sf_dir).select(F.explode(F.array(*map(F.lit, weeks))).alias("feature"), "value", F.lit(0).alias("side"))
+    exact = drift.ks(drift.value_counts(later.unionByName(base))).select(F.col("feature").alias("window_start"), F.col("ks_statistic").alias("exact"))
+    named = found.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "rows", "ks_statistic")
+    near = F.abs(F.col("exact") - F.col("ks_statistic")) <= drift.distance_error()
+    return rounded(named.join(exact, "window_start").select("window_start", "rows", "exact", near.alias("within_bound")))
+
+
+@query(_distances_sql(False))
+def distance_by_window(spark, sf_dir):
+    profile = drift.distance_profile(_distance_base(spark, sf_dir), ["value"])
+    return _beside_exact(spark, sf_dir, drift.distance_by_window(_later(spark, sf_dir), profile, ["value"], "ts", "7 days"))
+
+
+@query(_distances_sql(True))
+def distance_stream(spark, sf_dir):
+    """The same distances from a stream of the events; windows that are still open give no row."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+              .select(F.col("ts").cast("timestamp").alias("ts"), "value").where(F.col("ts") >= F.lit("2024-01-08").cast("timestamp")))
+    out = scratch_path(spark, "distance")
+    profile = drift.distance_profile(_distance_base(spark, sf_dir), ["value"])
+    start_distance(stream, profile, ["value"], "ts", f"{out}/windows", f"{out}/progress").awaitTermination()
+    return _beside_exact(spark, sf_dir, spark.read.parquet(f"{out}/windows"))

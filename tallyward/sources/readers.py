@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -99,43 +101,88 @@ def read_page(df: DataFrame, order: str, limit: int = 10_000, offset: int = 0,
 def publish_version(df: DataFrame, root: str, name: str) -> int:
     """Write the table as the next version of a named dataset and return its number.
 
-    The files go to a folder of their own, which is listed only once they are all there: readers never see half of a
-    version, and a write that dies leaves nothing in the way.
+    The files go to a folder of their own. The version is then listed by a file named by its number, which only one publisher can
+    create; one that comes too late takes the next number, so no version is lost. Readers never see half of a version: a listing is there whole
+    or is not read, and a write that dies leaves at most a number that is skipped.
     """
     spark = df.sparkSession
     folder = uuid.uuid4().hex
     df.write.parquet(f"{root}/{name}/data/{folder}")
-    version = (latest_version(spark, root, name) or 0) + 1
-    listed = spark.createDataFrame([(version, folder)], _LISTED)
-    listed.coalesce(1).write.mode("append").parquet(f"{root}/{name}/versions")
+    version = max(_numbers(spark, root, name), default=0) + 1
+    while not _create_listing(spark, f"{root}/{name}/versions", version, folder):
+        version += 1
     return version
 
 
-_LISTED = "version int, folder string"
-
-
-def _versions(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+def _file_system(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def _has_links(files) -> bool:
+    return files.getScheme() == "file"
+
+
+def _create_listing(spark: SparkSession, folder: str, version: int, content: str) -> bool:
+    """Create the file of a version; False if it is there already."""
+    files, directory = _file_system(spark, folder)
+    files.mkdirs(directory)
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory, str(version))
+    if _has_links(files):  # Hadoop looks and then creates here; a link to a finished file does both at once
+        here = directory.toUri().getPath()
+        draft = f"{here}/.{uuid.uuid4().hex}"
+        with open(draft, "w") as file:
+            file.write(content)
+        try:
+            os.link(draft, f"{here}/{version}")
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(draft)
+        return True
     try:
-        return spark.read.schema(_LISTED).parquet(f"{root}/{name}/versions")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
+        out = files.create(path, False)
+    except Py4JJavaError as e:
+        if files.exists(path):
+            return False
+        raise e
+    out.write(content.encode())
+    out.close()
+    return True
+
+
+def _numbers(spark: SparkSession, root: str, name: str) -> list[int]:
+    """The numbers that are taken, in order."""
+    files, folder = _file_system(spark, f"{root}/{name}/versions")
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return sorted(int(n) for n in names if n.isdecimal())
+
+
+def _folder_of(spark: SparkSession, root: str, name: str, version: int) -> str | None:
+    """The folder of a version; None if its listing is not finished."""
+    files, path = _file_system(spark, f"{root}/{name}/versions/{version}")
+    if not files.exists(path):
+        return None
+    stream = files.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip() or None
+    finally:
+        stream.close()
 
 
 def latest_version(spark: SparkSession, root: str, name: str) -> int | None:
-    listed = _versions(spark, root, name)
-    return None if listed is None else listed.agg(F.max("version")).first()[0]
+    return next((n for n in reversed(_numbers(spark, root, name)) if _folder_of(spark, root, name, n)), None)
 
 
 def read_version(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
-    """A version of a named dataset, the latest one by default. Of two with one number the greater folder counts."""
-    listed = _versions(spark, root, name)
-    wanted = F.lit(True) if version is None else F.col("version") == version
-    found = None if listed is None else listed.where(wanted).agg(F.max(F.struct("version", "folder"))).first()[0]
-    if found is None:
+    """A version of a named dataset, the latest one by default."""
+    wanted = latest_version(spark, root, name) if version is None else version
+    folder = None if wanted is None else _folder_of(spark, root, name, wanted)
+    if folder is None:
         raise FileNotFoundError(f"{root}/{name}")
-    return read_file(spark, f"{root}/{name}/data/{found['folder']}", "parquet")
+    return read_file(spark, f"{root}/{name}/data/{folder}", "parquet")
 
 
 def read_source(spark: SparkSession, source: str, **where) -> DataFrame:

@@ -1,5 +1,9 @@
 """Cleaning operators on small hand-made tables."""
 
+import math
+import random
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +100,19 @@ def test_rules(spark):
     got = {(r["column"], r["rule"]): r["violations"] for r in clean.validate(
         df, {"x": {"min": 2, "max": 8, "required": True}, "g": {"allowed": ["M"]}, "absent": {"min": 0}}).collect()}
     assert got == {("x", "min"): 1, ("x", "max"): 1, ("x", "required"): 1, ("g", "allowed"): 1}
+
+
+def test_fences_follow_from_what_earlier_ones_left(spark):
+    """Against plain Python, with NULL, NaN, ties and columns that empty the table."""
+    rng = random.Random(9)
+    rows = [(i, rng.gauss(0, 1) if i % 11 else None, 5.0 * i if i % 7 == 0 else rng.random(), float(i % 3), math.nan if i % 50 == 0 else rng.expovariate(1)) for i in range(800)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, d double")
+    left = rows
+    for place in (1, 2, 3, 4):
+        values = [r[place] for r in left if r[place] is not None and not math.isnan(r[place])]
+        q1, _, q3 = statistics.quantiles(values, n=4, method="inclusive")
+        left = [r for r in left if r[place] is not None and q1 - 1.5 * (q3 - q1) <= r[place] <= q3 + 1.5 * (q3 - q1)]
+    found = clean.remove_outliers(df, ["a", "b", "c", "d"])
+    assert sorted(r["id"] for r in found.collect()) == [r[0] for r in left] and found.columns == df.columns
+    assert clean.remove_outliers(df.withColumn("none", F.lit(None).cast("double")), ["a", "none", "b"]).count() == 0
+    assert clean.remove_outliers(df.limit(0), ["a", "b"]).count() == 0

@@ -225,3 +225,29 @@ def test_samples_do_not_depend_on_partitions(spark):
     got = {r["id"] for r in split.sample_rows(df, "id", 100).collect()}
     assert len(got) == 100 and got == {r["id"] for r in split.sample_rows(df.repartition(7), "id", 100).collect()}
     assert split.sample_rows(df, "id", 9_000).count() == 5_000 and split.sample_rows(df.limit(0), "id", 5).count() == 0
+
+
+def test_distances_of_windows_are_within_their_bound(spark):
+    """Sketches of windows of very unlike sizes and shapes, with ties and far values, against counting at every value."""
+    import bisect
+    import random
+
+    rng = random.Random(4)
+    base = [rng.gauss(0, 1) if i % 3 else float(i % 5) for i in range(20_000)]
+    shapes = {"2024-01-01": [rng.gauss(0, 1) for _ in range(15_000)], "2024-01-02": [1.0] * 700, "2024-01-03": [-5.0, 9.0], "2024-01-04": rng.sample(base, 9_000),
+              "2024-01-05": [rng.gauss(0.3, 2) for _ in range(5_000)], "2024-01-06": [-1e9]}
+    rows = [(f"{day} 10:00:00", x, None) for day, values in shapes.items() for x in values] + [("2024-01-06 10:00:00", None, 1.0), ("2024-01-06 10:00:00", math.nan, 1.0)]
+    df = spark.createDataFrame(rows, "ts string, x double, other double").withColumn("ts", F.col("ts").cast("timestamp"))
+    profile = drift.distance_profile(spark.createDataFrame([(x, 1.0) for x in base], "x double, other double"), ["x", "other"])
+    assert profile.where(F.size("points") > 2 * drift.GRID + 4).count() == 0
+    got = {str(r["window_start"])[:10]: r for r in drift.distance_by_window(df, profile, ["x", "other"], "ts", "1 day").where("feature = 'x'").collect()}
+    base.sort()
+    for day, values in shapes.items():
+        values = sorted(values)
+        exact = max(abs(side(base, p) / len(base) - side(values, p) / len(values)) for p in {*base, *values} for side in (bisect.bisect_left, bisect.bisect_right))
+        assert got[day]["rows"] == len(values) and abs(got[day]["ks_statistic"] - exact) <= drift.distance_error()
+        if len(values) <= drift.SKETCH:
+            assert abs(got[day]["ks_statistic"] - exact) <= 1 / drift.GRID
+    assert drift.distance_error() < 0.005
+    empty = drift.distance_profile(spark.createDataFrame([], "x double"), ["x"])
+    assert empty.count() == 0 and drift.distance_by_window(df, empty, ["x"], "ts", "1 day").count() == 0

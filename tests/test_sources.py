@@ -3,6 +3,8 @@
 import datetime
 import json
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,6 +104,31 @@ def test_versions(spark):
     assert readers.read_version(spark, root, "t").count() == 7
 
 
+@pytest.mark.parametrize("links", [True, False])
+def test_many_publishers_at_once(spark, monkeypatch, links):
+    """Each gets a number of its own (where files can be linked), and each version holds what was published as it."""
+    monkeypatch.setattr(readers, "_has_links", lambda files: links)
+    root = scratch_path(spark, "versions")
+    with ThreadPoolExecutor(8) as pool:
+        found = list(pool.map(lambda n: (readers.publish_version(spark.range(n), root, "t"), n), range(1, 9) if links else range(1, 2)))
+    assert sorted(v for v, _ in found) == list(range(1, len(found) + 1))
+    for version, n in found:
+        assert readers.read_version(spark, root, "t", version).count() == n
+    assert readers.publish_version(spark.range(20), root, "t") == len(found) + 1
+    # Somebody else took the number between looking and creating.
+    assert not readers._create_listing(spark, f"{root}/t/versions", 1, "other")
+
+
+def test_a_publisher_that_dies_while_listing(spark):
+    root = scratch_path(spark, "versions")
+    readers.publish_version(spark.range(3), root, "t")
+    readers._create_listing(spark, f"{root}/t/versions", 2, "")
+    assert readers.latest_version(spark, root, "t") == 1 and readers.read_version(spark, root, "t").count() == 3
+    with pytest.raises(FileNotFoundError):
+        readers.read_version(spark, root, "t", 2)
+    assert readers.publish_version(spark.range(4), root, "t") == 3
+
+
 def test_requests_and_responses(spark):
     row = T.StructType().add("x", "double")
     texts = [(1, '{"data":[{"x":1.5},{"x":2}]}'), (2, "{oops"), (3, '{"other":1}')]
