@@ -45,11 +45,52 @@ _SAME = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 _UNUSUAL = re.compile("[\x1c-\x1f\u00b2\u00b3\u00b9\u00bc-\u00be\u0250-\U0010ffff]")
 
 
+# What the library's Unicode tables know and those of the standard library do not, or the other way round (fixed values): letters and
+# numbers that were added later, lower cases that were added later, and marks that the library's composed form takes for plain characters.
+_LATER_LETTERS = """
+1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B 1138E 11390-113B5 113B7 113D1 113D3
+11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF 1E5D0-1E5ED 1E5F0
+"""
+_LATER_NUMBERS = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+_LATER_LOWER = "1C89:1C8A A7CB:264 A7CC:A7CD A7CE:A7CF A7D2:A7D3 A7D4:A7D5 A7DA:A7DB A7DC:19B 10D50-10D65:10D70 16EA0-16EB8:16EBB"
+_PLAIN_MARKS = """
+7FD 898-89F 8CA-8D3 9FE C3C D3B-D3C EBA 1715 1ABF-1ACE 1DF6-1DFA A82C 10D24-10D27 10EAB-10EAC 10EFD-10EFF 10F46-10F50 10F82-10F85 11070 1133B
+1145E 11839-1183A 11930 1193D-1193E 11943 119E0 11A34 11A47 11A99 11D42 11D44-11D45 11D97 11F41-11F42 16FF0-16FF1 1E08F 1E130-1E136 1E2AE
+1E2EC-1E2EF 1E4EC-1E4EF
+"""
+
+
+def _points(listed: str) -> list[int]:
+    """The code points of ranges in hexadecimal."""
+    ends = [[int(x, 16) for x in part.split("-")] for part in listed.split()]
+    return [c for e in ends for c in range(e[0], e[-1] + 1)]
+
+
+def _class(points) -> str:
+    """Code points as the inside of a character class."""
+    inside = set(points)
+    first = sorted(c for c in inside if c - 1 not in inside)
+    last = sorted(c for c in inside if c + 1 not in inside)
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(first, last))
+
+
+def _lower_table() -> dict[int, int]:
+    table = {}
+    for pair in _LATER_LOWER.split():
+        upper, lower = pair.split(":")
+        table.update({c: int(lower, 16) + i for i, c in enumerate(_points(upper))})
+    return table
+
+
+_LOWER = _lower_table()
+_HAS_LATER_LOWER = re.compile(f"[{_class(_LOWER)}]")
+_PLAIN_MARK = re.compile(f"([{_class(_points(_PLAIN_MARKS))}])")
+
+
 def members(major: str) -> str:
     """All characters of a major Unicode category, as ranges for a character class."""
-    inside = [unicodedata.category(chr(c))[0] == major for c in range(sys.maxunicode + 1)]
-    edges = [c for c in range(len(inside)) if inside[c] != (c > 0 and inside[c - 1])] + [len(inside)] * inside[-1]
-    return "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in zip(edges[::2], edges[1::2]))
+    later = {"L": _LATER_LETTERS, "N": _LATER_NUMBERS}.get(major, "")
+    return _class([c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == major] + _points(later))
 
 
 def word_pattern(pattern: str) -> re.Pattern:
@@ -276,10 +317,19 @@ class Tokenizer:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
+def composed(text: str) -> str:
+    """The composed form, in which the marks that the library does not know are plain characters."""
+    if not _PLAIN_MARK.search(text):
+        return unicodedata.normalize("NFC", text)
+    return "".join(unicodedata.normalize("NFC", part) for part in _PLAIN_MARK.split(text))
+
+
 def normalised(text: str) -> str:
     """Composed form, then lower case character by character (a final sigma is not special)."""
     if not text.isascii():
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        text = composed(text).replace("Σ", "σ")
+        if _HAS_LATER_LOWER.search(text):
+            text = text.translate(_LOWER)
     return text.lower()
 
 

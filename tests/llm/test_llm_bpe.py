@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import unicodedata
 
 import pytest
 from brute import CLASHING, odd_documents, rows_of, with_clashes
@@ -43,6 +44,22 @@ def test_all_documents(spark):
         at += n
 
 
+def test_all_code_points():
+    """Each character alone, between letters and in front of a mark, and pairs of every mark with others, as the library splits and encodes them."""
+    own, wanted = both()
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    marks = [c for c in chars if unicodedata.combining(c) or unicodedata.category(c)[0] == "M"]
+    texts = [c for c in chars] + [f"e{c}a {c}1{c}\u0301" for c in chars] + [f"e{c}{m}o{m}{c}" for c in marks for m in "\u0334\u0316\u0301\u3099\u05b0\u0f71\U00011930"]
+    texts += [unicodedata.normalize("NFD", c) + m for c in chars if unicodedata.decomposition(c) for m in ("", "\u0323\u0301")]
+    for at in range(0, len(texts), 200_000):
+        part = texts[at : at + 200_000]
+        flat, counts = own.encode_all(part)
+        place = 0
+        for text, n, found in zip(part, counts.tolist(), wanted.encode_batch(part, add_special_tokens=False)):
+            assert flat[place : place + n].tolist() == found.ids, ascii(text)
+            place += n
+
+
 PIECES = ["a", "b", "'s", "'", "'ll", " ", "\n", "\t", "É", "e\u0301", "Σ", "ς", "ß", "İ", "²", "½", "Ⅷ", "1", "9", "_", "-", "!", "…", "日本", "한", "😀", "\xa0",
           "\u3000", "\x85", "\x1c", "<|endoftext|>", "<|startoftext|>", "</w>", "ﬁ", "\u0300", "K", "ſ", "\ufeff", "\x00", "ا", "the", "ing"]
 
