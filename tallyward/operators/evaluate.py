@@ -77,9 +77,11 @@ def _prepare(df: DataFrame, actual: str, prediction: str, inverse: bool, keys: l
 def wide_metrics(df: DataFrame, actual: str, prediction: str, keys: list[str] | None = None,
                  inverse: bool = False, median: bool = True, extended: bool = False,
                  exact: bool = True) -> DataFrame:
-    """One row of metrics per group. All but the median come from one aggregation."""
+    """One row of metrics per group. All but the median come from one aggregation; for the median the two columns are staged, so ``df`` is read once."""
     keys = keys or []
     rows = _prepare(df, actual, prediction, inverse, keys)
+    if median or extended:
+        rows = stage(rows, "errors")
     aggs = [v.alias(k) for k, v in _sums(F.col("_y"), F.col("_p")).items()]
     out = rows.groupBy(*keys).agg(*aggs) if keys else rows.agg(*aggs)
     columns = _metric_columns()

@@ -79,7 +79,12 @@ def quantile_rows(df: DataFrame, value: str, shares: list[float], keys: list[str
         return grouped.select(*keys, F.posexplode("_q").alias("place", "quantile"))
     one = F.lit(1) if weight is None else F.col(weight)
     held_rows = df.select(*keys, F.col(value).cast("double").alias(value), *([weight] if weight else []))
-    ranged = ranged_counts(held_rows, value, keys, {"n": one.cast("long")}).where("n > 0")
+    return quantiles_of(ranged_counts(held_rows, value, keys, {"n": one.cast("long")}), value, points, keys)
+
+
+def quantiles_of(ranged: DataFrame, value: str, points: list[float], keys: list[str]) -> DataFrame:
+    """``quantile_rows`` of what ``ranged_counts`` gave with the weight ``n``; values of weight 0 do not count."""
+    ranged = ranged.where("n > 0")
     first, size, total = F.col("_n_off"), F.col("_n_part"), F.col("n_total")
 
     def target(p: Column, i: Column) -> Column:
@@ -110,7 +115,11 @@ def quantile_rows(df: DataFrame, value: str, shares: list[float], keys: list[str
 def quantiles(df: DataFrame, value: str, shares: list[float], names: list[str],
               keys: list[str] | None = None, exact: bool = True) -> DataFrame:
     """``quantile_rows`` with one column per share."""
-    rows = quantile_rows(df, value, shares, keys, exact)
+    return wide_quantiles(quantile_rows(df, value, shares, keys, exact), names, keys or [])
+
+
+def wide_quantiles(rows: DataFrame, names: list[str], keys: list[str]) -> DataFrame:
+    """Rows (keys, place, quantile) with one column per place."""
     aggs = [F.max(F.when(F.col("place") == i, F.col("quantile"))).alias(n) for i, n in enumerate(names)]
     return rows.groupBy(*keys).agg(*aggs) if keys else rows.agg(*aggs)
 

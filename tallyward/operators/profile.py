@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyward.functions.bins import closed_left_bin, closed_right_bin
 from tallyward.functions.expr import numeric_columns, pearson, ratio
-from tallyward.operators.order_stats import column_quantiles, melt, quantiles
+from tallyward.operators.order_stats import column_quantiles, melt, quantiles, quantiles_of, ranged_counts, wide_quantiles
 
 
 def _rows(df: DataFrame, structs: list[Column]) -> DataFrame:
@@ -96,8 +96,15 @@ def group_stats(df: DataFrame, keys: Iterable[str], value: str, exact: bool = Tr
     """Mean, median and count of a column per group, highest mean first."""
     names = list(keys)
     df = df.select(*names, F.col(value).cast("double").alias(value)).na.drop(subset=names)
-    basic = df.groupBy(*names).agg(F.avg(value).alias("mean"), F.count(value).alias("rows"))
-    median = quantiles(df, value, [0.5], ["median"], names, exact=exact)
+    if not exact:
+        basic = df.groupBy(*names).agg(F.avg(value).alias("mean"), F.count(value).alias("rows"))
+        median = quantiles(df, value, [0.5], ["median"], names, exact=False)
+    else:
+        # All three follow from one staged table of counts; a group without values has a row of weight 0.
+        ranged = ranged_counts(df, value, names, {"n": F.when(F.col(value) <= float("inf"), 1).otherwise(0).cast("long")})
+        total = F.sum(F.when(F.col("n") > 0, F.col(value) * F.col("n")))
+        basic = ranged.groupBy(*names).agg(ratio(total, F.sum("n")).alias("mean"), F.sum("n").alias("rows"))
+        median = wide_quantiles(quantiles_of(ranged, value, [0.5], names), ["median"], names)
     joined = basic.join(median, names, "left")
     return joined.select(*names, "mean", "median", "rows").orderBy(F.desc_nulls_last("mean"), *names)
 

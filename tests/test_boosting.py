@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.operators import boosting
+from tallyward.operators import boosting, models, split
 from tallyward.operators.tree_growth import Growth, Settings, leaf_quantiles
 
 FEATURES = ["a", "b", "c"]
@@ -215,3 +215,21 @@ def test_drawn_features_and_quantiles():
     rng = np.random.default_rng(1)
     leaf, values = rng.integers(0, 5, 200), rng.random(200)
     assert np.allclose(leaf_quantiles(leaf, values, 0.3, 5), [np.quantile(values[leaf == i], 0.3) for i in range(5)])
+
+
+def test_searches(spark, rows):
+    """The table of a search: every candidate with the mean and spread of its folds, the best by mean, and the best one refitted on all rows."""
+    candidates = models.grid({"n_estimators": [3, 30], "max_depth": [1, 3], "learning_rate": [0.2], "min_samples_split": [2, 50]})
+    model, found = models.search(candidates, rows, FEATURES, "key", folds=3)
+    table = {r["candidate"]: r for r in found.collect()}
+    assert len(table) == 8 and [c for c, r in table.items() if r["best"]] == [min(c for c in table if table[c]["mean_r2"] == max(r["mean_r2"] for r in table.values()))]
+    folds = split.hash_fold(rows, "key", 3, 42, "_fold")
+    scores = boosting.cross_validate(folds, FEATURES, "key", candidates, F.col("_fold"), 3)
+    for c, r in table.items():
+        assert r["mean_r2"] == pytest.approx(np.mean(scores[c])) and r["std_r2"] == pytest.approx(np.std(scores[c]))
+        assert r["settings"] == ", ".join(f"{k}={v}" for k, v in sorted(candidates[c].items()))
+    best = next(c for c, r in table.items() if r["best"])
+    assert len(model.trees) == candidates[best]["n_estimators"] == 30
+    spread = models.fold_scores(rows, FEATURES, "key", folds=3, **candidates[best]).collect()
+    assert [r["r2_score"] for r in sorted(spread, key=lambda r: r["fold"])] == pytest.approx(scores[best])
+    assert models.search(candidates[:1], rows, FEATURES, "key", folds=2, refit=False)[0] is None

@@ -21,7 +21,11 @@ def test_entry(spark):
     assert {r["apr_severity_of_illness_description"] for r in entry.entry(spark).collect()} >= {"Minor", "Extreme"}
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+#: Searches with the whole of the settings train thousands of models; test_boosting.py and test_model_settings.py test their parts.
+LONG = {"tune_grid", "tune_random"}
+
+
+@pytest.mark.parametrize("name", [pytest.param(n, marks=pytest.mark.skipif(n in LONG, reason="takes minutes to hours")) for n in entry.queries()])
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF)
     sql = entry.oracle_sql().get(name)
