@@ -204,16 +204,22 @@ def score(model: Model, rows: DataFrame, inverse: bool = True, name: str = "pred
     return added.select(*rows.columns, name)
 
 
+def vote(df: DataFrame, columns: Iterable[str], weights=V.VOTE_WEIGHTS, name: str = PREDICTION) -> DataFrame:
+    """Weighted mean of score columns; NULL where one of them is."""
+    pairs = list(zip(columns, weights, strict=True))
+    total = sum((F.col(c) * F.lit(float(w)) for c, w in pairs), F.lit(0.0))
+    return df.withColumn(name, total / F.lit(float(sum(w for _, w in pairs))))
+
+
 def weighted_vote(models: list[Model], rows: DataFrame, weights=V.VOTE_WEIGHTS,
                   name: str = PREDICTION) -> DataFrame:
     """Weighted mean of the models' predictions."""
-    out, total = rows, None
-    for i, (model, w) in enumerate(zip(models, weights)):
+    out, scores = rows, []
+    for i, model in enumerate(models):
         keep = out.columns
         out = model.transform(out).select(*keep, F.col(PREDICTION).alias(f"_p{i}"))
-        term = F.col(f"_p{i}") * w
-        total = term if total is None else total + term
-    return out.withColumn(name, total / sum(weights)).drop(*[f"_p{i}" for i in range(len(models))])
+        scores.append(f"_p{i}")
+    return vote(out, scores, weights, name).drop(*scores)
 
 
 def save(model: Model, path: str, facts: dict[str, float], spark) -> None:

@@ -20,7 +20,7 @@ from tallyward.operators.staging import stage
 from tallyward.operators.tree_growth import LOSSES
 from tallyward.plans import jobs
 from tallyward.plans.catalog import query
-from tallyward.plans.inputs import AMOUNTS, rounded, typed
+from tallyward.plans.inputs import AMOUNTS, predicted, rounded, typed
 from tallyward.plans.source_queries import REQUEST_ROW, requests
 from tallyward.session import scratch_path
 from tallyward.sources import readers, writers
@@ -150,6 +150,13 @@ def score_ensemble(spark, sf_dir):
     return rounded(models.weighted_vote(pair, table).select("discharge_key", "split", "label", PREDICTION))
 
 
+@query("""SELECT discharge_key, round((0.538 * yhat + 0.462 * ln(1 + 0.5 * exp(yhat))) / (0.538 + 0.462), 6) AS vote FROM predicted""")
+def vote_scores(spark, sf_dir):
+    """The weighted vote over two score columns."""
+    scored = predicted(spark, sf_dir).withColumn("second", F.log1p(F.lit(0.5) * F.exp("yhat")))
+    return rounded(models.vote(scored, ["yhat", "second"], name="vote").select(_KEY, "vote"))
+
+
 @query(None)
 def cv_scores(spark, sf_dir):
     table, names = _table(spark, sf_dir)
@@ -195,6 +202,21 @@ def score_batch(spark, sf_dir):
     return rounded(readers.read_file(spark, path, "parquet").select("discharge_key", "predicted_cost"), 4)
 
 
+@query("""SELECT split, count(*) AS rows, CAST(0 AS BIGINT) AS unscored, CAST(0 AS BIGINT) AS below_zero
+  FROM (SELECT CASE WHEN CAST('0x' || substr(md5('42-' || discharge_key), 1, 8) AS BIGINT) % 10000 < 2000 THEN 'test' ELSE 'train' END AS split
+    FROM typed WHERE total_costs > 0) GROUP BY split""")
+def score_batch_rows(spark, sf_dir):
+    """The rows of a batch that was scored and written: how many there are, without a score, and with one below zero."""
+    rows = _recipe_rows(spark, sf_dir)
+    fitted = fit_recipe(_train(rows), _NUMBERS, _CATEGORIES, "target", **_RECIPE)
+    table = stage(fitted.apply(rows, _KEY, "split", "target"), "model-rows")
+    path = scratch_path(spark, "scored")
+    writers.write_file(models.score(boosting.fit(_train(table), fitted.features, _KEY, "target"), table), path, "parquet")
+    back = readers.read_file(spark, path, "parquet").groupBy("split")
+    return back.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("predicted_cost").isNull()).alias("unscored"),
+                    F.count_if(F.col("predicted_cost") < 0).alias("below_zero"))
+
+
 @query("SELECT 'largest_difference' AS metric, CAST(0 AS DOUBLE) AS value UNION ALL SELECT 'train_r2_difference', CAST(0 AS DOUBLE)")
 def model_roundtrip(spark, sf_dir):
     """How far a saved model, its predictions and its figures, is from the loaded one."""
@@ -231,6 +253,16 @@ def json_score(spark, sf_dir):
     return readers.respond(scored.unionByName(bad), ["order_no"], "predicted_cost")
 
 
+@query("""SELECT order_no, CASE WHEN order_no % 29 <> 0 THEN CAST(count(*) AS INT) END AS predictions,
+  CASE WHEN order_no % 29 = 0 THEN 'malformed request' END AS error FROM typed GROUP BY order_no""")
+def json_score_rows(spark, sf_dir):
+    """What each response holds: the number of its predictions, or its error."""
+    found = json_score(spark, sf_dir)
+    read = F.from_json("response", "predictions array<double>, error string")
+    return found.select("order_no", read.alias("r")).select(
+        "order_no", F.when(F.col("r.predictions").isNotNull(), F.size("r.predictions")).alias("predictions"), F.col("r.error").alias("error"))
+
+
 @query("""SELECT strftime(discharge_ts, '%Y-%m') AS period, count(*) AS rows, round(sum(total_charges), 2) AS charges,
   CAST(0 AS BIGINT) AS unscored FROM typed GROUP BY 1""")
 def prediction_log(spark, sf_dir):
