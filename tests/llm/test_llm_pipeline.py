@@ -56,7 +56,7 @@ def test_mix(tables):
     from tallyward.llm.curriculum import SQL
 
     want = Counter()
-    for key, size, _, _, taken in con.execute(SQL).fetchall():
+    for key, size, _, _, taken, _ in con.execute(SQL).fetchall():
         if taken:
             want[key] = taken // size
     assert Counter(k for (k,) in rows_of(tables[4], "doc_id")) == want
