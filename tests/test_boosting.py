@@ -203,7 +203,7 @@ def test_odd_tables(spark):
     with pytest.raises(ValueError, match="unknown loss"):
         boosting.fit(df, FEATURES, "key", loss="other")
     with pytest.raises(ValueError, match="weights"):
-        boosting.fit(df, FEATURES, "key", weight="weight", loss="huber")
+        boosting.fit(df, ["a", "c"], "key", weight="b", loss="huber")
     assert boosting.cross_validate(df.where("key = 2"), FEATURES, "key", [{"n_estimators": 1}], F.lit(0), 2) == [[None, None]]
 
 
