@@ -233,3 +233,19 @@ def test_searches(spark, rows):
     spread = models.fold_scores(rows, FEATURES, "key", folds=3, **candidates[best]).collect()
     assert [r["r2_score"] for r in sorted(spread, key=lambda r: r["fold"])] == pytest.approx(scores[best])
     assert models.search(candidates[:1], rows, FEATURES, "key", folds=2, refit=False)[0] is None
+
+
+def test_a_leaf_wise_tree_takes_few_passes(rows, monkeypatch):
+    """One pass serves many steps of a leaf-wise tree, with large sums met in tasks and small ones on the driver alike."""
+    passes, level = [], boosting._level
+    monkeypatch.setattr(boosting, "_level", lambda *given: passes.append(1) or level(*given))
+    blocks = boosting.make_blocks(rows, FEATURES, "key")
+    unit = boosting.Unit(Settings(n_estimators=2, max_depth=None, max_leaves=16, min_samples_leaf=5, learning_rate=0.5))
+    want = boosting.fit_units(blocks, [unit])[0]
+    for most in (boosting.DIRECT_BYTES, 0):
+        monkeypatch.setattr(boosting, "DIRECT_BYTES", most)
+        passes.clear()
+        got = boosting.fit_units(blocks, [unit], local_rows=0)[0]
+        assert [nested(t, 0.5) for t in got.trees] == [nested(t, 0.5) for t in want.trees]
+        assert all((t.feature < 0).sum() == 16 for t in got.trees)
+        assert len(passes) <= 2 * 11, len(passes)  # one for each split before
