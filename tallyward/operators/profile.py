@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tallyward.functions.bins import closed_left_bin, closed_right_bin
 from tallyward.functions.expr import numeric_columns, pearson, ratio
-from tallyward.operators.order_stats import column_quantiles, melt, quantiles, quantiles_of, ranged_counts, wide_quantiles
+from tallyward.operators.order_stats import bucket_of, column_quantiles, melt, narrowed_quantiles, quantiles, wide_quantiles
+from tallyward.operators.staging import stage
 
 
 def _rows(df: DataFrame, structs: list[Column]) -> DataFrame:
@@ -100,11 +101,12 @@ def group_stats(df: DataFrame, keys: Iterable[str], value: str, exact: bool = Tr
         basic = df.groupBy(*names).agg(F.avg(value).alias("mean"), F.count(value).alias("rows"))
         median = quantiles(df, value, [0.5], ["median"], names, exact=False)
     else:
-        # All three follow from one staged table of counts; a group without values has a row of weight 0.
-        ranged = ranged_counts(df, value, names, {"n": F.when(F.col(value) <= float("inf"), 1).otherwise(0).cast("long")})
-        total = F.sum(F.when(F.col("n") > 0, F.col(value) * F.col("n")))
-        basic = ranged.groupBy(*names).agg(ratio(total, F.sum("n")).alias("mean"), F.sum("n").alias("rows"))
-        median = wide_quantiles(quantiles_of(ranged, value, [0.5], names), ["median"], names)
+        # Mean and count follow from the buckets; a group without values has one of weight 0.
+        rows = stage(df.withColumn("_one", F.when(F.col(value) <= float("inf"), 1).otherwise(0).cast("long")), "rows")
+        known = rows.groupBy(*names, bucket_of(value).alias("_bucket")).agg(F.sum("_one").alias("n"), F.sum(F.when(F.col("_one") > 0, F.col(value))).alias("_sum"))
+        known = stage(known, "buckets")
+        basic = known.groupBy(*names).agg(ratio(F.sum("_sum"), F.sum("n")).alias("mean"), F.sum("n").alias("rows"))
+        median = wide_quantiles(narrowed_quantiles(rows.where("_one > 0"), known, value, [0.5], names), ["median"], names)
     joined = basic.join(median, names, "left")
     return joined.select(*names, "mean", "median", "rows").orderBy(F.desc_nulls_last("mean"), *names)
 

@@ -100,3 +100,24 @@ def test_weighted_ranks(spark):
     df = spark.createDataFrame([(10.0, 1), (20.0, 2), (30.0, 1)], "v double, n long")
     got = {r["v"]: r["r"] for r in order_stats.average_ranks(df, "v", "r", F.col("n")).collect()}
     assert got == {10.0: 1.0, 20.0: 2.5, 30.0: 4.0}
+
+
+def test_quantiles_order_few_values(spark, monkeypatch):
+    """Only values near a wanted place are counted one by one; values of any sign and size keep their order."""
+    rng = random.Random(3)
+    values = [rng.choice([-1, 1]) * 10 ** rng.uniform(-3, 9) for _ in range(5000)] + [0.0, -0.0, float("inf"), float("-inf")]
+    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(values)], "k int, v double").repartition(5)
+    sizes, stage = {}, order_stats.stage
+
+    def counted(rows, name):
+        staged = stage(rows, name)
+        sizes[name] = staged.count()
+        return staged
+
+    monkeypatch.setattr(order_stats, "stage", counted)
+    shares = [0.1, 0.5, 0.9]
+    got = {(r["k"], r["place"]): r["quantile"] for r in order_stats.quantile_rows(df, "v", shares, ["k"]).collect()}
+    for k in (0, 1):
+        for place, share in enumerate(shares):
+            assert got[k, place] == pytest.approx(linear(values[k::2], share), rel=1e-12)
+    assert sizes["counts"] < 200  # all 5,004 before
