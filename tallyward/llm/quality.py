@@ -19,11 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.textblocks import Block, blocks, of_row, repeats, table_of
+from tallyward.operators.order_stats import quantile_rows
+from tallyward.operators.staging import stage
 
 #: Slots of the multinomials. The model is two counts for each, whatever the corpus.
 BUCKETS = 1 << 16
-#: At most so many trusted documents, the least by a hash of their key, train and calibrate the target model.
-TRUSTED_ROWS = 20_000
 #: One trusted document in so many calibrates the threshold instead of training.
 HELD_OUT = 4
 #: Share of the trusted, held-out documents that pass the base rules which may fall below the threshold, and how far
@@ -105,20 +105,19 @@ def _judge(ratios: np.ndarray, names: list[str]):
     return judge
 
 
-def trusted_keys(labels: DataFrame, key: str, trusted: Column, rows: int) -> DataFrame:
-    """Keys of trusted documents, at most ``rows``: those with the least hashes."""
-    keys = labels.where(trusted & F.col(key).isNotNull()).select(F.col(key).alias("__key")).distinct()
-    return keys.orderBy(F.xxhash64("__key"), "__key").limit(rows)
+def trusted_keys(labels: DataFrame, key: str, trusted: Column) -> DataFrame:
+    """Keys of all trusted documents."""
+    return labels.where(trusted & F.col(key).isNotNull()).select(F.col(key).alias("__key")).distinct()
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", trusted: Column | None = None,
-        buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS) -> tuple[np.ndarray, float | None]:
+        buckets: int = BUCKETS) -> tuple[np.ndarray, float | None]:
     """Log ratios by bucket in millionths, and the threshold (None without held-out trusted documents)."""
     trusted = (F.col("quality") == 1) & (F.col("toxic") == 0) if trusted is None else trusted
-    keys = trusted_keys(labels, key, trusted, trusted_rows).withColumn(
-        "__trusted", F.pmod(F.xxhash64(F.lit("held"), "__key"), F.lit(HELD_OUT)) != 0)
+    keys = stage(trusted_keys(labels, key, trusted).withColumn(
+        "__trusted", F.pmod(F.xxhash64(F.lit("held"), "__key"), F.lit(HELD_OUT)) != 0), "trusted")
     texts = docs.select(F.col(key).alias("__key"), "text")
-    flagged = texts.join(F.broadcast(keys), "__key", "left")  # at most trusted_rows keys
+    flagged = texts.join(keys, "__key", "left")  # the engine sends the keys to the texts while they are few
     counted = (flagged.select("text", F.coalesce("__trusted", F.lit(False)).alias("__trusted"))
                .mapInArrow(_counter(buckets), "bucket long, raw long, target long")
                .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
@@ -131,8 +130,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", trusted: Column
     # n-grams say little.
     expected = raw / raw.sum() * target.sum()
     ratios = np.round(np.log((target + PSEUDO) / (expected + PSEUDO)) * _MICRO).astype(np.int64)
-    held = judged(texts.join(F.broadcast(keys.where(~F.col("__trusted"))), "__key").select("text"), ratios, None)
-    low = held.where(~F.col("base_failed")).agg(F.percentile("score", F.lit(TAIL))).first()[0]
+    # Scores meet the keys without their texts.
+    scores = judged(texts, ratios, None).where(~F.col("base_failed")).select("__key", "score")
+    held = stage(scores.join(keys.where(~F.col("__trusted")), "__key").select("score"), "held")
+    found = quantile_rows(held, "score", [TAIL]).collect()  # one row or none
+    low = found[0]["quantile"] if found else None
     return ratios, None if low is None else low - MARGIN
 
 

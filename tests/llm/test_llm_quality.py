@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from brute import CLASHING, SF, odd_documents, rows_of, with_clashes, words
+from pyspark.sql import functions as F
 
 from tallyward.llm import quality
 
@@ -78,3 +79,17 @@ def test_odd_rows(spark, labels):
     assert {k == (not b) for k, b in rows_of(quality.quality_rules(docs, nobody), "kept", "base_failed")} == {True}
     nulls = spark.createDataFrame([(None, None, None), (1, None, 1), (None, 1, 0), (1, 1, 0), (1, 1, 0)], labels.schema)
     assert quality.quality_rules(docs, nulls).count() == docs.count()
+
+
+def test_every_trusted_document_counts(spark):
+    """More trusted documents than the 20,000 that a sample held before; equal counts of both multinomials leave no ratio."""
+    n = 24_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") < n // 2, "a b").otherwise("c d").alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert quality.trusted_keys(labels, "doc_id", F.col("quality") == 1).count() == n
+    held = docs.where(F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(quality.HELD_OUT)) == 0)
+    ratios, low = quality.fit(docs, labels)
+    assert low is None and held.count() > 0  # texts of two words fail the base rules
+    raw, target = n // 2, (docs.where("text = 'a b'").count() - held.where("text = 'a b'").count())
+    want = np.log((target + quality.PSEUDO) / (raw / (2 * raw) * (n - held.count()) + quality.PSEUDO))
+    assert np.abs(ratios / 1e6 - want).min() < 1e-6
