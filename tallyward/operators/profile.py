@@ -93,8 +93,8 @@ def group_count_all(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.count(c).alias(c) for c in rest])
 
 
-def group_stats(df: DataFrame, keys: Iterable[str], value: str, exact: bool = True) -> DataFrame:
-    """Mean, median and count of a column per group, highest mean first."""
+def group_stats(df: DataFrame, keys: Iterable[str], value: str, exact: bool = True, cheap: bool = False) -> DataFrame:
+    """Mean, median and count of a column per group, highest mean first. Rows are staged, as they are read twice, unless they are ``cheap``."""
     names = list(keys)
     df = df.select(*names, F.col(value).cast("double").alias(value)).na.drop(subset=names)
     if not exact:
@@ -102,7 +102,7 @@ def group_stats(df: DataFrame, keys: Iterable[str], value: str, exact: bool = Tr
         median = quantiles(df, value, [0.5], ["median"], names, exact=False)
     else:
         # Mean and count follow from the buckets; a group without values has one of weight 0.
-        rows = stage(df.withColumn("_one", F.when(F.col(value) <= float("inf"), 1).otherwise(0).cast("long")), "rows")
+        rows = (df if cheap else stage(df, "rows")).withColumn("_one", F.when(F.col(value) <= float("inf"), 1).otherwise(0).cast("long"))
         known = rows.groupBy(*names, bucket_of(value).alias("_bucket")).agg(F.sum("_one").alias("n"), F.sum(F.when(F.col("_one") > 0, F.col(value))).alias("_sum"))
         known = stage(known, "buckets")
         basic = known.groupBy(*names).agg(ratio(F.sum("_sum"), F.sum("n")).alias("mean"), F.sum("n").alias("rows"))
@@ -114,7 +114,9 @@ def group_stats(df: DataFrame, keys: Iterable[str], value: str, exact: bool = Tr
 def group_stats_by_dimension(df: DataFrame, dimensions: list[str], value: str, exact: bool = True) -> DataFrame:
     """``group_stats`` over several columns one by one, from a single melted pass."""
     wide = df.select(F.col(value).cast("double").alias(value), *[F.col(d).cast("string").alias(d) for d in dimensions])
-    return group_stats(wide.unpivot([value], dimensions, "dimension", "level"), ["dimension", "level"], value, exact)
+    if exact:
+        wide = stage(wide, "wide")  # the melted rows would be as many times larger as there are dimensions
+    return group_stats(wide.unpivot([value], dimensions, "dimension", "level"), ["dimension", "level"], value, exact, cheap=True)
 
 
 def mean_by_dimension(df: DataFrame, dimensions: list[str], value: str) -> DataFrame:

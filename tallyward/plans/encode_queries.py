@@ -156,10 +156,11 @@ def encode_hash(spark, sf_dir):
     df = discharges(spark, sf_dir, *names).fillna("Unknown")
     parts = []
     for name, columns in _HASHED.items():
-        vector = vector_to_array(name)
+        # The cells of the sparse vector; 256 numbers a row would be for the zeros.
+        vector = F.unwrap_udt(name)
         out = encode.hash_encode(df, columns, name, 256).select(
             F.lit(name).alias("block"), F.concat_ws("|", *columns).alias("cells"), vector.alias("vector"),
-            F.aggregate(vector, F.lit(0.0), lambda a, x: a + x).alias("ones"))
+            F.aggregate(vector["values"], F.lit(0.0), lambda a, x: a + x).alias("ones"))
         parts.append(out.groupBy("block", "cells").agg(
             F.count(F.lit(1)).alias("rows"), F.count_distinct(F.xxhash64("vector")).alias("vectors"), F.max("ones").alias("ones")))
     return parts[0].unionByName(parts[1])

@@ -251,3 +251,11 @@ def test_distances_of_windows_are_within_their_bound(spark):
     assert drift.distance_error() < 0.005
     empty = drift.distance_profile(spark.createDataFrame([], "x double"), ["x"])
     assert empty.count() == 0 and drift.distance_by_window(df, empty, ["x"], "ts", "1 day").count() == 0
+
+
+def test_hashed_vectors_are_not_spread_out(spark):
+    """The digest of a vector is that of its few cells; the zeros of all slots are not written out for each row."""
+    from tallyward.plans import QUERIES
+
+    plan = QUERIES["encode_hash"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "unwrap_udt" in plan.lower() or "unwrapudt" in plan.lower()
