@@ -117,7 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", trusted: Column
     keys = stage(trusted_keys(labels, key, trusted).withColumn(
         "__trusted", F.pmod(F.xxhash64(F.lit("held"), "__key"), F.lit(HELD_OUT)) != 0), "trusted")
     texts = docs.select(F.col(key).alias("__key"), "text")
-    flagged = texts.join(keys, "__key", "left")  # the engine sends the keys to the texts while they are few
+    # Keys grow with the corpus, so they are not sent to every executor. Texts without a key are dealt out by a hash.
+    spread = texts.withColumn("__spread", F.when(F.col("__key").isNull(), F.xxhash64("text")).otherwise(0))
+    flagged = spread.join(keys.withColumn("__spread", F.lit(0).cast("long")).hint("shuffle_hash"), ["__key", "__spread"], "left")
     counted = (flagged.select("text", F.coalesce("__trusted", F.lit(False)).alias("__trusted"))
                .mapInArrow(_counter(buckets), "bucket long, raw long, target long")
                .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
