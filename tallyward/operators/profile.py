@@ -8,6 +8,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from tallyward.functions.expr import numeric_columns, pearson, ratio
 from tallyward.operators.order_stats import bucket_of, column_quantiles, melt, narrowed_quantiles, quantiles, wide_quantiles
 from tallyward.operators.staging import stage
 
+#: Rows whose repeats are taken out together, and rows whose different values one task counts.
+BLOCK_ROWS, TASK_ROWS = 1 << 16, 500_000
 
 def _rows(df: DataFrame, structs: list[Column]) -> DataFrame:
     """One row per struct of a one-row aggregate."""
@@ -41,15 +45,36 @@ def null_counts(df: DataFrame) -> DataFrame:
 def distinct_counts(df: DataFrame, exact: bool = True) -> DataFrame:
     """Distinct values per column, NULL aside.
 
-    The exact form melts the table and first removes repeats map-side, so each task holds only its
-    share of the values of any column. Values are told apart by their text.
+    The exact form takes the repeats out of blocks of ``BLOCK_ROWS`` rows and deals the values left to so many tasks that each has those of
+    ``TASK_ROWS`` rows, so that what a task holds does not grow with the table. Values are told apart by their text.
     """
     if not exact:
         counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in df.columns])
         return _rows(counts, [F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct")) for c in df.columns])
     text = df.select([F.col(c).cast("string").alias(c) for c in df.columns])
-    pairs = text.unpivot([], df.columns, "column", "value").groupBy("column", "value").agg(F.lit(1).alias("one"))
-    return pairs.groupBy("column").agg(F.count("value").alias("distinct"))
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // TASK_ROWS))
+    pairs = text.mapInArrow(_distinct_in_blocks, "place int, value string").repartition(tasks, "place", "value").distinct()
+    names = F.array(*[F.lit(c) for c in df.columns])
+    return pairs.groupBy("place").agg(F.count("value").alias("distinct")).select(names[F.col("place")].alias("column"), "distinct")
+
+
+def _distinct_in_blocks(batches):
+    """The different values of each column (its place), NULL among them, block by block."""
+
+    def values(block):
+        for place in range(block[0].num_columns):
+            found = pa.chunked_array([batch.column(place) for batch in block]).unique()
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), place, np.int32)), found], ["place", "value"])
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= BLOCK_ROWS:
+            yield from values(held)
+            held, rows = [], 0
+    if rows:
+        yield from values(held)
 
 
 def null_overlap(df: DataFrame, first: str, second: str) -> DataFrame:

@@ -259,3 +259,16 @@ def test_hashed_vectors_are_not_spread_out(spark):
 
     plan = QUERIES["encode_hash"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "unwrap_udt" in plan.lower() or "unwrapudt" in plan.lower()
+
+
+def test_distinct_counts_are_dealt_to_tasks_by_the_rows(spark, monkeypatch, capsys):
+    """A task holds the values of so many rows; blocks of rows, NULL, columns without values and an empty table count right."""
+    monkeypatch.setattr(profile, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(profile, "TASK_ROWS", 3)
+    rows = [(i % 5, str(i) if i % 3 else None, None, "1") for i in range(300)]
+    df = spark.createDataFrame(rows, "a int, b string, c double, d string").repartition(3)
+    found = profile.distinct_counts(df)
+    assert dict(found.collect()) == {"a": 5, "b": 200, "c": 0, "d": 1}
+    found.explain()
+    assert ", 100), REPARTITION_BY_NUM" in capsys.readouterr().out
+    assert profile.distinct_counts(df.limit(0)).collect() == []
