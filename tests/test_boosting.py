@@ -249,3 +249,29 @@ def test_a_leaf_wise_tree_takes_few_passes(rows, monkeypatch):
         assert [nested(t, 0.5) for t in got.trees] == [nested(t, 0.5) for t in want.trees]
         assert all((t.feature < 0).sum() == 16 for t in got.trees)
         assert len(passes) <= 11, len(passes)
+
+
+@pytest.mark.parametrize("cells", [boosting.CELLS, 0])
+@pytest.mark.parametrize("settings", [
+    {"subsample": 0.7, "max_features": "sqrt"}, {"max_depth": None, "max_leaves": 6, "reg_lambda": 1.0}, {"subsample": 0.8, "min_samples_leaf": 9, "n_iter_no_change": 1, "tol": 0.2},
+])
+def test_sums_over_cells_give_the_models_of_one_task(rows, monkeypatch, cells, settings):
+    """A table with few different rows of bins takes no pass, one with more takes passes: folds, samples, early ends, rows without a part to hold out."""
+    passes, level = [], boosting._level
+    monkeypatch.setattr(boosting, "_level", lambda *given: passes.append(1) or level(*given))
+    monkeypatch.setattr(boosting, "CELLS", cells)
+    monkeypatch.setattr(boosting, "CELL_ROWS", 30)
+    monkeypatch.setattr(boosting, "TOGETHER", 2)
+    s = Settings(**{"n_estimators": 6, "learning_rate": 0.3, "max_depth": 3, "subsample": 1.0, **settings})
+    blocks = boosting.make_blocks(rows, FEATURES, "key", fold=F.col("part"), max_bins=6)
+    units = [boosting.Unit(s, held, (2, 6)) for held in (None, 1, 1, 1, 2)] + [boosting.Unit(Settings(n_estimators=2, loss="absolute_error"))]
+    for here, there in zip(boosting.fit_units(blocks, units), boosting.fit_units(blocks, units, local_rows=0), strict=True):
+        assert here.begin == pytest.approx(there.begin)
+        for a, b in zip(here.trees, there.trees, strict=True):
+            assert (a.feature.tolist(), a.code.tolist(), a.left.tolist()) == (b.feature.tolist(), b.code.tolist(), b.left.tolist())
+            assert np.allclose(a.value, b.value) and np.allclose(a.gain, b.gain) and np.allclose(a.rows, b.rows)
+        for t in set(here.stats) & set(there.stats) & {2, 6}:
+            assert np.allclose(here.stats[t], there.stats[t])
+    passes.clear()
+    boosting.fit_units(blocks, units[:2], local_rows=0)
+    assert bool(passes) == (cells == 0)
