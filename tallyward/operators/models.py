@@ -7,6 +7,7 @@ table written by ``operators.staging.stage``.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import random
 from collections.abc import Iterable
@@ -23,6 +24,7 @@ from tallyward.functions.expr import numeric_columns
 from tallyward.operators import boosting
 from tallyward.operators.evaluate import wide_metrics
 from tallyward.operators.split import hash_fold
+from tallyward.operators.staging import stage
 from tallyward.session import ensure_checkpoint_dir
 
 PREDICTION = "prediction"
@@ -170,26 +172,38 @@ def dealt_anew(rows: DataFrame, features: Iterable[str], key: str, *keep: str, s
     return first.join(second, "_place").drop("_place")
 
 
-def permutation_importance(model: Model, rows: DataFrame, features: Iterable[str], key: str,
-                           repeats: int = 10, seed: int = 42, top: int | None = None) -> DataFrame:
-    """Mean and spread of the loss of r2 when the values of one column are dealt out anew over the whole table.
-
-    Each column keeps its values exactly. Rows need a unique ``key`` for the same result on every run.
-    """
-    names = list(features)
+def _changed_values(model: Model, rows: DataFrame, names: list[str], key: str, repeats: int, seed: int) -> DataFrame:
+    """(``feature``, ``repeat``, ``label``, ``prediction``) of one copy of each row per column, with that column changed."""
     scored = []
     for k in range(repeats):
         dealt = dealt_anew(rows, names, key, "label", seed=seed + k)
-        # One copy of the row per column, with that column changed.
         copies = [F.struct(F.lit(c).alias("feature"), F.lit(k).alias("repeat"), F.col("label"),
                            *[(F.col(f"_other.{n}") if n == c else F.col(n)).alias(n) for n in names]) for c in names]
         changed = dealt.select(F.inline(F.array(*copies)))
         scored.append(model.transform(changed).select("feature", "repeat", "label", PREDICTION))
+    return functools.reduce(DataFrame.unionByName, scored)
+
+
+def _changed_bins(model: boosting.Model, rows: DataFrame, names: list[str], key: str, repeats: int, seed: int) -> DataFrame:
+    """The same for a boosted model, which sees nothing of a row but its bins: these are dealt out anew, and staged for all columns."""
+    binned = stage(model.binned(rows, key, "label"), "bins")
+    dealt = [dealt_anew(binned, ["bins"], key, "label", seed=seed + k).select(F.lit(k).alias("repeat"), "label", "bins", F.col("_other.bins").alias("other"))
+             for k in range(repeats)]
+    known = model.binning.features
+    scored = model.changed(stage(functools.reduce(DataFrame.unionByName, dealt), "dealt"), [known.index(c) if c in known else -1 for c in names])
+    return scored.withColumn("feature", F.element_at(F.array(*[F.lit(c) for c in names]), F.col("feature") + 1))
+
+
+def permutation_importance(model: Model, rows: DataFrame, features: Iterable[str], key: str,
+                           repeats: int = 10, seed: int = 42, top: int | None = None) -> DataFrame:
+    """Mean and spread of the loss of r2 when the values of one column are dealt out anew over the whole table.
+
+    Each column keeps its values exactly. Rows need a unique ``key`` for the same result on every run.
+    """
+    names = list(features)
+    changed = _changed_bins if isinstance(model, boosting.Model) else _changed_values
     base = r2(model.transform(rows))
-    together = scored[0]
-    for part in scored[1:]:
-        together = together.unionByName(part)
-    drops = wide_metrics(together, "label", PREDICTION, ["feature", "repeat"], median=False).select(
+    drops = wide_metrics(changed(model, rows, names, key, repeats, seed), "label", PREDICTION, ["feature", "repeat"], median=False).select(
         "feature", (F.lit(base) - F.col("r2_score")).alias("drop"))
     found = (drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
              .orderBy(F.desc("importance_mean"), "feature"))

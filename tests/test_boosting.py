@@ -275,3 +275,30 @@ def test_sums_over_cells_give_the_models_of_one_task(rows, monkeypatch, cells, s
     passes.clear()
     boosting.fit_units(blocks, units[:2], local_rows=0)
     assert bool(passes) == (cells == 0)
+
+
+def test_cells_are_scored_once(rows, monkeypatch):
+    """Rows of like bins walk down the trees once, are remembered within bounds, and have the predictions of a walk of their own."""
+    model = boosting.fit(rows, FEATURES, "key", n_estimators=4, max_depth=3)
+    data = rows.toPandas()
+    bins = model.binning.bins([np.tile(data[c].to_numpy(), 5) for c in FEATURES])
+    plain, walked = model.of_bins(bins), []
+    of_bins = boosting.Model.of_bins
+    monkeypatch.setattr(boosting.Model, "of_bins", lambda self, x: (walked.append(x.shape[1]), of_bins(self, x))[1])
+    for limit in (boosting.CELLS, 20):
+        monkeypatch.setattr(boosting, "CELLS", limit)
+        scorer = boosting._Scorer(model)
+        walked.clear()
+        for _ in range(2):
+            assert (scorer.predict(bins) == plain).all()
+        assert walked[0] <= len(data) and len(scorer.cells) <= limit and (walked[1] == 0) == (limit > 20)
+    monkeypatch.setattr(boosting, "_radix", lambda binning: None)
+    assert (boosting._Scorer(model).predict(bins) == plain).all()
+
+
+def test_permuted_bins_are_permuted_values(rows):
+    model = boosting.fit(rows, FEATURES, "key", n_estimators=4, max_depth=3)
+    names = ["c", "a", "part", "b"]  # one that the model does not know
+    got, wanted = (sorted(tuple(r[c] for c in ("feature", "repeat", "label", "prediction")) for r in changed(model, rows, names, "key", 2, 42).collect())
+                   for changed in (models._changed_bins, models._changed_values))
+    assert got == wanted and len(got) == 2 * 4 * 500
