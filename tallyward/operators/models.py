@@ -53,10 +53,13 @@ def _forest_settings(given: dict) -> dict:
 
 
 def forest(features: Iterable[str], label: str = "label", prediction: str = PREDICTION, **settings) -> Pipeline:
-    """Random forest; gaps are filled with the mean of the training rows."""
+    """Random forest; gaps are filled with the mean of the training rows.
+
+    Executors keep the node of each row in each tree, so that deep trees need not be sent to every pass; that changes no tree.
+    """
     names = list(features)
     filled = [f"{c}_filled" for c in names]
-    tree = RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol=prediction,
+    tree = RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol=prediction, cacheNodeIds=True,
                                  **_forest_settings({"n_estimators": 50, "random_state": 42, **settings}))
     return Pipeline(stages=[Imputer(inputCols=names, outputCols=filled, strategy="mean"), VectorAssembler(inputCols=filled, outputCol="features"), tree])
 

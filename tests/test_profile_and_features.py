@@ -185,6 +185,16 @@ def test_permuted_columns_and_models(spark):
             models.forest(["x"], **settings)
 
 
+def test_forests_keep_the_nodes_of_rows(spark):
+    """That saves sending deep trees to every pass, and grows the same trees."""
+    df = spark.range(400).select((F.col("id") % 37 * 1.0).alias("x"), (F.col("id") % 11 * 1.0).alias("y"), (F.col("id") * 7 % 101 * 1.0).alias("label"))
+    kept, sent = models.forest(["x", "y"], n_estimators=3, max_depth=None), models.forest(["x", "y"], n_estimators=3, max_depth=None)
+    assert kept.getStages()[-1].getCacheNodeIds()
+    sent.getStages()[-1].setCacheNodeIds(False)
+    kept, sent = (models.fit(forest, df).stages[-1].toDebugString.partition("\n")[2] for forest in (kept, sent))  # the first line has a name of its own
+    assert kept == sent and "Tree 2" in kept
+
+
 def test_values_are_dealt_over_the_whole_table(spark, monkeypatch):
     """Every row's values go to exactly one row, far from their own group as well; places are exact ranks over many partitions."""
     monkeypatch.setattr(models, "_PART_ROWS", 100)
