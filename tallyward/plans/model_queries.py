@@ -247,10 +247,9 @@ def _request_model(spark, sf_dir):
 def json_score(spark, sf_dir):
     model = _request_model(spark, sf_dir)
     parsed = readers.parse_requests(requests(spark, sf_dir), "request", REQUEST_ROW, ["order_no"])
-    good = parsed.where(F.col("error").isNull())
-    scored = models.score(model, good).withColumn("predicted_cost", F.round("predicted_cost", 4))
-    bad = parsed.where(F.col("error").isNotNull()).withColumn("predicted_cost", F.lit(None).cast("double"))
-    return readers.respond(scored.unionByName(bad), ["order_no"], "predicted_cost")
+    # Malformed requests pass through with the others, so that requests are read once and stay with their order.
+    scored = models.score(model, parsed).withColumn("predicted_cost", F.when(F.col("error").isNull(), F.round("predicted_cost", 4)))
+    return readers.respond(scored, ["order_no"], "predicted_cost")
 
 
 @query("""SELECT order_no, CASE WHEN order_no % 29 <> 0 THEN CAST(count(*) AS INT) END AS predictions,

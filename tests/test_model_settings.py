@@ -62,3 +62,19 @@ def test_folds_votes_and_repeats(spark, monkeypatch):
         assert {r[0] for r in rows.select("split").distinct().collect()} == {"train", "test"}
         given, named = asked(patch, models, "permutation_importance", queries.permutation_importance, spark)
         assert len(given) == 4 and not named  # ten repeats are the default
+
+
+def test_requests_are_read_once(spark, monkeypatch, tmp_path, capsys):
+    """Good and malformed requests are scored in one pass over them, and only the good ones have predictions."""
+    text = '{"data": [{"discharge_key": "k", "length_of_stay": 2.0, "total_charges": %s}, {"discharge_key": "l"}]}'
+    spark.createDataFrame([(1, text % 5), (2, '{"data": [{"dis'), (3, "{}"), (4, text % 9), (5, None)], "order_no long, request string").write.parquet(f"{tmp_path}/asked")
+    model = boosting.Model(boosting.Binning(["length_of_stay", "total_charges"], [[1.0], [6.0]], [0.0, 0.0]), Settings(), 1.0, [])
+    monkeypatch.setattr(queries, "_request_model", lambda *given: model)
+    monkeypatch.setattr(queries, "requests", lambda *given: spark.read.parquet(f"{tmp_path}/asked"))
+    found = queries.json_score(spark, SF)
+    capsys.readouterr()
+    found.explain("simple")
+    assert capsys.readouterr().out.count("FileScan parquet") == 1
+    got = {r["order_no"]: r["response"] for r in found.collect()}
+    good = '{"predictions":[1.7183,1.7183]}'
+    assert got == {1: good, 2: '{"error":"malformed request"}', 3: '{"error":"no data"}', 4: good, 5: '{"error":"no data"}'}
