@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.operators import boosting, models, split
-from tallyward.operators.tree_growth import Growth, Settings, leaf_quantiles
+from tallyward.operators import boosting, models, split, tree_growth
+from tallyward.operators.tree_growth import Growth, Settings, Tree, leaf_quantiles
 
 FEATURES = ["a", "b", "c"]
 SCHEMA = "key long, a double, b double, c double, label double, part int, weight double"
@@ -302,3 +302,46 @@ def test_permuted_bins_are_permuted_values(rows):
     got, wanted = (sorted(tuple(r[c] for c in ("feature", "repeat", "label", "prediction")) for r in changed(model, rows, names, "key", 2, 42).collect())
                    for changed in (models._changed_bins, models._changed_values))
     assert got == wanted and len(got) == 2 * 4 * 500
+
+
+def test_few_rows_walk_down_all_trees_at_once(rows, monkeypatch):
+    """Trees side by side predict what they do one by one, in the same order of sums; only deep ones are walked one by one."""
+    model = boosting.fit(rows, FEATURES, "key", n_estimators=7, max_depth=4)
+    data = rows.toPandas()
+    bins = model.binning.bins([data[c].to_numpy() for c in FEATURES])
+    codes, plain = model.binning.codes(bins), np.full(len(data), model.begin)
+    for tree in model.trees:
+        plain += tree.value[tree.leaves(codes)]
+    monkeypatch.setattr(tree_growth, "_CHUNK", 100)
+    walked, leaves = [], Tree.leaves
+    monkeypatch.setattr(Tree, "leaves", lambda self, x: (walked.append(1), leaves(self, x))[1])
+    assert (model.of_bins(bins) == plain).all() and not walked
+    assert (model.of_bins(bins[:, :0]) == plain[:0]).all()
+    assert (boosting.Model(model.binning, model.settings, 2.0, []).of_bins(bins) == 2).all()
+    monkeypatch.setattr(tree_growth, "SHALLOW", 2)
+    assert (boosting.Model(model.binning, model.settings, model.begin, model.trees).of_bins(bins) == plain).all() and len(walked) == 7
+
+
+def test_rows_are_drawn_once_for_all_models_of_a_search(monkeypatch):
+    """One draw a tree serves every sample and held-out part; sums are those of the rows that each model uses."""
+    rng, n = np.random.default_rng(5), 400
+    cell, fold = rng.integers(0, 6, n), rng.integers(-1, 3, n).astype(np.int32)
+    label, digest = rng.normal(size=n), rng.integers(0, 1 << 63, n).astype(np.uint64)
+    groups = [(boosting.Unit(Settings(n_estimators=3, subsample=s), held), trees) for s, held, trees in (
+        (0.5, None, 3), (0.5, 1, 3), (0.9, 1, 2), (0.7, 2, 3), (1.0, 0, 3), (0.7, 9, 1))]
+    calls, draws = [], tree_growth.draws
+    monkeypatch.setattr(tree_growth, "draws", lambda *given: calls.append(1) or draws(*given))
+    found = {(g, t): v for g, t, v in boosting._sums_by_cell(cell, label, fold, digest, groups)}
+    assert len(calls) == 3
+    wanted = {}
+    for g, (unit, trees) in enumerate(groups):
+        used = fold != unit.held if unit.held is not None else np.ones(n, bool)
+        if not used.all():
+            wanted[g, boosting._HELD_OUT] = [~used, label * ~used, label**2 * ~used]
+        wanted[g, boosting._USED] = [used, label * used]
+        for t in range(trees if unit.settings.subsample < 1 else 0):
+            drawn = used & (draws(digest, 42, t) < unit.settings.subsample)
+            wanted[g, t] = [drawn, label * drawn]
+    assert set(found) == set(wanted)
+    for key, weights in wanted.items():
+        assert np.allclose(np.stack(found[key]), np.stack([np.bincount(cell, w, 6) for w in weights]), atol=1e-12), key
