@@ -693,7 +693,7 @@ class _CellTraining:
             for out in self.out:
                 out.begin = label / rows if rows else 0.0
             self.margins = [np.full(sums.shape[1], out.begin) for out in self.out]
-            if self.units[0].settings.subsample >= 1:
+            if self.units[0].settings.subsample >= 1 and not self.units[0].settings.bootstrap:
                 for number in range(max(u.settings.n_estimators for u in self.units)):
                     self._grow(number, sums)
         else:
@@ -741,7 +741,12 @@ def _sums_by_cell(cell: np.ndarray, label: np.ndarray, fold: np.ndarray, digest:
             if whole[0][held].any():
                 yield g, _HELD_OUT, [w[held] for w in whole]
         yield g, _USED, [others(w, unit.held) for w in whole[:2]]
-        if unit.settings.subsample < 1:
+        if unit.settings.bootstrap:
+            used = np.ones(len(cell), bool) if unit.held is None else fold != unit.held
+            for t in range(groups[g][1]):
+                times = growth.times_drawn(digest, unit.settings, t) * used
+                yield g, t, [np.bincount(cell, w, width) for w in (times, times * label)]
+        elif unit.settings.subsample < 1:
             seeds.setdefault(unit.settings.random_state, []).append(g)
     for seed, members in seeds.items():
         limits = np.array(sorted({groups[g][0].settings.subsample for g in members}))
@@ -768,7 +773,7 @@ def _fit_by_cells(blocks: Blocks, units: list[Unit], keep: bool, numbers: np.nda
     alike: dict[tuple, list[list[int]]] = {}
     for i, u in enumerate(units):
         s = u.settings
-        lists = alike.setdefault((u.held, min(s.subsample, 1.0), s.random_state), [[]])
+        lists = alike.setdefault((u.held, s.subsample if s.bootstrap else min(s.subsample, 1.0), s.bootstrap, s.random_state), [[]])
         if len(lists[-1]) == TOGETHER:
             lists.append([])
         lists[-1].append(i)
@@ -838,6 +843,8 @@ def fit_units(blocks: Blocks, units: list[Unit], keep: bool = True, local_rows:
         raise ValueError("there are no rows to train on")
     if blocks.weighted and any(u.settings.loss != "squared_error" for u in units):
         raise ValueError("only the squared loss takes weights")
+    if any(u.settings.bootstrap for u in units):
+        raise ValueError("only forests draw rows with replacement")
     if blocks.rows <= local_rows:
         return _fit_locally(blocks, units, keep)
     squared = [i for i, u in enumerate(units) if u.settings.loss == "squared_error"]
@@ -849,6 +856,24 @@ def fit_units(blocks: Blocks, units: list[Unit], keep: bool = True, local_rows:
     return [found[i] for i in range(len(units))]
 
 
+def fit_forest(rows: DataFrame, features: list[str], key: str | None = None, label: str = "label", trees: int = 50, max_bins: int = MAX_BINS,
+               random_state: int = 42, **settings) -> Model | None:
+    """A forest of trees, each of its own draw of the rows with replacement; None if the rows lie in more than ``CELLS`` cells.
+
+    The trees are models of one tree that grow side by side from sums over cells. Without a ``key`` a digest of the whole row stands for it.
+    """
+    keyed = rows if key is not None else rows.withColumn("_key", F.xxhash64(*rows.columns))
+    blocks = make_blocks(keyed, features, key or "_key", label, max_bins=max_bins)
+    if blocks.rows == 0:
+        raise ValueError("there are no rows to train on")
+    numbers = _cells_of(blocks)
+    if numbers is None:
+        return None
+    wanted = [Settings(n_estimators=1, learning_rate=1 / trees, bootstrap=True, random_state=random_state * 1_000_003 + t, **settings) for t in range(trees)]
+    fitted = _fit_by_cells(blocks, [Unit(s) for s in wanted], True, numbers)
+    return Model(blocks.binning, wanted[0], fitted[0].begin, [out.trees[0] for out in fitted])
+
+
 class _Scorer:
     """Predicts bin numbers. Rows whose bins are equal in all features that the trees use are worked out once, and up to ``CELLS`` of such cells are remembered."""
 

@@ -17,6 +17,10 @@ LOSSES = ("squared_error", "absolute_error", "huber", "quantile")
 _CHUNK = 1 << 18
 #: Trees of at most this depth are walked by all rows at once.
 SHALLOW = 10
+#: Sums that the histograms of one level may hold at once; wider levels are looked at by parts.
+WIDE = 1 << 23
+#: How often a row is drawn at most for a tree of a forest.
+_MOST_DRAWN = 64
 
 
 @dataclass(frozen=True)
@@ -40,6 +44,7 @@ class Settings:
     reg_alpha: float = 0.0
     n_iter_no_change: int | None = None
     tol: float = 1e-4
+    bootstrap: bool = False  # a row counts as often as it is drawn, ``subsample`` times on average
 
     def __post_init__(self):
         if self.loss not in LOSSES:
@@ -123,6 +128,13 @@ def in_sample(digests: np.ndarray, settings: Settings, tree: int) -> np.ndarray
     return None if settings.subsample >= 1 else draws(digests, settings.random_state, tree) < settings.subsample
 
 
+def times_drawn(digests: np.ndarray, settings: Settings, tree: int) -> np.ndarray:
+    """How often each row is drawn with replacement for one tree: Poisson numbers of mean ``subsample``, by their digests."""
+    k = np.arange(_MOST_DRAWN)
+    shares = np.exp(k * np.log(settings.subsample) - settings.subsample - np.cumsum(np.log(np.maximum(k, 1))))
+    return np.searchsorted(np.cumsum(shares), draws(digests, settings.random_state, tree), "right")
+
+
 def start_share(settings: Settings) -> float | None:
     """The quantile of the labels that a model begins with; None for their mean."""
     return {"squared_error": None, "absolute_error": 0.5, "huber": 0.5, "quantile": settings.alpha}[settings.loss]
@@ -396,7 +408,10 @@ class LocalRows:
         stack = hists[0][None]  # those of the wanted nodes, in order
         while len(growth.wanted):
             asked = growth.wanted
-            growth.take(*best_splits(stack, self.starts, settings, growth.allowed()))
+            if stack is None:
+                growth.take(*self._best_by_parts(moved[used[moved]], asked, node, gradient, settings, growth.allowed()))
+            else:
+                growth.take(*best_splits(stack, self.starts, settings, growth.allowed()))
             split = growth.split
             if not len(split):
                 continue
@@ -411,6 +426,9 @@ class LocalRows:
             left = growth.left[split]
             either = wanted[left] | wanted[left + 1]
             parents, left = split[either], left[either]
+            if stack is None or settings.max_leaves is None and 2 * len(left) * self.total * SUMS > WIDE:
+                stack = None
+                continue
             goes_left = growth.sums[left, 2] <= growth.sums[left + 1, 2]
             counted = self._counted(moved[used[moved]], np.where(goes_left, left, left + 1), node, gradient)
             if settings.max_leaves is None:
@@ -433,6 +451,22 @@ class LocalRows:
         inside = slot >= 0
         return self._summed(rows[inside], slot[inside], gradient, len(nodes))
 
+    def _best_by_parts(self, rows: np.ndarray, nodes: np.ndarray, node: np.ndarray, gradient: np.ndarray, settings: Settings, allowed: np.ndarray | None) -> list[np.ndarray]:
+        """The best splits of the nodes of a wide level, whose histograms are counted and looked at some nodes at a time."""
+        place = np.full(max(int(node.max(initial=0)), int(nodes.max())) + 1, -1, np.int64)
+        place[nodes] = np.arange(len(nodes))
+        slot = place[node[rows]]
+        order = np.argsort(slot, kind="stable")
+        rows, slot = rows[order], slot[order]
+        step = max(1, WIDE // (self.total * SUMS))
+        found = []
+        for at in range(0, len(nodes), step):
+            to = min(at + step, len(nodes))
+            low, high = np.searchsorted(slot, [at, to])
+            hist = self._summed(rows[low:high], slot[low:high] - at, gradient, to - at)
+            found.append(best_splits(hist, self.starts, settings, None if allowed is None else allowed[at:to]))
+        return [np.concatenate(x) for x in zip(*found)]
+
     def _summed(self, rows: np.ndarray, slot: np.ndarray, gradient: np.ndarray, slots: int) -> np.ndarray:
         weight = None if self.weight is None else self.weight[rows]
         return histogram(self.codes[:, rows], slot, gradient[rows] if weight is None else gradient[rows] * weight, weight, slots, self.total)

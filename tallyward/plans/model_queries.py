@@ -140,7 +140,7 @@ def recipe_stream(spark, sf_dir):
 @query(None)
 def train_rf(spark, sf_dir):
     table, names = _table(spark, sf_dir)
-    return _scores(models.fit(models.forest(names, max_depth=None), _train(table)), table)
+    return _scores(models.fit(models.forest(names, max_depth=None), _train(table), key=_KEY), table)
 
 
 @query(None)

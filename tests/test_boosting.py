@@ -345,3 +345,32 @@ def test_rows_are_drawn_once_for_all_models_of_a_search(monkeypatch):
     assert set(found) == set(wanted)
     for key, weights in wanted.items():
         assert np.allclose(np.stack(found[key]), np.stack([np.bincount(cell, w, 6) for w in weights]), atol=1e-12), key
+
+
+def test_forests_grow_from_sums_over_cells(rows, monkeypatch):
+    """Every tree is the best one of its own draw of the rows, also where its levels are looked at by parts; a forest of too many cells is Spark's."""
+    monkeypatch.setattr(models, "FOREST_ROWS", 100)
+    forest = models.forest(FEATURES, n_estimators=3, max_depth=3, max_features="all", max_bins=8)
+    model = models.fit(forest, rows, key="key")
+    data = rows.select("key", *FEATURES, "label", F.xxhash64("key").alias("digest")).toPandas()
+    codes = model.binning.codes(model.binning.bins([data[c].to_numpy() for c in FEATURES]))
+    label, digest = data["label"].to_numpy(), data["digest"].to_numpy().astype(np.uint64)
+    assert isinstance(model, boosting.Model) and len(model.trees) == 3 and model.begin == pytest.approx(label.mean())
+    drawn = []
+    for t, tree in enumerate(model.trees):
+        s = Settings(max_depth=3, subsample=1.0, bootstrap=True, random_state=42 * 1_000_003 + t)
+        times = tree_growth.times_drawn(digest, s, 0)
+        at = np.flatnonzero(times)
+        assert 0.5 < len(at) / len(times) < 0.75 and 0.85 < times.mean() < 1.15
+        assert nested(tree, 1 / 3) == plain_tree(codes[:, at].tolist(), model.binning.starts.tolist(), model.binning.total, (label - model.begin)[at].tolist(), times[at].tolist(), s)
+        drawn.append(times.tolist())
+    assert drawn[0] != drawn[1]
+    deep = models.forest(FEATURES, n_estimators=2, max_depth=None, max_bins=8)
+    whole = models.fit(deep, rows, key="key")
+    monkeypatch.setattr(tree_growth, "WIDE", 500)
+    parts = models.fit(deep, rows.repartition(7), key="key")
+    for a, b in zip(whole.trees, parts.trees, strict=True):
+        assert a.depth() > 6 and a.feature.tolist() == b.feature.tolist() and a.code.tolist() == b.code.tolist() and np.allclose(a.value, b.value)
+    assert [models._tried(s, 7) for s in ("auto", "onethird", "sqrt", "log2", "all", "2", "0.5")] == [3, 3, 3, 3, 7, 2, 4]
+    monkeypatch.setattr(boosting, "CELLS", 5)
+    assert not isinstance(models.fit(models.forest(FEATURES, n_estimators=1, max_depth=2), rows), boosting.Model)
