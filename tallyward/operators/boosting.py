@@ -11,7 +11,8 @@ several numbers, and those whose settings cannot tell their trees apart are trai
 
 Under the squared loss rows that lie in the same bins, a cell, are told apart by nothing but their sums. If a larger table has no more than ``CELLS`` of
 them, its rows are dealt out by ranges of (cell, digest) once, tasks sum the sample of every tree by cell, and the sums of all trees of a model stream
-through the task that grows them: one exchange for a whole model, whatever the number of rows. Otherwise, and under the other losses, there are passes.
+through the task that grows them: one exchange for a whole model, whatever the number of rows. Models under the other losses that hold nothing out take two passes
+a tree there. Otherwise there is a pass a level.
 
 Bins end at exact quantiles of the training rows. Gaps are filled with the mean. Rows are drawn for a tree by a hash of their key.
 """
@@ -21,6 +22,7 @@ from __future__ import annotations
 import functools
 import json
 import math
+import pickle
 import uuid
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field, replace
@@ -51,6 +53,8 @@ STAGED_TREES = 10
 _WALKED = 1 << 14
 #: Sums of a pass that go to the driver as they are; larger ones meet in tasks first.
 DIRECT_BYTES = 1 << 24
+#: Rows that tell the driver about where quantiles lie, and how many standard errors around them are looked at first.
+KNOWN_ROWS, _ERRORS = 1 << 17, 3.0
 #: What is known of held-out rows: number, loss, and the sums that r2 needs.
 STATS = 5
 
@@ -837,6 +841,242 @@ def _fit_by_cells(blocks: Blocks, units: list[Unit], keep: bool, numbers: np.nda
     return [_from_json(text) for _, text in sorted(found)]
 
 
+def _by_leaf(leaf: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The order by leaf and value."""
+    order = np.argsort(values)
+    places = leaf[order]
+    return order[np.argsort(places.astype(np.int16) if len(places) and places.max() < 1 << 15 else places, kind="stable")]
+
+
+class _Bounds:
+    """Values between which a quantile of each leaf surely lies nearly always; what a pass counts and returns makes it exact.
+
+    ``known`` are some rows' leaves and values. Leaves whose bounds missed are given wider ones, at last all values.
+    """
+
+    def __init__(self, leaf: np.ndarray, values: np.ndarray, share: float, leaves: int):
+        order = _by_leaf(leaf, values)
+        self.values, self.share = np.append(values[order], np.nan), share
+        self.n = np.bincount(leaf, minlength=leaves)
+        self.first, self.errors = np.cumsum(self.n) - self.n, np.full(leaves, _ERRORS)
+
+    def both(self) -> tuple[np.ndarray, np.ndarray]:
+        at, width = self.share * (self.n - 1), self.errors * (np.sqrt(self.n) / 2 + 1)
+        low, high = np.floor(at - width), np.ceil(at + width)
+        value = lambda place: self.values[np.clip(self.first + place, 0, len(self.values) - 1).astype(np.int64)]
+        return np.where(low >= 0, value(np.maximum(low, 0)), -np.inf), np.where(high < self.n, value(np.minimum(high, self.n)), np.inf)
+
+    def exact(self, counts: np.ndarray, below: np.ndarray, leaf: np.ndarray, values: np.ndarray) -> np.ndarray | None:
+        """The quantile of each leaf (0 for none) of ``counts`` rows; None if bounds missed, which are wider from then on."""
+        order = _by_leaf(leaf, values)
+        values, n = np.append(values[order], 0.0), np.bincount(leaf, minlength=len(counts))
+        at = np.maximum(counts - 1, 0) * self.share
+        low, high = np.floor(at).astype(np.int64) - below, np.ceil(at).astype(np.int64) - below
+        missed = (counts > 0) & ((low < 0) | (high >= n))
+        if missed.any():
+            self.errors[missed] *= 8
+            return None
+        first = np.cumsum(n) - n
+        a, b = (values[np.where(counts > 0, first + place, len(values) - 1)] for place in (low, high))
+        return a + (b - a) * (at - np.floor(at))
+
+
+class _RobustTraining:
+    """A model under a loss other than the squares on its way, as the driver knows it: what it predicts for each cell."""
+
+    def __init__(self, unit: Unit, cells: LocalCells, known: tuple[np.ndarray, np.ndarray]):
+        self.settings, self.cells, self.known = unit.settings, cells, known
+        self.out, self.margin = Fitted(), np.zeros(cells.codes.shape[1])
+        self.growth = self.leaf = None
+        self.delta = 0.0
+
+    def residual(self) -> np.ndarray:
+        cell, label = self.known
+        return label - self.margin[cell]
+
+    def grow(self, counts: np.ndarray, gradient: np.ndarray) -> None:
+        self.cells.counts = counts
+        self.growth, node = self.cells.grow(self.settings, len(self.out.trees), gradient, np.ones(len(counts), bool))
+        # A leaf-wise growth need not have moved every cell to its leaf.
+        self.leaf = node if self.settings.max_leaves is None else self.growth.partial().leaves(self.cells.codes)
+
+    def close(self, values: np.ndarray) -> None:
+        tree = self.growth.tree(values)
+        self.out.trees.append(tree)
+        self.margin = self.margin + tree.value[self.leaf]
+
+
+_CELL_ROWS = "n int, cell binary, label binary, digest binary"
+
+
+def _rows_by_cell(blocks: Blocks, numbers: np.ndarray) -> DataFrame:
+    """Blocks of rows (number of the cell, label, digest), dealt out by ranges of cells."""
+    radix = _radix(blocks.binning)
+
+    def rows(batches):
+        for row in _rows_of(batches):
+            cell = np.searchsorted(numbers, _cell_numbers(row, radix)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), *[pa.array(np.frombuffer(row[c], k)) for c, k in (("label", np.float64), ("digest", np.int64))]], ["cell", "label", "digest"])
+
+    def pack(batches):
+        for table in _gathered(batches):
+            values = [table.column(c).to_numpy().tobytes() for c in ("cell", "label", "digest")]
+            yield pa.RecordBatch.from_arrays([pa.array([table.num_rows], pa.int32()), *[pa.array([v], pa.binary()) for v in values]], ["n", "cell", "label", "digest"])
+
+    tasks = max(int(blocks.df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks.rows // CELL_ROWS))
+    dealt = blocks.df.mapInArrow(rows, "cell int, label double, digest long").repartitionByRange(tasks, "cell", "digest")
+    return stage(dealt.mapInArrow(pack, _CELL_ROWS), "rows-by-cell")
+
+
+def _cell_pass(packed: DataFrame, tasks: list[dict], number: int, fn) -> list[dict]:
+    """One pass for the models of ``tasks``: what ``fn(task, cell, residual)`` finds in each block's sample of the tree, as named arrays."""
+
+    def run(batches):
+        for row in _rows_of(batches):
+            cell, label, digest = (np.frombuffer(row[c], k) for c, k in (("cell", np.int32), ("label", np.float64), ("digest", np.uint64)))
+            samples = {}
+            for task in tasks:
+                s = task["settings"]
+                if (s.subsample, s.random_state) not in samples:
+                    sample = growth.in_sample(digest, s, number)
+                    samples[s.subsample, s.random_state] = (cell, label) if sample is None else (cell[sample], label[sample])
+                here, y = samples[s.subsample, s.random_state]
+                if len(here):
+                    found = pickle.dumps({"model": task["model"], **fn(task, here, y - task["margin"][here])})
+                    yield pa.RecordBatch.from_arrays([pa.array([found], pa.binary())], ["found"])
+
+    return [pickle.loads(x) for x in packed.mapInArrow(run, "found binary").toArrow().column(0).to_pylist()]
+
+
+def _between(leaf: np.ndarray, values: np.ndarray, low: np.ndarray, high: np.ndarray) -> dict:
+    below, inside = values < low[leaf], (values >= low[leaf]) & (values <= high[leaf])
+    return {"below": np.bincount(leaf[below], minlength=len(low)), "at": leaf[inside], "values": values[inside]}
+
+
+def _gradients(task: dict, cell: np.ndarray, residual: np.ndarray) -> dict:
+    """Rows and gradients by cell. Where Huber's loss turns is known between bounds only: rows between them are returned."""
+    first = int(cell.min())
+    found, s = {"first": first, "counts": np.bincount(cell - first)}, task["settings"]
+    if s.loss != "huber":
+        return {**found, "gradient": np.bincount(cell - first, growth.downhill(residual, s, 0.0))}
+    size = np.abs(residual)
+    low, high = task["low"], task["high"]
+    gradient = np.where(size < low, residual, np.where(size > high, np.sign(residual), 0.0))
+    inside = (size >= low) & (size <= high)
+    outer = size > high
+    return {**found, "gradient": np.bincount(cell - first, np.where(outer, 0.0, gradient)), "outer": np.bincount(cell - first, np.where(outer, gradient, 0.0)),
+            "below": int((size < low).sum()), "cell": cell[inside], "residual": residual[inside]}
+
+
+def _worth(task: dict, cell: np.ndarray, residual: np.ndarray) -> dict:
+    """What the quantiles of leaves follow from, and for Huber's loss the sums of clipped distances from medians that lie between bounds."""
+    leaf, low, high, delta = task["leaf"][cell], task["low"], task["high"], task["delta"]
+    found = _between(leaf, residual, low, high)
+    if task["settings"].loss != "huber" or delta is None:
+        return found
+    upper, lower = residual - high[leaf] >= delta, residual - low[leaf] <= -delta
+    linear = (residual - low[leaf] <= delta) & (residual - high[leaf] >= -delta) & ~upper & ~lower
+    rest = ~(upper | lower | linear)
+    n = len(low)
+    return {**found, "outer": np.bincount(leaf[upper], minlength=n) - np.bincount(leaf[lower & ~upper], minlength=n), "linear": np.bincount(leaf[linear], minlength=n),
+            "sum": np.bincount(leaf[linear], residual[linear], n), "rest_at": leaf[rest], "rest": residual[rest]}
+
+
+def _exact_quantiles(packed: DataFrame, wanted: list[dict], number: int) -> dict[int, tuple[np.ndarray, list[dict]]]:
+    """For each model of ``wanted`` the quantile of each leaf, and all that the pass found that gave them."""
+    out = {}
+    while wanted:
+        for task in wanted:
+            task["low"], task["high"] = task["bounds"].both()
+        found = _cell_pass(packed, [{k: v for k, v in task.items() if k not in ("bounds", "counts")} for task in wanted], number, _worth)
+        for task in wanted:
+            own = [f for f in found if f["model"] == task["model"]]
+            below = sum((f["below"] for f in own), np.zeros(len(task["counts"]), np.int64))
+            values = task["bounds"].exact(task["counts"], below, *(np.concatenate([np.zeros(0, k), *[f[c] for f in own]]) for c, k in (("at", np.int64), ("values", np.float64))))
+            if values is not None:
+                out[task["model"]] = values, own
+        wanted = [task for task in wanted if task["model"] not in out]
+    return out
+
+
+def _fit_robust_by_cells(blocks: Blocks, units: list[Unit], numbers: np.ndarray) -> list[Fitted]:
+    """Models under other losses than the squares, grown together in two passes a tree over rows that lie by cell, whatever the depth.
+
+    The first pass brings the gradients by cell, from which the driver grows the tree, the second one what its leaves are worth. Quantiles are exact: rows known to the
+    driver tell bounds around each, and a pass counts the values below them and returns those between.
+    """
+    packed = _rows_by_cell(blocks, numbers).persist(StorageLevel.MEMORY_AND_DISK)
+    radix, stride = _radix(blocks.binning), -(-blocks.rows // KNOWN_ROWS)
+
+    def some(batches):
+        for row in _rows_of(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row[c], k)[::stride]) for c, k in (("cell", np.int32), ("label", np.float64))], ["cell", "label"])
+
+    sample = packed.mapInArrow(some, "cell int, label double").toArrow()
+    known = sample.column("cell").to_numpy(), sample.column("label").to_numpy()
+    bins = np.stack([numbers // step % (len(e) + 1) for step, e in zip(radix, blocks.binning.edges)])
+    cells = LocalCells(blocks.binning.codes(bins), blocks.binning.starts, blocks.binning.total)
+    trainings = [_RobustTraining(u, cells, known) for u in units]
+    one = np.zeros(len(numbers), np.int64)
+    begins = _exact_quantiles(packed, [
+        {"model": m, "settings": replace(t.settings, subsample=1.0), "margin": t.margin, "leaf": one, "delta": None, "counts": np.array([blocks.rows]),
+         "bounds": _Bounds(one[known[0]], known[1], growth.start_share(t.settings), 1)} for m, t in enumerate(trainings)], 0)
+    for m, t in enumerate(trainings):
+        t.out.begin = float(begins[m][0][0])
+        t.margin = np.full(len(numbers), t.out.begin)
+    for number in range(max(u.settings.n_estimators for u in units)):
+        live = {m: t for m, t in enumerate(trainings) if number < t.settings.n_estimators}
+        _grow_robust(packed, live, number)
+        wanted = []
+        for m, t in live.items():
+            leaves = len(t.growth.feature)
+            share = t.settings.alpha if t.settings.loss == "quantile" else 0.5
+            wanted.append({"model": m, "settings": t.settings, "margin": t.margin, "leaf": t.leaf, "delta": t.delta, "counts": np.bincount(t.leaf, t.counts, leaves).astype(np.int64),
+                           "bounds": _Bounds(t.leaf[known[0]], t.residual(), share, leaves)})
+        counts = {task["model"]: task["counts"] for task in wanted}
+        for m, (values, found) in _exact_quantiles(packed, wanted, number).items():
+            t = live[m]
+            if t.settings.loss == "huber":
+                total = sum((f["outer"] * t.delta + f["sum"] - f["linear"] * values for f in found), np.zeros(len(values)))
+                for f in found:
+                    total += np.bincount(f["rest_at"], np.clip(f["rest"] - values[f["rest_at"]], -t.delta, t.delta), len(values))
+                values = values + total / np.maximum(counts[m], 1)
+            t.close(values)
+    packed.unpersist()
+    return [t.out for t in trainings]
+
+
+def _grow_robust(packed: DataFrame, live: dict[int, _RobustTraining], number: int) -> None:
+    """The next tree of each model, without what its leaves are worth."""
+    none = np.zeros(0, np.int64)
+    bounds = {m: _Bounds(np.zeros(len(t.known[0]), np.int64), np.abs(t.residual()), t.settings.alpha, 1) for m, t in live.items() if t.settings.loss == "huber"}
+    waiting = dict(live)
+    while waiting:
+        tasks = []
+        for m, t in waiting.items():
+            low, high = bounds[m].both() if m in bounds else ([0.0], [0.0])
+            tasks.append({"model": m, "settings": t.settings, "margin": t.margin, "low": low[0], "high": high[0]})
+        found = _cell_pass(packed, tasks, number, _gradients)
+        for m, t in list(waiting.items()):
+            own = [f for f in found if f["model"] == m]
+            counts, gradient, outer = np.zeros((3, len(t.margin)))
+            for f in own:
+                for total, name in ((counts, "counts"), (gradient, "gradient"), (outer, "outer")):
+                    if name in f:
+                        total[f["first"] : f["first"] + len(f[name])] += f[name]
+            if m in bounds:
+                cell, residual = (np.concatenate([none, *[f[c] for f in own]]) for c in ("cell", "residual"))
+                below = np.array([sum(f["below"] for f in own)])
+                delta = bounds[m].exact(np.array([int(counts.sum())]), below, np.zeros(len(cell), np.int64), np.abs(residual))
+                if delta is None:
+                    continue
+                t.delta = float(delta[0])
+                gradient += outer * t.delta + np.bincount(cell.astype(np.int64), growth.downhill(residual, t.settings, t.delta), len(gradient))
+            t.counts = counts
+            t.grow(counts, gradient)
+            del waiting[m]
+
+
 def fit_units(blocks: Blocks, units: list[Unit], keep: bool = True, local_rows: int = LOCAL_ROWS) -> list[Fitted]:
     """Train all units; their trees come along if ``keep`` is set."""
     if blocks.rows == 0:
@@ -848,8 +1088,13 @@ def fit_units(blocks: Blocks, units: list[Unit], keep: bool = True, local_rows:
     if blocks.rows <= local_rows:
         return _fit_locally(blocks, units, keep)
     squared = [i for i, u in enumerate(units) if u.settings.loss == "squared_error"]
-    cells = _cells_of(blocks) if squared else None
-    found = {} if cells is None else dict(zip(squared, _fit_by_cells(blocks, [units[i] for i in squared], keep, cells)))
+    robust = [i for i, u in enumerate(units) if u.settings.loss != "squared_error" and u.held is None and not u.points and u.settings.n_iter_no_change is None and u.settings.n_estimators]
+    cells, found = _cells_of(blocks) if squared or robust else None, {}
+    if cells is not None and squared:
+        found |= zip(squared, _fit_by_cells(blocks, [units[i] for i in squared], keep, cells))
+    if cells is not None:
+        for at in range(0, len(robust), TOGETHER):
+            found |= zip(robust[at : at + TOGETHER], _fit_robust_by_cells(blocks, [units[i] for i in robust[at : at + TOGETHER]], cells))
     rest = [i for i in range(len(units)) if i not in found]
     for at in range(0, len(rest), TOGETHER):
         found |= zip(rest[at : at + TOGETHER], _fit_in_passes(blocks, [units[i] for i in rest[at : at + TOGETHER]]))

@@ -374,3 +374,25 @@ def test_forests_grow_from_sums_over_cells(rows, monkeypatch):
     assert [models._tried(s, 7) for s in ("auto", "onethird", "sqrt", "log2", "all", "2", "0.5")] == [3, 3, 3, 3, 7, 2, 4]
     monkeypatch.setattr(boosting, "CELLS", 5)
     assert not isinstance(models.fit(models.forest(FEATURES, n_estimators=1, max_depth=2), rows), boosting.Model)
+
+
+@pytest.mark.parametrize("errors", [3.0, 0.01])
+def test_robust_models_over_cells_are_those_of_one_task(rows, monkeypatch, errors):
+    """Two passes a tree where the bounds hold, more where they miss; the same trees and values, no pass a level."""
+    monkeypatch.setattr(boosting, "KNOWN_ROWS", 60)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(boosting, "_ERRORS", errors)
+    monkeypatch.setattr(boosting, "_level", None)
+    passes, one = [], boosting._cell_pass
+    monkeypatch.setattr(boosting, "_cell_pass", lambda *given: passes.append(1) or one(*given))
+    blocks = boosting.make_blocks(rows, FEATURES, "key", max_bins=8)
+    units = [boosting.Unit(Settings(n_estimators=n, learning_rate=0.3, max_depth=3, **s)) for n, s in (
+        (3, {"loss": "absolute_error", "subsample": 0.7, "max_features": "sqrt"}), (3, {"loss": "huber", "alpha": 0.8}), (2, {"loss": "quantile", "alpha": 0.25, "subsample": 1.0}),
+        (2, {"loss": "huber", "max_leaves": 5, "min_samples_leaf": 5}))]
+    want, got = (boosting.fit_units(blocks, units, local_rows=n) for n in (boosting.LOCAL_ROWS, 0))
+    for a, b in zip(want, got, strict=True):
+        assert a.begin == pytest.approx(b.begin)
+        for x, y in zip(a.trees, b.trees, strict=True):
+            assert (x.feature.tolist(), x.code.tolist(), x.left.tolist()) == (y.feature.tolist(), y.code.tolist(), y.left.tolist())
+            assert np.allclose(x.value, y.value) and np.allclose(x.gain, y.gain)
+    assert len(passes) <= 16 if errors == 3 else len(passes) > 8
