@@ -1,23 +1,5 @@
 """Staged tables that leave no shuffle files behind."""
 
-from __future__ import annotations
+from tallyward.operators.staging import released
 
-from pyspark.sql import DataFrame
-
-from tallyward.operators.staging import stage
-
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def released(df: DataFrame, name: str) -> DataFrame:
-    """The same rows from a table in the shared folder; the files of the exchanges that made them are removed once it is written.
-
-    Nothing reads these files again, as the table cuts the lineage. Elsewhere they wait until the driver collects garbage.
-    """
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, None)
-    conf.set(_CLEANUP, "true")
-    try:
-        return stage(df, name)
-    finally:
-        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+__all__ = ["released"]

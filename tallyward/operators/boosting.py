@@ -33,11 +33,11 @@ import pyarrow as pa
 from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from tallyward.operators import tree_growth as growth
 from tallyward.operators.order_stats import column_quantiles, quantile_rows
-from tallyward.operators.staging import stage
+from tallyward.operators.staging import released, stage
 from tallyward.operators.tree_growth import SUMS, LocalCells, LocalRows, Settings, Stacked, Tree
 
 MAX_BINS = 32
@@ -146,7 +146,7 @@ def make_blocks(rows: DataFrame, features: list[str], key: str, label: str = "la
             ["n", "bins", "label", "fold", "digest", "weight"])
 
     schema = "n int, bins binary, label binary, fold binary, digest binary, weight binary"
-    df = stage(flat.mapInArrow(pack, schema), "blocks")
+    df = released(flat.mapInArrow(pack, schema), "blocks")
     return Blocks(df, binning, int(df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]), weight is not None)
 
 
@@ -837,7 +837,7 @@ def _fit_by_cells(blocks: Blocks, units: list[Unit], keep: bool, numbers: np.nda
     dealt = blocks.df.mapInArrow(rows, "cell int, label double, fold int, digest long").repartitionByRange(tasks, "cell", "digest")
     lines = dealt.mapInArrow(sums, "model int, tree int, low int, payload binary")
     ordered = lines.repartition(len(groups), "model").sortWithinPartitions("model", "tree", "low")
-    found = ordered.mapInArrow(train, "unit long, fitted string").collect()
+    found = released(ordered.mapInArrow(train, "unit long, fitted string"), "fitted").collect()
     return [_from_json(text) for _, text in sorted(found)]
 
 
@@ -925,7 +925,7 @@ def _rows_by_cell(blocks: Blocks, numbers: np.ndarray) -> DataFrame:
 
     tasks = max(int(blocks.df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks.rows // CELL_ROWS))
     dealt = blocks.df.mapInArrow(rows, "cell int, label double, digest long").repartitionByRange(tasks, "cell", "digest")
-    return stage(dealt.mapInArrow(pack, _CELL_ROWS), "rows-by-cell")
+    return released(dealt.mapInArrow(pack, _CELL_ROWS), "rows-by-cell")
 
 
 def _cell_pass(packed: DataFrame, tasks: list[dict], number: int, fn) -> list[dict]:
@@ -1204,31 +1204,41 @@ class Model:
         return df.withColumn(prediction, predict(*[F.col(c).cast("double") for c in self.binning.features]))
 
     def binned(self, rows: DataFrame, *keep: str) -> DataFrame:
-        """``keep`` and the numbers of the row's bins as ``bins``, a byte a feature."""
-        names = [f"f{i}" for i in range(len(self.binning.features))]
+        """``keep`` and the numbers of the row's bins as ``bins``: the number of its cell, or a byte a feature where such numbers are too large."""
+        names, radix = [f"f{i}" for i in range(len(self.binning.features))], _radix(self.binning)
         flat = rows.select(*keep, *[F.col(c).cast("double").alias(n) for c, n in zip(self.binning.features, names)])
 
         def run(batches):
             for batch in batches:
                 bins = self.binning.bins([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
-                limits = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(names))
-                line = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, limits.buffers()[1], pa.py_buffer(np.ascontiguousarray(bins.T).tobytes())])
+                if radix is None:
+                    limits = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(names))
+                    line = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, limits.buffers()[1], pa.py_buffer(np.ascontiguousarray(bins.T).tobytes())])
+                else:
+                    line = pa.array(sum((x.astype(np.int64) * step for x, step in zip(bins, radix)), np.zeros(batch.num_rows, np.int64)))
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], line], [*keep, "bins"])
 
-        return flat.mapInArrow(run, StructType([*flat.select(*keep).schema.fields, StructField("bins", BinaryType())]))
+        return flat.mapInArrow(run, StructType([*flat.select(*keep).schema.fields, StructField("bins", BinaryType() if radix is None else LongType())]))
+
+    def _unbinned(self, column: pa.ChunkedArray) -> np.ndarray:
+        """Bin numbers, a line a feature, of what ``binned`` gives."""
+        if pa.types.is_integer(column.type):
+            number = column.to_numpy()
+            return np.stack([number // step % (len(e) + 1) for step, e in zip(_radix(self.binning), self.binning.edges)]).astype(np.uint8)
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), len(self.binning.features)).T
 
     def changed(self, rows: DataFrame, places: list[int]) -> DataFrame:
         """For rows (``repeat``, ``label``, ``bins``, ``other``): (``feature``, ``repeat``, ``label``, ``prediction``) for each place, which takes its bin from ``other``.
 
         ``feature`` is the index of the place; one of -1 changes nothing. Rows of like bins meet, so that a cell is worked out once for many of them.
         """
-        model, features = self, len(self.binning.features)
+        model = self
 
         def run(batches):
             scorer = _Scorer(model)
             for table in _gathered(batches):
                 n = table.num_rows
-                bins, other = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint8).reshape(n, features).T for c in ("bins", "other"))
+                bins, other = (model._unbinned(table.column(c)) for c in ("bins", "other"))
                 copies = np.tile(bins, len(places))
                 for i, place in enumerate(places):
                     if place >= 0:

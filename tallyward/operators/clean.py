@@ -17,7 +17,7 @@ from tallyward.functions.expr import (
     all_of, flag, number, numeric_columns, present, ratio, string_columns, strip,
 )
 from tallyward.operators.order_stats import column_quantiles, melt, quantile_rows
-from tallyward.operators.staging import stage
+from tallyward.operators.staging import released
 
 
 def null_counts(df: DataFrame, columns: Iterable[str], means: Iterable[str] = ()) -> dict:
@@ -183,9 +183,9 @@ def _inside_fences(df: DataFrame, names: list[str], threshold: float) -> DataFra
     The rows are staged, and their values are counted for all columns together. What a fence removes is counted too, and taken off the
     counts of the columns after it, whose quartiles follow from the counts that are left.
     """
-    rows = stage(df, "rows")
+    rows = released(df, "rows")
     inside = F.lit(True)
-    counts = stage(_value_counts(rows, names, 1), "counts")
+    counts = released(_value_counts(rows, names, 1), "counts")
     for i, c in enumerate(names):
         quarts = {r["place"]: r["quantile"] for r in quantile_rows(counts.where(F.col("feature") == c), "value", [0.25, 0.75], weight="n").collect()}
         bounds = None
@@ -196,7 +196,7 @@ def _inside_fences(df: DataFrame, names: list[str], threshold: float) -> DataFra
         later = names[i + 1 :]
         if later:
             gone = _value_counts(rows.where(inside & ~test), later, -1)
-            counts = counts.where(F.col("feature").isin(later)).unionByName(stage(gone, "counts"))
+            counts = counts.where(F.col("feature").isin(later)).unionByName(released(gone, "counts"))
         inside = inside & test
     return rows.where(inside)
 
@@ -281,7 +281,7 @@ def clean_discharges(df: DataFrame, topcode: dict[str, str] | None = V.STAY_TOPC
     valid = (df.transform(drop_duplicates)
              .transform(convert_types, COST_TYPES, topcode)
              .transform(filter_rows, VALID_ROWS)
-             .transform(stage, "valid"))
+             .transform(released, "valid"))
     fit_on = None if fit_where is None else valid.where(fit_where)
     return impute(valid, "median", drop_threshold=drop_threshold, fit_on=fit_on, exact=exact)
 

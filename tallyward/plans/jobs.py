@@ -9,7 +9,7 @@ from tallyward.functions import values as V
 from tallyward.operators import boosting, clean, drift, evaluate, features, models
 from tallyward.operators.recipe import Recipe, fit_recipe
 from tallyward.operators.split import hash_fold, hash_split, is_test
-from tallyward.operators.staging import stage
+from tallyward.operators.staging import released
 from tallyward.sources import readers, writers
 
 TARGET = "log_total_costs"
@@ -39,7 +39,7 @@ def train(spark: SparkSession, prepared: str, out: str, numeric: list[str] | Non
     fitted.save(f"{out}/recipe", spark)
     # The prepared rows have no key; a digest of the row stands for it.
     keyed = rows.withColumn("_key", F.xxhash64(*rows.columns)).where(F.col("target").isNotNull())
-    table = stage(fitted.apply(keyed, "_key", "split", "target"), "model-rows")
+    table = released(fitted.apply(keyed, "_key", "split", "target"), "model-rows")
     model = boosting.fit(table.where("split = 'train'"), fitted.features, "_key", "target", **settings)
     scored = model.transform(table).select("split", "target", models.PREDICTION)
     found = evaluate.metrics(scored, "target", models.PREDICTION, ["split"])
@@ -83,4 +83,4 @@ def model_table(rows: DataFrame, key: str, test_size: float = 0.2, seed: int = 4
     names = models.feature_names(engineered, TARGET, drop=IDS)
     table = models.model_rows(hash_split(engineered, key, test_size, seed), TARGET, names, key, "split")
     stopping = hash_fold(table, key, 10, seed + 1, "_tenth").withColumn("stopping", (F.col("split") == "train") & (F.col("_tenth") == 0))
-    return stage(stopping.drop("_tenth"), "model-rows"), names
+    return released(stopping.drop("_tenth"), "model-rows"), names

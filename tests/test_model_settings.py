@@ -2,11 +2,12 @@
 
 import math
 
+import numpy as np
 import pytest
 
 from tallyward.functions import values as V
 from tallyward.operators import boosting, models
-from tallyward.operators.tree_growth import LOSSES, Settings
+from tallyward.operators.tree_growth import LOSSES, Settings, Tree
 from tallyward.plans import model_queries as queries
 
 SF = "/root/testdata/sf0.001"
@@ -78,3 +79,20 @@ def test_requests_are_read_once(spark, monkeypatch, tmp_path, capsys):
     got = {r["order_no"]: r["response"] for r in found.collect()}
     good = '{"predictions":[1.7183,1.7183]}'
     assert got == {1: good, 2: '{"error":"malformed request"}', 3: '{"error":"no data"}', 4: good, 5: '{"error":"no data"}'}
+
+
+def test_only_repeated_keys_are_joined(spark, monkeypatch, tmp_path):
+    """A saved model against the loaded one: rows meet by key, a row without a key counts as a difference, and keys that stand alone are not exchanged for a join."""
+    one = lambda *x: np.array(x)
+    tree = Tree(one(0, -1, -1), one(0, 0, 0), one(1, -1, -1), one(0.0, 0.0, 5.0), one(1.0, 0.0, 0.0), one(2.0, 1.0, 1.0))
+    model = boosting.Model(boosting.Binning(["x", "y"], [[1.0], []], [0.0, 0.0]), Settings(), 1.0, [tree])
+    monkeypatch.setattr(boosting, "fit", lambda *given: model)
+    joined, released = [], queries.released
+    monkeypatch.setattr(queries, "released", lambda df, name: joined.append((out := released(df, name)).count()) or out)
+    alone = [("a", 0.0), ("b", 3.0), ("c", 9.0)]
+    for more, want in (([], 0.0), ([("a", 0.5)], 0.0), ([("a", 7.0)], 5.0), ([(None, 0.0)], 1.0), ([(None, 0.0), ("b", 0.0)], 5.0)):
+        table = spark.createDataFrame([(k, x, 0.0, x, "train") for k, x in alone + more], "discharge_key string, x double, y double, label double, split string")
+        monkeypatch.setattr(queries, "_table", lambda *given, table=table: (table, ["x", "y"]))
+        found = {r["metric"]: r["value"] for r in queries.model_roundtrip(spark, SF).collect()}
+        assert found == {"largest_difference": want, "train_r2_difference": 0.0}
+    assert joined == [0, 2, 2, 0, 2]
