@@ -25,7 +25,7 @@ from tallyward.functions.expr import numeric_columns
 from tallyward.operators import boosting
 from tallyward.operators.evaluate import wide_metrics
 from tallyward.operators.split import hash_fold
-from tallyward.operators.staging import stage
+from tallyward.operators.staging import released
 from tallyward.session import ensure_checkpoint_dir
 
 PREDICTION = "prediction"
@@ -197,8 +197,9 @@ def dealt_anew(rows: DataFrame, features: Iterable[str], key: str, *keep: str, s
     Two random orders are joined by place, so every row's values go to exactly one row.
     """
     names = list(features)
-    first = _in_random_order(rows.withColumn("_key", F.col(key)), F.xxhash64(F.lit(seed), F.col(key)), *keep, *names)
-    second = _in_random_order(rows.withColumn("_key", F.col(key)), F.xxhash64(F.lit(-1 - seed), F.col(key)), F.struct(*names).alias("_other"))
+    rows = rows.withColumn("_key", F.xxhash64(F.col(key)))  # it only parts equal random numbers
+    first = _in_random_order(rows, F.xxhash64(F.lit(seed), F.col(key)), *keep, *names)
+    second = _in_random_order(rows, F.xxhash64(F.lit(-1 - seed), F.col(key)), F.struct(*names).alias("_other"))
     return first.join(second, "_place").drop("_place")
 
 
@@ -214,27 +215,32 @@ def _changed_values(model: Model, rows: DataFrame, names: list[str], key: str, r
     return functools.reduce(DataFrame.unionByName, scored)
 
 
-def _changed_bins(model: boosting.Model, rows: DataFrame, names: list[str], key: str, repeats: int, seed: int) -> DataFrame:
-    """The same for a boosted model, which sees nothing of a row but its bins: these are dealt out anew, and staged for all columns."""
-    binned = stage(model.binned(rows, key, "label"), "bins")
+def _bins_changed(model: boosting.Model, binned: DataFrame, names: list[str], key: str, repeats: int, seed: int) -> DataFrame:
+    """The same for a boosted model, which sees nothing of a row but its bins: these are dealt out anew."""
     dealt = [dealt_anew(binned, ["bins"], key, "label", seed=seed + k).select(F.lit(k).alias("repeat"), "label", "bins", F.col("_other.bins").alias("other"))
              for k in range(repeats)]
     known = model.binning.features
-    scored = model.changed(stage(functools.reduce(DataFrame.unionByName, dealt), "dealt"), [known.index(c) if c in known else -1 for c in names])
+    scored = model.changed(functools.reduce(DataFrame.unionByName, dealt), [known.index(c) if c in known else -1 for c in names])
     return scored.withColumn("feature", F.element_at(F.array(*[F.lit(c) for c in names]), F.col("feature") + 1))
 
 
+def _changed_bins(model: boosting.Model, rows: DataFrame, names: list[str], key: str, repeats: int, seed: int) -> DataFrame:
+    return _bins_changed(model, released(model.binned(rows, key, "label"), "bins"), names, key, repeats, seed)
+
+
 def permutation_importance(model: Model, rows: DataFrame, features: Iterable[str], key: str,
                            repeats: int = 10, seed: int = 42, top: int | None = None) -> DataFrame:
     """Mean and spread of the loss of r2 when the values of one column are dealt out anew over the whole table.
 
-    Each column keeps its values exactly. Rows need a unique ``key`` for the same result on every run.
+    Each column keeps its values exactly. Rows need a unique ``key`` for the same result on every run. The exchanges of one repeat are done with before the next one begins.
     """
     names = list(features)
-    changed = _changed_bins if isinstance(model, boosting.Model) else _changed_values
+    boosted = isinstance(model, boosting.Model)
+    given, changed = (released(model.binned(rows, key, "label"), "bins"), _bins_changed) if boosted else (rows, _changed_values)
     base = r2(model.transform(rows))
-    drops = wide_metrics(changed(model, rows, names, key, repeats, seed), "label", PREDICTION, ["feature", "repeat"], median=False).select(
-        "feature", (F.lit(base) - F.col("r2_score")).alias("drop"))
+    scores = [released(wide_metrics(changed(model, given, names, key, 1, seed + k), "label", PREDICTION, ["feature"], median=False).select("feature", "r2_score"), "repeat")
+              for k in range(repeats)]
+    drops = functools.reduce(DataFrame.unionByName, scores).select("feature", (F.lit(base) - F.col("r2_score")).alias("drop"))
     found = (drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
              .orderBy(F.desc("importance_mean"), "feature"))
     return found if top is None else found.limit(top)

@@ -396,3 +396,22 @@ def test_robust_models_over_cells_are_those_of_one_task(rows, monkeypatch, error
             assert (x.feature.tolist(), x.code.tolist(), x.left.tolist()) == (y.feature.tolist(), y.code.tolist(), y.left.tolist())
             assert np.allclose(x.value, y.value) and np.allclose(x.gain, y.gain)
     assert len(passes) <= 16 if errors == 3 else len(passes) > 8
+
+
+def test_a_repeat_is_done_with_before_the_next(rows, monkeypatch):
+    """The scores of each repeat are staged by themselves, cells travel as numbers where they fit, and the importances are those of all repeats at once."""
+    model = boosting.fit(rows, FEATURES, "key", n_estimators=4, max_depth=3)
+    names, staged, released = ["c", "a", "b"], [], models.released
+    monkeypatch.setattr(models, "released", lambda df, name: staged.append((name, dict(df.dtypes).get("bins"))) or released(df, name))
+    found = {}
+    for kind, radix in (("bigint", boosting._radix), ("binary", lambda binning: None)):
+        monkeypatch.setattr(boosting, "_radix", radix)
+        staged.clear()
+        found[kind] = [tuple(r) for r in models.permutation_importance(model, rows, names, "key", repeats=3).collect()]
+        assert staged == [("bins", kind)] + [("repeat", None)] * 3
+    data = models._changed_values(model, rows, names, "key", 3, 42).toPandas()
+    label = rows.toPandas()["label"]
+    base = models.r2(model.transform(rows))
+    for name, mean, std in found["bigint"] + found["binary"]:
+        drops = [base - 1 + ((x["label"] - x["prediction"]) ** 2).mean() / label.var(ddof=0) for _, x in data[data["feature"] == name].groupby("repeat")]
+        assert mean == pytest.approx(np.mean(drops)) and std == pytest.approx(np.std(drops), abs=1e-9)
